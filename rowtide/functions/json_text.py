@@ -15,17 +15,16 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 _FLOATS = (T.FloatType, T.DoubleType)
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)
 
-# Characters that a JSON string has to escape.
-_NEEDS_ESCAPE = r'[\x00-\x1f"\\]'
+_CONTROL = r"[\x00-\x1f]"
 
 
 def quote(text: Column) -> Column:
-    """A JSON string; the JSON writer runs only where escaping is needed."""
+    """A JSON string; the JSON writer runs only where control characters do."""
     wrapped = F.to_json(F.array(text))
+    escaped = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
     return F.when(
-        text.rlike(_NEEDS_ESCAPE),
-        F.substring(wrapped, F.lit(2), F.length(wrapped) - 2),
-    ).otherwise(F.concat(F.lit('"'), text, F.lit('"')))
+        text.rlike(_CONTROL), F.substring(wrapped, F.lit(2), F.length(wrapped) - 2)
+    ).otherwise(F.concat(F.lit('"'), escaped, F.lit('"')))
 
 
 def rfc3339(ts: Column, zoned: bool = True) -> Column:

@@ -33,6 +33,7 @@ SPARK_TYPES = {
     3802: T.VariantType(),
 }
 TEXT_OIDS = (25, 1042, 1043)
+FLOAT_OIDS = (700, 701)
 NUMERIC = 1700
 
 _NUMBER = r"^-?[0-9]+(\.[0-9]+)?$"
@@ -73,42 +74,40 @@ def decode_text(raw: Column, dtype: T.DataType) -> Column:
     return raw.try_cast(dtype)
 
 
-def json_text(raw: Column, oid: Column) -> Column:
+def json_text(raw: Column, oid: int | Column) -> Column:
     """JSON text of a column's log text by its declared type.
 
     An unknown type, or text that does not parse as its type, is published as
     the raw text. NaN and infinite floats yield NULL (see `is_unencodable`).
+    The type may be a column, as where one expression serves all relations.
     """
-    text = quote(raw)
-
-    def typed(oid_value: int) -> Column:
-        dtype = SPARK_TYPES[oid_value]
-        value = decode_text(raw, dtype)
-        if isinstance(dtype, T.ArrayType):
-            return F.coalesce(F.to_json(value, {"ignoreNullFields": "false"}), text)
-        return F.coalesce(json_scalar(value, dtype), text)
-
-    result = F.when(oid.isin(*TEXT_OIDS), text)
-    for value in (20, 23, 21, 16, 17, 114, 1000, 1005, 1007, 1009, 1016, 1022, 1082, 1114, 1184):
-        result = result.when(oid == value, typed(value))
-    result = result.when(oid == 3802, typed(3802))
-    result = result.when(
-        oid == NUMERIC,
+    if isinstance(oid, int):
+        return _json_text(raw, oid)
+    # Most frequent types first: the cases are tried in order.
+    kinds = [25, 20, 23, NUMERIC, 1184, 1043, 701, 16, 1114, 1082, 3802]
+    kinds += [k for k in SPARK_TYPES if k not in kinds]
+    result = F.when(oid.isin(*TEXT_OIDS), quote(raw))
+    for kind in kinds:
+        if kind not in TEXT_OIDS:
+            result = result.when(oid == kind, _json_text(raw, kind))
+    return result.otherwise(quote(raw))
+
+
+def _json_text(raw: Column, oid: int) -> Column:
+    dtype = spark_type(oid)
+    if isinstance(dtype, T.StringType):
+        return quote(raw)
+    if oid == NUMERIC:
         # The number's own digits, so precision beyond 38 digits survives.
-        F.when(raw.rlike(_NUMBER), plain_decimal(raw)).otherwise(text),
-    )
-    for value in (700, 701):
-        number = raw.try_cast(SPARK_TYPES[value])
-        result = result.when(
-            oid == value,
-            F.when(number.isNull(), text).otherwise(json_scalar(number, SPARK_TYPES[value])),
-        )
-    return result.otherwise(text)
+        return F.when(raw.rlike(_NUMBER), plain_decimal(raw)).otherwise(quote(raw))
+    value = decode_text(raw, dtype)
+    if isinstance(dtype, T.ArrayType):
+        return F.coalesce(F.to_json(value, {"ignoreNullFields": "false"}), quote(raw))
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return F.when(value.isNull(), quote(raw)).otherwise(json_scalar(value, dtype))
+    return F.coalesce(json_scalar(value, dtype), quote(raw))
 
 
-def is_unencodable(raw: Column, oid: Column) -> Column:
-    """True for a float that JSON cannot carry."""
-    number = raw.try_cast("double")
-    return oid.isin(700, 701) & F.coalesce(
-        F.isnan(number) | (F.abs(number) == float("inf")), F.lit(False)
-    )
+def is_unencodable(raw: Column) -> Column:
+    """True for the text of a float that JSON cannot carry."""
+    return raw.isin("NaN", "Infinity", "-Infinity")

@@ -3,32 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from rowtide.functions.json_text import quote
 from rowtide.functions.lsn import format_lsn, parse_lsn
-from rowtide.functions.pgtypes import decode_text, is_unencodable, json_text, spark_type
+from rowtide.functions.pgtypes import decode_text, spark_type
+from rowtide.operators.encode import choose_encoder, has_binary
 from rowtide.operators.messages import publish_time
+from rowtide.operators.relations import (
+    History,
+    described_versions,
+    relation_asof,
+    relation_versions,
+)
 from rowtide.schemas import (
     DELETE,
     DELETE_MSG,
     INSERT,
     INSERT_MSG,
-    RELATION_MSG,
     ROW_MSGS,
     TRUNCATE_MSG,
     UPDATE,
     UPDATE_MSG,
 )
 
-# A relation history up to this size is sent whole to every task.
-BROADCAST_VERSIONS = 20_000
-BROADCAST_BYTES = 32 * 1024 * 1024
-# Versions of one relation that a change row may be compared with.
-VERSIONS_PER_SLICE = 200
-
 
 def with_positions(log: DataFrame) -> DataFrame:
     """Text positions to numbers: `commit_pos`, `wal_pos`, `end_pos`."""
@@ -49,196 +47,6 @@ def with_positions(log: DataFrame) -> DataFrame:
     )
 
 
-def position() -> Column:
-    """Order of a change: commit position, then place in its transaction."""
-    return F.struct("commit_pos", "ord")
-
-
-def relation_versions(log: DataFrame) -> DataFrame:
-    """Relation messages as `relation_id, relation, valid_from`."""
-    return log.filter(F.col("kind") == RELATION_MSG).select(
-        "relation_id", "relation", position().alias("valid_from")
-    )
-
-
-def relation_asof(
-    changes: DataFrame,
-    versions: DataFrame,
-    versions_per_slice: int = VERSIONS_PER_SLICE,
-) -> DataFrame:
-    """Attach to each change the newest relation version at or before it.
-
-    The join key is the relation and a slice of the position range, the
-    residual the version's validity. With few versions there is one slice and
-    the history, whose size is checked, is broadcast. With many, the slices
-    keep the number of versions a change is compared with small and spread a
-    hot relation over as many join keys as there are slices.
-    """
-    versions = _SlicedVersions(versions, versions_per_slice)
-    slice_no = versions.slice_of(F.col("commit_pos"))
-    joined = changes.withColumn("_slice", slice_no).join(
-        versions.frame,
-        (F.col("relation_id") == F.col("_relation_id"))
-        & (F.col("_slice") == F.col("_version_slice"))
-        & (position() >= F.col("_from"))
-        & (F.col("_to").isNull() | (position() < F.col("_to"))),
-        "left",
-    )
-    return joined.drop("_slice", "_version_slice", "_relation_id", "_from", "_to")
-
-
-class _SlicedVersions:
-    """Validity intervals of relation versions, cut at slice borders."""
-
-    def __init__(self, versions: DataFrame, per_slice: int):
-        attributes = [c for c in versions.columns if c not in ("relation_id", "valid_from")]
-        size = F.sum(F.length(F.to_json(F.struct(*attributes))))
-        stats = (
-            versions.groupBy("relation_id")
-            .agg(
-                F.count("*").alias("n"),
-                F.min("valid_from.commit_pos").alias("low"),
-                F.max("valid_from.commit_pos").alias("high"),
-                size.alias("bytes"),
-            )
-            .agg(
-                F.max("n"), F.sum("n"), F.count("*"), F.min("low"), F.max("high"), F.sum("bytes")
-            )
-            .first()
-        )
-        most, total, relations, low, high, volume = (v or 0 for v in stats)
-        self.low = low
-        self.slices = max(1, ceil(most / per_slice))
-        self.width = max(1, ceil((high - low + 1) / self.slices))
-        self.frame = self._intervals(versions, attributes)
-        # Cutting adds at most one interval per relation and slice border.
-        rows = total + relations * (self.slices - 1)
-        if rows <= BROADCAST_VERSIONS and rows * volume <= BROADCAST_BYTES * max(total, 1):
-            self.frame = F.broadcast(self.frame)
-
-    def slice_of(self, commit_pos: Column) -> Column:
-        if self.slices == 1:
-            return F.lit(0).cast("bigint")
-        raw = F.floor((commit_pos - F.lit(self.low)) / F.lit(self.width)).cast("bigint")
-        return F.greatest(F.lit(0), F.least(raw, F.lit(self.slices - 1))).cast("bigint")
-
-    def _intervals(self, versions: DataFrame, attributes: list[str]) -> DataFrame:
-        start = self.slice_of(F.col("valid_from.commit_pos"))
-        cut = versions.withColumn("_version_slice", start)
-        # The next version, looked up inside the slice first and, for the last
-        # one of a slice, in the relation's next occupied slice: no window
-        # ever spans more than a slice's versions or a relation's slices.
-        inside = Window.partitionBy("relation_id", "_version_slice").orderBy("valid_from")
-        across = Window.partitionBy("relation_id").orderBy("_version_slice")
-        followed = cut.withColumn("_to", F.lead("valid_from").over(inside))
-        if self.slices == 1:
-            return self._columns(followed, attributes)
-        next_slice = (
-            cut.groupBy("relation_id", "_version_slice")
-            .agg(F.min("valid_from").alias("_first"))
-            .select(
-                "relation_id", "_version_slice", F.lead("_first").over(across).alias("_next_first")
-            )
-        )
-        followed = followed.join(next_slice, ["relation_id", "_version_slice"]).withColumn(
-            "_to", F.coalesce("_to", "_next_first")
-        )
-        last = F.when(F.col("_to").isNull(), F.lit(self.slices - 1).cast("bigint")).otherwise(
-            self.slice_of(F.col("_to.commit_pos"))
-        )
-        return self._columns(
-            followed.withColumn("_version_slice", F.explode(F.sequence("_version_slice", last))),
-            attributes,
-        )
-
-    @staticmethod
-    def _columns(intervals: DataFrame, attributes: list[str]) -> DataFrame:
-        return intervals.select(
-            F.col("relation_id").alias("_relation_id"),
-            "_version_slice",
-            F.col("valid_from").alias("_from"),
-            "_to",
-            *attributes,
-        )
-
-
-def described_versions(
-    versions: DataFrame, pk: DataFrame | None = None, roots: DataFrame | None = None
-) -> DataFrame:
-    """Relation versions with the published name and key columns they imply.
-
-    `pk(table, pk_columns)` is the catalog's key, by published name; without it
-    the key is the replica identity. `roots(table, root)` maps leaf partitions
-    to their root, whatever the publication's own setting was.
-    """
-    named = versions.withColumn(
-        "table", F.concat_ws(".", "relation.namespace", "relation.name")
-    )
-    if roots is not None:
-        named = named.join(roots.select("table", "root"), "table", "left").withColumn(
-            "table", F.coalesce("root", "table")
-        ).drop("root")
-    identity = F.transform(
-        F.filter("relation.columns", lambda c: c["flags"].bitwiseAND(1) == 1), lambda c: c["name"]
-    )
-    if pk is None:
-        named = named.withColumn("key_columns", F.array_sort(identity))
-    else:
-        named = named.join(pk.select("table", "pk_columns"), "table", "left").withColumn(
-            "key_columns", F.array_sort(F.coalesce("pk_columns", identity))
-        ).drop("pk_columns")
-    return named
-
-
-def tuple_fields(tuple_: Column, columns: Column) -> Column:
-    """A tuple's columns that were sent, with name and JSON text.
-
-    Columns pair with metadata by place; surplus tuple columns are dropped, as
-    are unchanged large values (status `u`), which the log does not carry.
-    """
-    paired = F.zip_with(
-        F.slice(tuple_, F.lit(1), F.size(columns)),
-        F.slice(columns, F.lit(1), F.size(tuple_)),
-        lambda t, c: F.struct(
-            c["name"].alias("name"), c["type_oid"].alias("oid"), t["status"].alias("status"), t["data"].alias("data")
-        ),
-    )
-    return F.filter(paired, lambda f: f["status"] != "u")
-
-
-def _members(fields: Column) -> Column:
-    """Fields as `struct(name, json)`; NULL columns as the word null."""
-    return F.transform(
-        fields,
-        lambda f: F.struct(
-            f["name"].alias("name"),
-            F.when(f["status"] == "n", "null")
-            .otherwise(json_text(f["data"], f["oid"]))
-            .alias("json"),
-        ),
-    )
-
-
-def _object(members: Column) -> Column:
-    text = F.transform(
-        F.array_sort(members), lambda m: F.concat(quote(m["name"]), F.lit(":"), m["json"])
-    )
-    return F.concat(F.lit("{"), F.array_join(text, ","), F.lit("}"))
-
-
-def _key(members: Column, key_columns: Column) -> Column:
-    """Key object; a key column the tuple does not carry is null."""
-    text = F.transform(
-        key_columns,
-        lambda k: F.concat(
-            quote(k),
-            F.lit(":"),
-            F.coalesce(F.get(F.filter(members, lambda m: m["name"] == k), F.lit(0))["json"], F.lit("null")),
-        ),
-    )
-    return F.concat(F.lit("{"), F.array_join(text, ","), F.lit("}"))
-
-
 def decode_changes(
     log: DataFrame,
     versions: DataFrame | None = None,
@@ -250,45 +58,26 @@ def decode_changes(
 ) -> DataFrame:
     """Row changes of a positioned log as messages, `error` set for bad ones.
 
-    One pass over the log serves every relation and every version of it: the
-    JSON is built from the version's own column list, so no schema is declared.
+    One pass over the log serves every relation and every version of it, with
+    names and types taken from the relation messages, so no schema is declared.
     `versions` is the relation history when it reaches back before this log.
     `strict` fails the job on a change of an unknown relation.
     """
     history = relation_versions(log) if versions is None else versions
+    known = History(described_versions(history, pk, roots))
+    encoder = choose_encoder(known)
     changes = log.filter(F.col("kind").isin(*ROW_MSGS)).select(
         "kind", "relation_id", "commit_pos", "ord", "old_tuple", "new_tuple"
     )
-    joined = relation_asof(changes, described_versions(history, pk, roots))
-    columns = F.col("relation.columns")
+    joined = encoder.prepare(known.attach(changes))
     is_delete = F.col("kind") == DELETE_MSG
     sent = F.when(is_delete, F.col("old_tuple")).otherwise(F.col("new_tuple"))
-    fields = joined.withColumn("_fields", tuple_fields(sent, columns))
-    error = _change_error(strict)
-    prepared = fields.select(
-        "kind",
-        "relation_id",
-        "commit_pos",
-        "ord",
-        "table",
-        "key_columns",
-        "relation",
-        "old_tuple",
-        F.when(is_delete, DELETE)
-        .when(F.col("kind") == UPDATE_MSG, UPDATE)
-        .otherwise(INSERT)
-        .alias("op"),
-        error.alias("error"),
-        _members(F.col("_fields")).alias("_members"),
-    )
-    encoded = prepared.select(
-        "*",
-        _key(F.col("_members"), F.col("key_columns")).alias("key"),
-        F.when(F.col("op") != DELETE, _object(F.col("_members"))).alias("value"),
+    op = F.when(is_delete, DELETE).when(F.col("kind") == UPDATE_MSG, UPDATE).otherwise(INSERT)
+    encoded = encoder.encode(
+        joined.select("*", op.alias("op"), sent.alias("_sent")), old_key_tombstones
     )
-    if old_key_tombstones:
-        encoded = _with_old_keys(encoded)
-    return encoded.select(
+    messages = _with_old_keys(encoded) if old_key_tombstones else encoded
+    return messages.select(
         "table",
         "op",
         "key",
@@ -297,50 +86,37 @@ def decode_changes(
         "ord",
         (publish_time() if ts is None else ts).alias("ts"),
         format_lsn(F.col("commit_pos")).alias("lsn"),
-        "error",
+        _change_error(strict).alias("error"),
         "relation_id",
     )
 
 
 def _change_error(strict: bool) -> Column:
-    unknown = F.col("relation").isNull()
-    unknown_text: Column = F.lit("unknown_relation")
+    unknown: Column = F.lit("unknown_relation")
     if strict:
-        unknown_text = F.raise_error(
+        unknown = F.raise_error(
             F.concat(F.lit("change of unknown relation "), F.col("relation_id").cast("string"))
         ).cast("string")
-    floats = F.exists(
-        "_fields", lambda f: (f["status"] == "t") & is_unencodable(f["data"], f["oid"])
-    )
     return (
-        F.when(unknown, unknown_text)
-        .when((F.col("kind") == DELETE_MSG) & F.col("old_tuple").isNull(), "delete_without_old_tuple")
-        .when(F.exists("_fields", lambda f: f["status"] == "b"), "binary_tuple")
-        .when(floats, "unencodable_float")
+        F.when(F.col("table").isNull(), unknown)
+        .when(F.col("_sent").isNull() & (F.col("op") == DELETE), "delete_without_old_tuple")
+        .when(has_binary("_sent"), "binary_tuple")
+        .when(F.col("_bad_float"), "unencodable_float")
     )
 
 
 def _with_old_keys(encoded: DataFrame) -> DataFrame:
     """Add a tombstone for the key an update moved away from."""
-    old_members = _members(tuple_fields(F.col("old_tuple"), F.col("relation.columns")))
-    old_key = F.when(
-        (F.col("op") == UPDATE) & F.col("old_tuple").isNotNull() & F.col("error").isNull(),
-        _key(old_members, F.col("key_columns")),
-    )
     message = F.struct("op", "key", "value")
     tombstone = F.struct(
         F.lit(DELETE).alias("op"),
         F.col("_old_key").alias("key"),
         F.lit(None).cast("string").alias("value"),
     )
-    moved = F.col("_old_key").isNotNull() & (F.col("_old_key") != F.col("key"))
+    moved = F.col("_old_key") != F.col("key")
     both = F.when(moved, F.array(message, tombstone)).otherwise(F.array(message))
     rest = [c for c in encoded.columns if c not in ("op", "key", "value")]
-    return (
-        encoded.withColumn("_old_key", old_key)
-        .withColumn("_message", F.explode(both))
-        .select(*rest, "_message.*")
-    )
+    return encoded.withColumn("_message", F.explode(both)).select(*rest, "_message.*")
 
 
 def typed_rows(
@@ -377,12 +153,11 @@ def truncate_audit(log: DataFrame, versions: DataFrame | None = None) -> DataFra
     A truncate is reported, not turned into deletes.
     """
     history = relation_versions(log) if versions is None else versions
-    named = described_versions(history)
     truncated = log.filter(F.col("kind") == TRUNCATE_MSG).select(
         F.explode("relation_ids").alias("relation_id"), "commit_pos", "ord"
     )
     return (
-        relation_asof(truncated, named.select("relation_id", "valid_from", "table"))
+        relation_asof(truncated, described_versions(history).drop("shape"))
         .filter("table IS NOT NULL")
         .select("table", "commit_pos", "ord")
     )

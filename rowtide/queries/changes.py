@@ -9,13 +9,11 @@ from rowtide.functions.pgtypes import decode_text, json_text, spark_type
 from rowtide.operators.decode import (
     commit_positions,
     decode_changes,
-    described_versions,
     distinct_changes,
-    relation_asof,
-    relation_versions,
     truncate_audit,
 )
 from rowtide.operators.messages import split_quarantine
+from rowtide.operators.relations import relation_asof, relation_versions
 from rowtide.queries.feed import (
     FEED_SQL,
     USERS,
@@ -215,9 +213,14 @@ def relation_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each change with the relation version in force at its position."""
     log = versioned_log(feed(spark, sf_dir))
     changes = log.filter("kind <> 'R'").select("relation_id", "commit_pos", "ord", "wal_pos")
-    joined = relation_asof(changes, described_versions(relation_versions(log)))
-    return joined.select(
-        F.col("wal_pos").alias("lsn"), "table", F.size("relation.columns").cast("bigint").alias("n_columns")
+    versions = relation_versions(log).select(
+        "relation_id",
+        "valid_from",
+        F.concat_ws(".", "relation.namespace", "relation.name").alias("table"),
+        F.size("relation.columns").cast("bigint").alias("n_columns"),
+    )
+    return relation_asof(changes, versions).select(
+        F.col("wal_pos").alias("lsn"), "table", "n_columns"
     )
 
 

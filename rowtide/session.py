@@ -18,6 +18,9 @@ def local_session(cpus: str = "*", name: str = "rowtide") -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8" if cpus == "*" else cpus)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Methods beyond this size are not compiled by the JVM; Spark then
+        # splits the work instead of fusing it.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
     )
 
