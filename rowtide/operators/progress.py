@@ -183,14 +183,18 @@ def bootstrap_decision(objects: DataFrame, state: DataFrame, created: DataFrame)
 
 
 def safe_position(log: DataFrame, starts: DataFrame, monotone: bool = False) -> DataFrame:
-    """Position a slot may confirm after its log: `slot_name, safe_pos`.
+    """Position a slot may confirm after its log: `slot_name, safe_pos, last_commit`.
 
     In arrival order the position rises to each message's position, and falls
     back to the commit's own when a higher commit arrives. So the highest
     commit's first arrival decides: the result is the greater of it and of the
     positions that arrived after it. Two aggregates, no sort over the log.
-    `monotone` reports the highest position ever reached instead.
+
+    `starts(slot_name, start_pos[, last_commit])`; the output feeds the next
+    part of a log. `monotone` reports the highest position ever reached.
     """
+    if "last_commit" not in starts.columns:
+        starts = starts.withColumn("last_commit", F.col("start_pos"))
     is_commit = F.col("kind") == "C"
     seen = F.when(F.col("kind") == "K", F.col("end_pos")).otherwise(F.col("wal_pos"))
     rows = log.select(
@@ -201,14 +205,13 @@ def safe_position(log: DataFrame, starts: DataFrame, monotone: bool = False) ->
     )
     top_commit = F.max(F.struct("commit", (-F.col("arrival")).alias("back")))
     marks = (
-        starts.select("slot_name", "start_pos")
-        .join(rows.groupBy("slot_name").agg(top_commit.alias("top")), "slot_name", "left")
+        starts.join(rows.groupBy("slot_name").agg(top_commit.alias("top")), "slot_name")
         .select(
             "slot_name",
-            "start_pos",
-            F.when(F.col("top.commit") > F.col("start_pos"), F.col("top")).alias("top"),
+            F.when(F.col("top.commit") > F.col("last_commit"), F.col("top")).alias("top"),
         )
     )
+    # One row per slot, of which there are no more than in `starts`.
     if is_small(starts):
         marks = F.broadcast(marks)
     counts = F.col("top").isNull() | (F.col("arrival") > -F.col("top.back"))
@@ -220,9 +223,13 @@ def safe_position(log: DataFrame, starts: DataFrame, monotone: bool = False) ->
             F.max("seen" if monotone else F.when(counts, F.col("seen"))).alias("seen"),
         )
     )
+    base = F.coalesce("commit", "start_pos")
+    if monotone:
+        base = F.greatest("commit", "start_pos")
     return starts.join(reached, "slot_name", "left").select(
         "slot_name",
-        F.greatest(F.coalesce("commit", "start_pos"), "seen").alias("safe_pos"),
+        F.greatest(base, "seen").alias("safe_pos"),
+        F.greatest("commit", "last_commit").alias("last_commit"),
     )
 
 

@@ -1,6 +1,15 @@
 """Every operator as a query over the given tables, beside equivalent SQL."""
 
-from rowtide.queries import catalog, changes, messages, monitoring, progress, snapshots, state
+from rowtide.queries import (
+    catalog,
+    changes,
+    messages,
+    monitoring,
+    progress,
+    snapshots,
+    state,
+    streams,
+)
 from rowtide.queries.registry import ORACLES, QUERIES
 
 __all__ = [
@@ -13,4 +22,5 @@ __all__ = [
     "progress",
     "snapshots",
     "state",
+    "streams",
 ]

@@ -137,8 +137,14 @@ def safe_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = change_log(spark, sf_dir).filter("kind <> 'R'").withColumn(
         "slot_name", F.concat(F.lit("slot_"), block % 7)
     )
-    starts = log.select("slot_name").distinct().withColumn("start_pos", F.lit(2**32 + 4))
-    return safe_position(log, starts)
+    slot = F.concat(F.lit("slot_"), F.expr("(event_id div 15) % 7"))
+    starts = (
+        table(spark, sf_dir, "events")
+        .select(slot.alias("slot_name"))
+        .distinct()
+        .withColumn("start_pos", F.lit(2**32 + 4))
+    )
+    return safe_position(log, starts).select("slot_name", "safe_pos")
 
 
 def month_units(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -60,10 +60,14 @@ def snapshot_long_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_children(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Orders by year of order date; 2001 has no child and goes to the default."""
     orders = table(spark, sf_dir, "orders")
-    ranges = [(f"orders_{y}", f"{y}-01-01", f"{y + 1}-01-01") for y in YEARS]
-    child = route(F.col("o_orderdate"), ranges, "orders_default")
-    names = [name for name, _, _ in ranges] + ["orders_default"]
-    return {name: orders.filter(child == name) for name in names}
+    day = F.col("o_orderdate")
+
+    def between_years(first: int, end: int) -> DataFrame:
+        return orders.filter((day >= f"{first}-01-01") & (day < f"{end}-01-01"))
+
+    children = {f"orders_{y}": between_years(y, y + 1) for y in YEARS}
+    outside = (day < f"{YEARS[0]}-01-01") | (day >= f"{YEARS[-1] + 1}-01-01") | day.isNull()
+    return {**children, "orders_default": orders.filter(outside)}
 
 
 CHILD_SQL = """CASE WHEN year(o_orderdate) BETWEEN 1995 AND 2000
