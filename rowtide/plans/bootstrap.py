@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -22,6 +22,7 @@ def bootstrap(
     point: int | None,
     start: int,
     rows_per_wave: int | None = None,
+    relations: Callable[[], DataFrame] | None = None,
     pk: DataFrame | None = None,
 ) -> StreamingQuery:
     """Bring a pipeline up and start capturing from `start`.
@@ -33,4 +34,4 @@ def bootstrap(
     units = spark.createDataFrame([(o.name,) for o in objects], "unit string")
     if point is not None or not all_snapshotted(units, read_state(spark, state)):
         run_snapshot(spark, objects, read, f"{folder}/snapshot", state, point, rows_per_wave)
-    return start_capture(log, folder, slot, start, pk=pk, state=state)
+    return start_capture(log, folder, slot, start, relations, pk=pk, state=state)

@@ -9,14 +9,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rowtide.operators.progress import load_checkpoint
 from rowtide.operators.state import current_table
 from rowtide.plans.snapshot import SourceObject, run_snapshot
-from rowtide.queries.feed import FEED_SQL, change_log
+from rowtide.queries.feed import FEED_SQL, change_log, feed
 from rowtide.queries.progress import LSN_SQL
 from rowtide.queries.registry import query, table
 from rowtide.queries.snapshots import order_children
 from rowtide.queries.state import NEWEST
 from rowtide.schemas import MESSAGE
 from rowtide.session import shared_dir
-from rowtide.sources.change_log import land_change_log, stream_change_log
+from rowtide.sources.change_log import land_change_log, landed_relations, stream_change_log
 from rowtide.streaming.capture import (
     captured_messages,
     checkpoint_topic,
@@ -31,11 +31,22 @@ def new_folder(spark: SparkSession) -> str:
 
 
 def captured(spark: SparkSession, sf_dir: str) -> str:
-    """Land the log, capture it in micro-batches, and return the folder."""
+    """Land the log in two stretches, capture after each, return the folder.
+
+    The second capture starts from what the first one left.
+    """
     folder = new_folder(spark)
-    land_change_log(change_log(spark, sf_dir), f"{folder}/log")
-    stream = stream_change_log(spark, f"{folder}/log", files_per_batch=4)
-    start_capture(stream, folder, "users").awaitTermination()
+    log = change_log(spark, sf_dir)
+    bounds = feed(spark, sf_dir).agg(F.min("xid").alias("low"), F.max("xid").alias("high")).first()
+    middle = (bounds.low + bounds.high) // 2 * 8
+    for stretch in (F.col("arrival") < middle, F.col("arrival") >= middle):
+        land_change_log(log.filter(stretch), f"{folder}/log")
+        start_capture(
+            stream_change_log(spark, f"{folder}/log", files_per_batch=1000),
+            folder,
+            "users",
+            relations=lambda: landed_relations(spark, f"{folder}/log"),
+        ).awaitTermination()
     return folder
 
 

@@ -30,17 +30,19 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local master may fall back to a folder of its own machine.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if path:
         return path
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     path = tempfile.mkdtemp(prefix="rowtide-")
-    spark.conf.set("spark.checkpoint.dir", path)
+    context.setCheckpointDir(path)
     return path
 
 
 def use_checkpoints(spark: SparkSession) -> None:
     """Point DataFrame.checkpoint() at the shared folder."""
+    path = shared_dir(spark)
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+        spark.sparkContext.setCheckpointDir(path)

@@ -6,35 +6,57 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowtide.functions.lsn import parse_lsn
 from rowtide.operators.decode import with_positions
-from rowtide.schemas import CHANGE_LOG, POSITIONED_LOG, ROW_MSGS, SLOT_STATUS
+from rowtide.schemas import CHANGE_LOG, POSITIONED_LOG, RELATION_MSG, ROW_MSGS, SLOT_STATUS
 
 
-def land_change_log(log: DataFrame, path: str, mode: str = "append") -> None:
-    """Store a log with numeric positions, clustered by commit position.
+def land_change_log(log: DataFrame, path: str) -> None:
+    """Append a stretch of the log, with numeric positions.
 
-    Row groups then cover narrow position ranges, so a read from a start
-    position skips what lies before it. Range partitioning splits any large
-    transaction by `ord`, and needs no key to be evenly spread.
+    Relation messages go to `<path>/relations` first, so that whoever sees a
+    change can look up its relation. The rest goes to `<path>/changes`,
+    clustered by commit position: row groups cover narrow position ranges, and
+    a read from a start position skips what lies before it. Range partitioning
+    splits a large transaction by `ord` and needs no key to be evenly spread.
     """
     positioned = log if "commit_pos" in log.columns else with_positions(log)
-    positioned.repartitionByRange("commit_pos", "ord", "arrival").sortWithinPartitions(
-        "commit_pos", "ord", "arrival"
-    ).write.mode(mode).parquet(path)
+    is_relation = F.col("kind") == RELATION_MSG
+    positioned.filter(is_relation).coalesce(1).write.mode("append").parquet(f"{path}/relations")
+    order = ("commit_pos", "ord", "arrival")
+    (
+        positioned.filter(~is_relation)
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .write.mode("append")
+        .parquet(f"{path}/changes")
+    )
+
+
+def landed_relations(spark: SparkSession, path: str) -> DataFrame:
+    """Relation messages of a landed log."""
+    return spark.read.schema(POSITIONED_LOG).parquet(f"{path}/relations")
 
 
 def read_change_log(spark: SparkSession, path: str, start: int | None = None) -> DataFrame:
-    """A landed log, from transactions that committed at or after `start`."""
-    return _from_start(spark.read.schema(POSITIONED_LOG).parquet(path), start)
+    """A landed log, from transactions that committed at or after `start`.
+
+    Relation messages are read whole: a change needs the one before it.
+    """
+    changes = spark.read.schema(POSITIONED_LOG).parquet(f"{path}/changes")
+    return _from_start(changes, start).unionByName(landed_relations(spark, path))
 
 
 def stream_change_log(
     spark: SparkSession, path: str, start: int | None = None, files_per_batch: int = 100
 ) -> DataFrame:
-    """The same as a stream; a micro-batch takes up to `files_per_batch` files."""
+    """The landed changes as a stream, up to `files_per_batch` files at a time.
+
+    Files are taken in the order they were landed; inside a micro-batch their
+    order does not matter.
+    """
     stream = (
         spark.readStream.schema(POSITIONED_LOG)
         .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(path)
+        .parquet(f"{path}/changes")
     )
     return _from_start(stream, start)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
@@ -24,6 +26,7 @@ def start_capture(
     folder: str,
     slot: str,
     start: int = 0,
+    relations: Callable[[], DataFrame] | None = None,
     pk: DataFrame | None = None,
     roots: DataFrame | None = None,
     state: str | None = None,
@@ -36,12 +39,18 @@ def start_capture(
     when it is repeated, so a batch that failed half-way leaves nothing behind.
     Publishing comes before progress: a restart may resend, never skip. Without
     an `interval` the stream takes what is there and stops.
+
+    Relation messages in the stream are remembered; `relations` reads those
+    that were landed apart from it. `state` is a snapshot's state log, whose
+    unit states go into the checkpoint records.
     """
 
     def batch(rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
         _remember_relations(rows, folder, batch_id)
         history = _upto(spark, f"{folder}/relations", _HISTORY, batch_id)
+        if relations is not None:
+            history = history.unionByName(relation_versions(relations()))
         messages = decode_changes(
             rows, history, pk=pk, roots=roots, old_key_tombstones=old_key_tombstones
         )
