@@ -29,6 +29,8 @@ def bootstrap(
 
     `point` is the consistent point of a slot created for this run; None for a
     slot that existed, whose unfinished objects are then read unpinned.
+    `folder` belongs to one slot: a slot created anew needs a new folder, or
+    what its predecessor had finished would be skipped.
     """
     state = f"{folder}/state"
     units = spark.createDataFrame([(o.name,) for o in objects], "unit string")

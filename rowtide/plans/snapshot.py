@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from hashlib import md5
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.utils import AnalysisException
@@ -74,7 +75,7 @@ def run_snapshot(
             cursor = saved[obj.name].last_pk if obj.name in saved else None
             _table(spark, obj, obj.name, read, out, state, point, cursor, rows_per_wave)
         else:
-            _write(snapshot_view(read(obj.name), obj.name, position=point), out, obj.name, 0)
+            _write(snapshot_view(read(obj.name), obj.name, position=point), out, obj.name, None)
             _save(spark, state, [(obj.name, True, None)])
 
 
@@ -91,7 +92,7 @@ def _root(spark, obj, read, out, state, point, saved, rows_per_wave) -> None:
             rows = {c: read(c) for c in group}
             messages = snapshot_partitioned(spark, rows, obj.name, obj.pk, point)
             # Named by its first child, which stays the same on a repeat.
-            _write(messages, out, group[0], 0)
+            _write(messages, out, group[0], None)
             _save(spark, state, [(c, True, None) for c in group])
     _save(spark, state, [(obj.name, True, None)])
 
@@ -118,9 +119,9 @@ def _done(saved: dict, unit: str) -> bool:
     return unit in saved and bool(saved[unit].done)
 
 
-def _write(messages: DataFrame, out: str, unit: str, cursor: object) -> None:
+def _write(messages: DataFrame, out: str, unit: str, cursor: str | None) -> None:
     """One folder per unit and the cursor it was read from."""
-    folder = "".join(ch if ch.isalnum() else "_" for ch in f"{unit}-{cursor or 0}")
+    folder = md5(f"{unit}\n{cursor or ''}".encode()).hexdigest()
     write_message_log(messages.select(*MESSAGE_COLUMNS, "error"), f"{out}/part={folder}")
 
 
