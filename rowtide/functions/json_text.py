@@ -33,7 +33,7 @@ def rfc3339(ts: Column, zoned: bool = True) -> Column:
         ts = F.timestamp_add(
             "MICROSECOND", F.unix_micros(ts), F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
         )
-    return F.concat(F.translate(ts.cast("string"), " ", "T"), F.lit("Z"))
+    return F.concat(F.replace(ts.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
 
 
 def plain_decimal(text: Column) -> Column:

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from rowtide.schemas import RELATION_MSG
 
-# A history of up to this many versions is held by every task.
+# A history of up to this many versions and bytes is held by every task.
 LOCAL_VERSIONS = 5_000
+LOCAL_BYTES = 32 * 1024 * 1024
 # Versions of one relation that a change may be compared with.
 CANDIDATES = 16
 # Announcements of one relation that one window sorts.
@@ -78,6 +79,7 @@ class History:
             F.max("valid_from.commit_pos").alias("last"),
             F.count("*").alias("n"),
         )
+        text = F.concat_ws("", *[F.col(c).cast("string") for c in self.attributes])
         stats = (
             per_shape.groupBy("relation_id")
             .agg(
@@ -85,17 +87,19 @@ class History:
                 F.sum("n").alias("n"),
                 F.min("valid_from.commit_pos").alias("low"),
                 F.max("last").alias("high"),
+                F.max(F.length(text)).alias("width"),
             )
-            .agg(F.max("shapes"), F.max("n"), F.min("low"), F.max("high"))
+            .agg(F.max("shapes"), F.max("n"), F.min("low"), F.max("high"), F.max("width"))
             .first()
         )
-        most_shapes, most, self.low, self.high = (v or 0 for v in stats)
+        most_shapes, most, self.low, self.high, width = (v or 0 for v in stats)
         if most_shapes <= 1:
             changed = per_shape.select("relation_id", "valid_from", *self.attributes)
         else:
             changed = self._without_repeats(versions, most)
-        rows = changed.limit(LOCAL_VERSIONS + 1).collect()
-        self.rows: list[Row] | None = rows if len(rows) <= LOCAL_VERSIONS else None
+        allowed = min(LOCAL_VERSIONS, LOCAL_BYTES // max(width, 1))
+        rows = changed.limit(allowed + 1).collect()
+        self.rows: list[Row] | None = rows if len(rows) <= allowed else None
         if self.rows is None:
             per_relation = changed.groupBy("relation_id").agg(F.count("*").alias("n"))
             self._slice(per_relation.agg(F.max("n")).first()[0])

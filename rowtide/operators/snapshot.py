@@ -15,8 +15,8 @@ from rowtide.schemas import MESSAGE
 from rowtide.session import use_checkpoints
 
 FETCH_SIZE = 1000
-# Rows of one slice of a distributed rank; a slice is sorted by one task.
-SLICE_ROWS = 2_000_000
+# Keys of one slice of a distributed rank; a slice is sorted by one task.
+SLICE_ROWS = 10_000_000
 
 
 def between(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowtide.functions.lsn import parse_lsn
 from rowtide.operators.decode import with_positions
+from rowtide.operators.sizes import broadcast_if_small
 from rowtide.schemas import CHANGE_LOG, POSITIONED_LOG, RELATION_MSG, ROW_MSGS, SLOT_STATUS
 
 
@@ -20,7 +21,9 @@ def land_change_log(log: DataFrame, path: str) -> None:
     """
     positioned = log if "commit_pos" in log.columns else with_positions(log)
     is_relation = F.col("kind") == RELATION_MSG
-    positioned.filter(is_relation).coalesce(1).write.mode("append").parquet(f"{path}/relations")
+    # Spread by position, then merged to few files by adaptive execution.
+    announced = positioned.filter(is_relation).repartition("commit_pos", "ord")
+    announced.write.mode("append").parquet(f"{path}/relations")
     order = ("commit_pos", "ord", "arrival")
     (
         positioned.filter(~is_relation)
@@ -91,7 +94,9 @@ def _from_start(log: DataFrame, start: int | None) -> DataFrame:
 def published_only(log: DataFrame, published_relations: DataFrame) -> DataFrame:
     """Row changes of published relations, and every other kind of message."""
     rows = log.filter(F.col("kind").isin(*ROW_MSGS)).join(
-        published_relations.select("relation_id"), "relation_id", "left_semi"
+        broadcast_if_small(published_relations.select("relation_id").distinct()),
+        "relation_id",
+        "left_semi",
     )
     return log.filter(~F.col("kind").isin(*ROW_MSGS)).unionByName(rows)
 

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
-from rowtide.functions.lsn import format_lsn
 from rowtide.operators.decode import decode_changes
 from rowtide.operators.messages import MESSAGE_COLUMNS
 from rowtide.operators.progress import checkpoint_record, safe_position
@@ -18,7 +17,7 @@ from rowtide.schemas import MESSAGE, RELATION
 from rowtide.sources.sinks import append_checkpoint, write_message_log
 
 _HISTORY = f"relation_id bigint, relation {RELATION}, valid_from struct<commit_pos:bigint,ord:bigint>"
-_PROGRESS = "slot_name string, safe_pos bigint, last_commit bigint, batch bigint"
+_PROGRESS = "slot_name string, safe_pos bigint, last_commit bigint"
 
 
 def start_capture(
@@ -48,7 +47,7 @@ def start_capture(
     def batch(rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
         _remember_relations(rows, folder, batch_id)
-        history = _upto(spark, f"{folder}/relations", _HISTORY, batch_id)
+        history = _remembered(spark, folder, batch_id)
         if relations is not None:
             history = history.unionByName(relation_versions(relations()))
         messages = decode_changes(
@@ -71,36 +70,43 @@ def start_capture(
 def _remember_relations(rows: DataFrame, folder: str, batch_id: int) -> None:
     """Later batches need the versions announced in this one."""
     announced = relation_versions(rows)
-    announced.coalesce(1).write.mode("overwrite").parquet(f"{folder}/relations/batch={batch_id}")
+    if not announced.isEmpty():
+        spread = announced.repartition("valid_from")
+        spread.write.mode("overwrite").parquet(f"{folder}/relations/batch={batch_id}")
 
 
-def _upto(spark: SparkSession, path: str, ddl: str, batch_id: int) -> DataFrame:
-    """Rows of this and earlier batches; later ones are left from a lost run."""
-    ddl = ddl if "batch bigint" in ddl else f"{ddl}, batch bigint"
-    return spark.read.schema(ddl).parquet(path).filter(F.col("batch") <= batch_id).drop("batch")
+def _remembered(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
+    """Versions of this and earlier batches; later ones are left from a lost run."""
+    try:
+        stored = spark.read.schema(f"{_HISTORY}, batch bigint").parquet(f"{folder}/relations")
+    except AnalysisException:
+        return spark.createDataFrame([], _HISTORY)
+    return stored.filter(F.col("batch") <= batch_id).drop("batch")
 
 
-def _save_progress(spark, rows, folder, slot, start, state, batch_id) -> None:
+def _save_progress(
+    spark: SparkSession,
+    rows: DataFrame,
+    folder: str,
+    slot: str,
+    start: int,
+    state: str | None,
+    batch_id: int,
+) -> None:
     """Safe position after the batch, and the checkpoint record with it."""
-    try:
-        earlier = _upto(spark, f"{folder}/progress", _PROGRESS, batch_id - 1)
-        last = earlier.orderBy(F.desc("last_commit"), F.desc("safe_pos")).first()
-    except AnalysisException:
-        last = None
-    begin = (slot, start, start) if last is None else (slot, last.safe_pos, last.last_commit)
+    begin = (slot, start, start)
+    if batch_id > 0:
+        last = spark.read.schema(_PROGRESS).parquet(f"{folder}/progress/batch={batch_id - 1}").first()
+        begin = (slot, last.safe_pos, last.last_commit)
     starts = spark.createDataFrame([begin], "slot_name string, start_pos bigint, last_commit bigint")
-    reached = safe_position(rows.withColumn("slot_name", F.lit(slot)), starts)
-    reached.coalesce(1).write.mode("overwrite").parquet(f"{folder}/progress/batch={batch_id}")
-    confirmed = (
-        spark.read.parquet(f"{folder}/progress/batch={batch_id}")
-        .select(format_lsn(F.col("safe_pos")).alias("lsn"))
-        .first()["lsn"]
-    )
-    units = (
-        spark.createDataFrame([], "unit string, done boolean, last_pk string")
-        if state is None
-        else read_state(spark, state)
+    reached = safe_position(rows.withColumn("slot_name", F.lit(slot)), starts).first()
+    spark.createDataFrame([reached], _PROGRESS).coalesce(1).write.mode("overwrite").parquet(
+        f"{folder}/progress/batch={batch_id}"
     )
+    units = spark.createDataFrame([], "unit string, done boolean, last_pk string")
+    if state is not None:
+        units = read_state(spark, state)
+    confirmed = f"{reached.safe_pos >> 32:X}/{reached.safe_pos & 0xFFFFFFFF:X}"
     append_checkpoint(checkpoint_record(units, confirmed), f"{folder}/checkpoint", batch_id)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from rowtide.functions.keyset import last_cursor, read_cursor
+from rowtide.functions.names import route
 from rowtide.operators.messages import kafka_layout, ordered_by_key, row_messages, split_quarantine
 from rowtide.operators.snapshot import (
     between,
@@ -234,3 +235,21 @@ def test_snapshot_job_goes_on_from_a_cursor(spark, keyed, tmp_path, monkeypatch)
     got = published(spark, out)
     assert set(got) == {("s.t", f'{{"a":{a},"b":{b}}}') for a, b, _ in rows(keyed)}
     assert read_state(spark, state).first().done
+
+
+def test_bulk_load(spark):
+    """Twelve thousand seeded rows over 58 days lie in two months."""
+    seed = F.rand(7)
+    bulk = spark.range(1, 12001).select(
+        "id",
+        F.concat(F.lit("Cliente "), "id").alias("cliente"),
+        F.round(seed * 500, 2).alias("valor"),
+        (F.lit("2026-01-01").cast("timestamp") + F.make_interval(secs=F.floor(seed * 58 * 86400))).alias("criado_em"),
+    )
+    ranges = [("2026_01", "2026-01-01", "2026-02-01"), ("2026_02", "2026-02-01", "2026-03-01")]
+    child = route(F.col("criado_em"), ranges, "default").alias("unit")
+    counts = bulk.groupBy(child).agg(F.count("*").alias("rows"))
+    assert {r.unit for r in counts.collect()} == {"2026_01", "2026_02"}
+    whole = bulk.agg(F.lit("all").alias("unit"), F.count("*").alias("rows"))
+    assert rows(page_plan(whole, 1000), "pages", "last_page_rows") == [(13, 0)]
+    assert page_cursors(bulk, ["id"], 1000, slice_rows=5000).count() == 12
