@@ -80,9 +80,13 @@ class ShapeEncoder:
         )
 
     def _value(self, shape: dict, sent: Column) -> Column:
+        by_name = sorted(enumerate(shape["columns"]), key=lambda x: x[1]["name"].encode())
         members = [
-            F.concat(F.lit(json.dumps(c["name"], ensure_ascii=False) + ":"), self._json(sent, i, c["type_oid"]))
-            for i, c in sorted(enumerate(shape["columns"]), key=lambda x: x[1]["name"].encode())
+            F.concat(
+                F.lit(json.dumps(c["name"], ensure_ascii=False) + ":"),
+                self._json(sent, i, c["type_oid"]),
+            )
+            for i, c in by_name
         ]
         # concat_ws leaves out the columns that were not sent.
         return F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))

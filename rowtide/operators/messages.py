@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -89,6 +90,34 @@ def ordered_by_key(messages: DataFrame, partitions: int | None = None) -> DataFr
     return spread_out.sortWithinPartitions("table", "key", "commit_pos", "ord")
 
 
+def position_waves(
+    messages: DataFrame, rows_per_wave: int
+) -> list[tuple[int | None, int | None]]:
+    """Cut messages into position ranges `(after, up to]` of about equal size.
+
+    Published one after the other they keep the order of every key, and a hot
+    key, which cannot be split inside a wave, is no longer than its share of
+    one. The cuts need not be exact: the ranges are disjoint and complete.
+    """
+    waves = ceil(messages.count() / rows_per_wave)
+    if waves <= 1:
+        return [(None, None)]
+    shares = [i / waves for i in range(1, waves)]
+    cuts = messages.agg(F.percentile_approx("commit_pos", shares, 10 * waves)).first()[0] or []
+    bounds = [None, *sorted(set(cuts)), None]
+    return list(zip(bounds, bounds[1:]))
+
+
+def in_wave(wave: tuple[int | None, int | None]) -> Column:
+    """Messages of a wave; those without a position belong to the first."""
+    after, up_to = wave
+    position = F.col("commit_pos")
+    inside = F.lit(True) if up_to is None else position <= up_to
+    if after is None:
+        return inside if up_to is None else inside | position.isNull()
+    return inside & (position > after)
+
+
 def compact(topic: DataFrame, keys: Sequence[str] = ("key",), order: str = "offset") -> DataFrame:
     """Log compaction: the newest record of each key, tombstones included.
 

@@ -68,8 +68,9 @@ def load_checkpoint(topic: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.col("_v").isNotNull() & ((kind == "VOID") | (is_object & well_typed & flags_ok))
     )
     newest = F.max_by(read, F.col("offset"))
+    none = F.create_map().cast("map<string,struct<done:string,last_pk:string>>")
     unit_state = F.transform_values(
-        F.coalesce(F.col("_c.snapshots"), F.create_map().cast("map<string,struct<done:string,last_pk:string>>")),
+        F.coalesce(F.col("_c.snapshots"), none),
         lambda _, s: F.struct(
             F.coalesce(s["done"] == "true", F.lit(False)).alias("done"), s["last_pk"].alias("last_pk")
         ),

@@ -8,6 +8,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from rowtide.schemas import RELATION_MSG
+from rowtide.session import use_checkpoints
 
 # A history of up to this many versions and bytes is held by every task.
 LOCAL_VERSIONS = 5_000
@@ -101,6 +102,9 @@ class History:
         rows = changed.limit(allowed + 1).collect()
         self.rows: list[Row] | None = rows if len(rows) <= allowed else None
         if self.rows is None:
+            # Used several times below, so it is computed once.
+            use_checkpoints(versions.sparkSession)
+            changed = changed.checkpoint()
             per_relation = changed.groupBy("relation_id").agg(F.count("*").alias("n"))
             self._slice(per_relation.agg(F.max("n")).first()[0])
             self.frame = self._spread(self._intervals(changed))

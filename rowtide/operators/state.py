@@ -30,8 +30,11 @@ def current_table(
     """Live rows: the newest message per key unless it is a tombstone.
 
     `truncates(table, commit_pos, ord)` also removes what came before a
-    truncate of the table; by default truncates are not applied.
+    truncate of the table; by default truncates are not applied. Messages in
+    error have no place in a table.
     """
+    if "error" in messages.columns:
+        messages = messages.filter("error IS NULL").drop("error")
     if truncates is not None:
         messages = after_truncates(messages, truncates)
     return newest_per_key(messages, key).filter(F.col("op") != DELETE)

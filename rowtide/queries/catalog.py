@@ -116,7 +116,9 @@ def requested_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = table(spark, sf_dir, "supplier").select(
         F.concat(F.lit("s"), "s_nationkey", F.lit("."), "s_name").alias("requested")
     )
-    parts = table(spark, sf_dir, "part").select(F.concat("p_name", F.lit(" "), "p_partkey").alias("requested"))
+    parts = table(spark, sf_dir, "part").select(
+        F.concat("p_name", F.lit(" "), "p_partkey").alias("requested")
+    )
     return customers.unionByName(suppliers).unionByName(parts)
 
 

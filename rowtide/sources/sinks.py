@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowtide.operators.messages import kafka_columns, ordered_by_key
+from rowtide.operators.messages import in_wave, kafka_columns, ordered_by_key, position_waves
 from rowtide.schemas import MESSAGE
 
 # Producer settings of the message topic.
@@ -46,23 +46,35 @@ def write_message_log(
 def read_message_log(spark: SparkSession, path: str, topic: str = "messages") -> DataFrame:
     """Messages of one topic of a parquet log."""
     ddl = f"{MESSAGE}, error string, topic string"
-    log = spark.read.schema(ddl).option("recursiveFileLookup", "false").parquet(path)
+    log = spark.read.schema(ddl).parquet(path)
     return log.filter(F.col("topic") == topic).drop("topic")
 
 
 def write_message_topic(
-    messages: DataFrame, servers: str, topic: str, partitions: int | None = None, **options: str
+    messages: DataFrame,
+    servers: str,
+    topic: str,
+    partitions: int | None = None,
+    rows_per_wave: int | None = None,
+    **options: str,
 ) -> None:
-    """Messages to Kafka, in log order per key; the key picks the partition."""
-    ordered = ordered_by_key(with_topic(messages, topic), partitions)
-    (
-        ordered.select("topic", *kafka_columns())
-        .write.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("includeHeaders", "true")
-        .options(**{**PRODUCER, **options})
-        .save()
-    )
+    """Messages to Kafka, in log order per key; the key picks the partition.
+
+    A large log is best published in waves of `rows_per_wave`, see
+    `position_waves`.
+    """
+    waves = [(None, None)] if rows_per_wave is None else position_waves(messages, rows_per_wave)
+    for wave in waves:
+        part = with_topic(messages.filter(in_wave(wave)), topic)
+        (
+            ordered_by_key(part, partitions)
+            .select("topic", *kafka_columns())
+            .write.format("kafka")
+            .option("kafka.bootstrap.servers", servers)
+            .option("includeHeaders", "true")
+            .options(**{**PRODUCER, **options})
+            .save()
+        )
 
 
 def append_state(states: DataFrame, path: str) -> None:

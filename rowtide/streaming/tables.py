@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rowtide.operators.state import current_table, newest_per_key
-from rowtide.schemas import MESSAGE
+from rowtide.schemas import DELETE, MESSAGE
 
 
 def start_table(messages: DataFrame, folder: str, interval: str | None = None) -> StreamingQuery:
@@ -50,4 +50,4 @@ def fold_table(spark: SparkSession, folder: str, target: str) -> None:
 def live_rows(messages: DataFrame) -> DataFrame:
     """The same reduction as a streaming aggregate, for `update` or `complete`
     output; its state is the table itself."""
-    return newest_per_key(messages).filter(F.col("op") != "d")
+    return newest_per_key(messages).filter(F.col("op") != DELETE)

@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 from conftest import rows
 from rowtide.functions.keyset import last_cursor, read_cursor
 from rowtide.functions.names import route
-from rowtide.operators.messages import kafka_layout, ordered_by_key, row_messages, split_quarantine
+from rowtide.operators.messages import (
+    in_wave,
+    kafka_layout,
+    ordered_by_key,
+    position_waves,
+    row_messages,
+    split_quarantine,
+)
 from rowtide.operators.snapshot import (
     between,
     keyset_page,
@@ -253,3 +260,19 @@ def test_bulk_load(spark):
     whole = bulk.agg(F.lit("all").alias("unit"), F.count("*").alias("rows"))
     assert rows(page_plan(whole, 1000), "pages", "last_page_rows") == [(13, 0)]
     assert page_cursors(bulk, ["id"], 1000, slice_rows=5000).count() == 12
+
+
+def test_publishing_in_waves(spark):
+    """Disjoint, complete and in order, whatever the positions look like."""
+    positions = [None, None] + [7] * 300 + list(range(400))
+    log = spark.createDataFrame([(p, i) for i, p in enumerate(positions)], "commit_pos bigint, i int")
+    for size in (10, 100, 10_000):
+        waves = position_waves(log, size)
+        parts = [rows(log.filter(in_wave(w))) for w in waves[:20]]
+        if len(waves) <= 20:
+            assert sorted(sum(parts, []), key=repr) == rows(log)
+        tops = [max(p for p, _ in part if p is not None) for part in parts]
+        lows = [min(p for p, _ in part if p is not None) for part in parts]
+        assert all(a < b for a, b in zip(tops, lows[1:]))
+    assert position_waves(log, 10_000) == [(None, None)]
+    assert position_waves(log.filter("i < 0"), 10) == [(None, None)]

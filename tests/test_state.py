@@ -129,3 +129,8 @@ def test_a_hot_key_is_combined_before_the_shuffle(spark):
     messages = decode_changes(frame(spark, workload(12)))
     plan = current_table(messages)._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan
+
+
+def test_dead_letters_are_not_rows(spark):
+    log = [announce(), message("I", 1, 0, 9, new=tuple_(1, "a", 1)), message("I", 2, 0, new=tuple_(1, "a", 1))]
+    assert rows(current_table(decode_changes(frame(spark, log))), "key") == [('{"id":1}',)]
