@@ -19,6 +19,7 @@ from rowtide.queries.feed import (
     USERS,
     change_log,
     feed,
+    first_change,
     kind_of,
     log_rows,
     marked,
@@ -76,19 +77,17 @@ def toast_omission(spark: SparkSession, sf_dir: str) -> DataFrame:
         new_tuple=F.when(~dead, pair),
     )
     known = log_rows(
-        events.filter("event_id = 0"),
+        first_change(events),
         "R",
-        commit_pos=F.lit(0),
-        ord=F.lit(0),
         relation_id=F.lit(USERS),
         relation=relation("public", "users", [("user_id", 20, 1), ("props", 25, 0)]),
     )
     messages = decode_changes(changes.unionByName(known))
     # The position of the row: from the place in the log back to the event.
-    return messages.select(_row_lsn().alias("lsn"), "value")
+    return messages.select(row_lsn().alias("lsn"), "value")
 
 
-def _row_lsn():
+def row_lsn():
     """Row position of a change, from its commit position and `ord`."""
     block_end = F.expr("(commit_pos - 4294967300) div 16")
     member = F.expr("((commit_pos - 4294967300) % 16) div 4")
@@ -166,11 +165,11 @@ def decode_typed_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed
 
 
-# Five relations, one per event type. About one event in ten is preceded by a
-# relation message whose number of columns changes with time.
+# Five relations, one per event type. An event of high value is preceded by a
+# relation message, whose number of columns changes with time.
 VERSION_CTE = """versions AS (
       SELECT event_type, commit_pos * 8 + ord AS at, 1 + (event_id // 50) % 4 AS n_columns
-      FROM feed WHERE event_id % 10 = 3)"""
+      FROM feed WHERE value > 60)"""
 
 
 def relation_ids(event_type):
@@ -191,7 +190,7 @@ def versioned_log(events: DataFrame) -> DataFrame:
         ),
     )
     announced = log_rows(
-        events.filter("event_id % 10 = 3"),
+        events.filter("value > 60"),
         "R",
         relation_id=relation_ids(F.col("event_type")),
         relation=F.struct(
@@ -234,7 +233,7 @@ def surplus_columns_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tuple columns beyond the relation's are dropped, missing ones absent."""
     good, _ = split_quarantine(decode_changes(versioned_log(feed(spark, sf_dir))))
     fields = F.size(F.json_object_keys("value")).cast("bigint")
-    return good.filter("op <> 'd'").select(_row_lsn().alias("lsn"), fields.alias("fields"), "op")
+    return good.filter("op <> 'd'").select(row_lsn().alias("lsn"), fields.alias("fields"), "op")
 
 
 @query(f"""
@@ -245,7 +244,7 @@ def surplus_columns_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
 def unknown_relation_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes that come before any message about their relation."""
     _, bad = split_quarantine(decode_changes(versioned_log(feed(spark, sf_dir))))
-    return bad.filter("error = 'unknown_relation'").select(_row_lsn().alias("lsn"), "op", "error")
+    return bad.filter("error = 'unknown_relation'").select(row_lsn().alias("lsn"), "op", "error")
 
 
 def damaged_log(events: DataFrame) -> DataFrame:
@@ -272,7 +271,7 @@ def delete_without_old_tuple(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deletes whose key is not known are set aside."""
     events = feed(spark, sf_dir)
     _, bad = split_quarantine(decode_changes(damaged_log(events)))
-    dropped = bad.filter("error = 'delete_without_old_tuple'").select(_row_lsn().alias("lsn"))
+    dropped = bad.filter("error = 'delete_without_old_tuple'").select(row_lsn().alias("lsn"))
     return (
         dropped.join(events.select("lsn", "user_id"), "lsn")
         .groupBy("user_id")
@@ -286,7 +285,7 @@ def delete_without_old_tuple(spark: SparkSession, sf_dir: str) -> DataFrame:
 def binary_status_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tuples with binary columns are set aside."""
     _, bad = split_quarantine(decode_changes(damaged_log(feed(spark, sf_dir))))
-    return bad.filter("error = 'binary_tuple'").select(_row_lsn().alias("lsn"), "op", "error")
+    return bad.filter("error = 'binary_tuple'").select(row_lsn().alias("lsn"), "op", "error")
 
 
 @query(f"""
@@ -301,7 +300,7 @@ def float_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     log = user_changes(events).unionByName(session_relations(events))
     _, bad = split_quarantine(decode_changes(log))
-    return bad.select(_row_lsn().alias("lsn"), "op", "error")
+    return bad.select(row_lsn().alias("lsn"), "op", "error")
 
 
 @query(f"""
@@ -419,16 +418,15 @@ def replica_identity_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = feed(spark, sf_dir).filter("op <> 'd'")
     sent = F.array(text(F.col("user_id")), marked("u"), text(F.col("props"))).cast(TUPLE)
     changes = log_rows(events, kind_of(F.col("op")), relation_id=F.lit(USERS), new_tuple=sent)
+    columns = [("user_id", 20, 1), ("value", 701, 1), ("props", 25, 1)]
     known = log_rows(
-        feed(spark, sf_dir).filter("event_id = 0"),
+        first_change(events),
         "R",
-        commit_pos=F.lit(0),
-        ord=F.lit(0),
         relation_id=F.lit(USERS),
-        relation=relation("public", "users", [("user_id", 20, 1), ("value", 701, 1), ("props", 25, 1)]),
+        relation=relation("public", "users", columns),
     )
     messages = decode_changes(changes.unionByName(known))
-    return messages.select("key", _row_lsn().alias("lsn"))
+    return messages.select("key", row_lsn().alias("lsn"))
 
 
 @query(f"""
@@ -438,12 +436,12 @@ def replica_identity_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 def catalog_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalog's primary key wins over the replica identity."""
     events = feed(spark, sf_dir)
-    pk = events.filter("event_id = 0").select(
+    pk = first_change(events).select(
         F.lit("public.users").alias("table"), F.array(F.lit("props")).alias("pk_columns")
     )
     messages = decode_changes(change_log(spark, sf_dir), pk=pk)
     return messages.filter("op <> 'd' AND key <> '{\"props\":null}'").select(
-        "key", _row_lsn().alias("lsn")
+        "key", row_lsn().alias("lsn")
     )
 
 

@@ -111,10 +111,17 @@ def user_changes(events: DataFrame, relation_id: Column | None = None) -> DataFr
     )
 
 
+def first_change(events: DataFrame, *by: Column) -> DataFrame:
+    """Position of the first change, of the whole feed or of each group."""
+    first = F.min(F.struct("commit_pos", "ord")).alias("first")
+    found = events.groupBy(*by).agg(F.min("xid").alias("xid"), first)
+    return found.select("xid", "first.*")
+
+
 def session_relations(events: DataFrame) -> DataFrame:
     """The users relation, announced again at the start of every session."""
     return log_rows(
-        events.filter(F.col("event_id") % SESSION_EVENTS == 0),
+        first_change(events, F.expr(f"event_id div {SESSION_EVENTS}")),
         "R",
         arrival=F.col("xid") * 8,
         relation_id=F.lit(USERS),
@@ -134,11 +141,10 @@ def commits(events: DataFrame) -> DataFrame:
 
 
 def server_positions(events: DataFrame) -> DataFrame:
-    """A keepalive after the second transaction of each block. Its position is
-    ahead of the next commits, so that those move the safe position back."""
-    first = events.filter("ord = 0 AND event_id % 3 = 1")
+    """A keepalive after every transaction. Its position is ahead of the next
+    commits, so that those move the safe position back."""
     return log_rows(
-        first,
+        events.filter("ord = 0"),
         "K",
         xid=F.lit(None),
         commit_pos=F.lit(None),

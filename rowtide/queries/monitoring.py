@@ -142,7 +142,7 @@ def table_topic_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
     WITH {FEED_SQL}
     SELECT count(*) AS keepalives, count(*) FILTER (event_type = 'error') AS replies,
-      max(commit_pos) + 400 AS server_pos FROM feed WHERE ord = 0 AND event_id % 3 = 1""")
+      max(commit_pos) + 400 AS server_pos FROM feed WHERE ord = 0""")
 def keepalive_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Position-only messages and the replies they ask for."""
     return keepalives(change_log(spark, sf_dir)).agg(

@@ -120,7 +120,7 @@ def start_position(spark: SparkSession, sf_dir: str) -> DataFrame:
       FROM feed WHERE ord = 0
       UNION ALL
       SELECT 'slot_' || (event_id // 15) % 7, xid * 8 + 7, commit_pos + 400, NULL
-      FROM feed WHERE ord = 0 AND event_id % 3 = 1),
+      FROM feed WHERE ord = 0),
     run AS (
       SELECT *, coalesce(max(commit_pos) OVER (PARTITION BY slot_name ORDER BY arrival
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 4294967300) AS last_commit FROM log),

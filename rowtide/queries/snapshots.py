@@ -162,12 +162,15 @@ def view_refresh_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM lineitem GROUP BY ALL""")
 def keyless_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A keyless object of many rows, read whole like a view."""
-    value = F.from_json("value", "l_orderkey bigint, l_returnflag string, l_linestatus string")
+    fields = ("l_returnflag", "l_linestatus", "l_orderkey")
     return (
         snapshot_view(table(spark, sf_dir, "lineitem"), "public.lineitem")
-        .select("key", value.alias("v"))
-        .groupBy("v.l_returnflag", "v.l_linestatus", "key")
-        .agg(F.count("*").alias("snapshot_rows"), F.sum("v.l_orderkey").alias("orderkeys"))
+        .select("key", F.json_tuple("value", *fields).alias(*fields))
+        .groupBy("l_returnflag", "l_linestatus", "key")
+        .agg(
+            F.count("*").alias("snapshot_rows"),
+            F.sum(F.col("l_orderkey").cast("bigint")).alias("orderkeys"),
+        )
     )
 
 

@@ -78,7 +78,7 @@ def streamed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH {FEED_SQL}, log AS (
       SELECT xid * 8 + 1 + ord AS arrival, lsn AS seen, NULL AS commit_pos FROM feed
       UNION ALL SELECT xid * 8 + 6, commit_pos + 2, commit_pos FROM feed WHERE ord = 0
-      UNION ALL SELECT xid * 8 + 7, commit_pos + 400, NULL FROM feed WHERE ord = 0 AND event_id % 3 = 1),
+      UNION ALL SELECT xid * 8 + 7, commit_pos + 400, NULL FROM feed WHERE ord = 0),
     top AS (SELECT max(commit_pos) AS c, arg_max(arrival, commit_pos) AS a FROM log),
     safe AS (SELECT greatest(max(c), coalesce(max(seen) FILTER (arrival > a), 0)) AS lsn FROM log, top)
     SELECT {LSN_SQL} AS confirmed_lsn FROM safe""")

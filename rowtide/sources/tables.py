@@ -48,7 +48,8 @@ def jdbc_options(
     """Options of a JDBC snapshot read.
 
     With an exported snapshot each of Spark's connections joins it before it
-    reads, so that all partitions see one consistent point.
+    reads, so that all partitions see one consistent point. A fetch size makes
+    the driver open the transaction that these settings apply to.
     """
     if fetch_size < 1:
         raise ValueError("fetch size must be positive")
@@ -56,9 +57,8 @@ def jdbc_options(
     if exported_snapshot is not None:
         if "'" in exported_snapshot:
             raise ValueError("bad snapshot name")
-        options["isolationLevel"] = "REPEATABLE_READ"
         options["sessionInitStatement"] = (
-            "BEGIN ISOLATION LEVEL REPEATABLE READ READ ONLY; "
+            "SET TRANSACTION ISOLATION LEVEL REPEATABLE READ READ ONLY; "
             f"SET TRANSACTION SNAPSHOT '{exported_snapshot}'"
         )
     return options

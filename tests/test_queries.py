@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from rowtide.queries.changes import row_lsn
 
 
 def normal(value):
@@ -44,3 +45,9 @@ def test_query(spark, sql, small, name):
     want = sorted((tuple(normal(r[i]) for i in place) for r in result.fetchall()), key=repr)
     assert got == want
     assert want
+
+
+def test_entry_positions(spark):
+    """The sum of the row positions of the live rows, worked out beforehand."""
+    live = driver.entry(spark).withColumn("lsn", row_lsn())
+    assert live.agg({"lsn": "sum"}).first()[0] == 51539797008

@@ -193,3 +193,15 @@ def test_kafka_needs_its_connector(spark):
     messages = decode_changes(frame(spark, workload(2)))
     with pytest.raises(Exception, match="(?i)kafka"):
         write_message_topic(messages, "localhost:0", "t")
+
+
+def test_views_are_refreshed_at_an_interval(spark, tmp_path):
+    out = str(tmp_path / "views")
+    query = start_refresh(spark, {"s.v": lambda: spark.range(2)}, out, 1, str(tmp_path / "ticks"))
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    log = spark.read.schema(f"{MESSAGE}, error string, cycle int").parquet(out)
+    counts = {r["count"] for r in log.groupBy("cycle").count().collect()}
+    assert counts == {2}
