@@ -143,9 +143,9 @@ def decode_typed_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey",
         "o_custkey",
-        F.col("o_orderdate").cast("timestamp").alias("at"),
-        F.concat(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), F.lit("+00")).alias("ts"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
+        F.col("o_orderdate").alias("at"),
+        F.concat(F.col("o_orderdate").cast("string"), F.lit("+00")).alias("ts"),
+        F.col("o_orderdate").cast("date").cast("string").alias("day"),
         F.concat(F.lit("{"), "o_orderkey", F.lit(",NULL,"), "o_custkey", F.lit("}")).alias("arr"),
         F.concat("o_custkey", F.lit(".500")).alias("num"),
     )

@@ -249,12 +249,12 @@ def test_bulk_load(spark):
     seed = F.rand(7)
     bulk = spark.range(1, 12001).select(
         "id",
-        F.concat(F.lit("Cliente "), "id").alias("cliente"),
-        F.round(seed * 500, 2).alias("valor"),
-        (F.lit("2026-01-01").cast("timestamp") + F.make_interval(secs=F.floor(seed * 58 * 86400))).alias("criado_em"),
+        F.concat(F.lit("Customer "), "id").alias("name"),
+        F.round(seed * 500, 2).alias("amount"),
+        (F.lit("2026-01-01").cast("timestamp") + F.make_interval(secs=F.floor(seed * 58 * 86400))).alias("created_at"),
     )
     ranges = [("2026_01", "2026-01-01", "2026-02-01"), ("2026_02", "2026-02-01", "2026-03-01")]
-    child = route(F.col("criado_em"), ranges, "default").alias("unit")
+    child = route(F.col("created_at"), ranges, "default").alias("unit")
     counts = bulk.groupBy(child).agg(F.count("*").alias("rows"))
     assert {r.unit for r in counts.collect()} == {"2026_01", "2026_02"}
     whole = bulk.agg(F.lit("all").alias("unit"), F.count("*").alias("rows"))
