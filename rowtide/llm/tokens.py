@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+import os
 import re
 import string
+from array import array
 from functools import lru_cache
 
 import numpy as np
 from tokenizers import Tokenizer
 
+# A task has one core; the library's own threads would take those of others.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
 END = 1
-#: Words kept by a worker, about 200 bytes each. The cache is emptied when
-#: full; it changes the speed only, never the ids.
-CACHED_WORDS = 500_000
+#: Words in each of the two generations of a worker's cache, about 200 bytes
+#: each. The cache changes the speed only, never the ids.
+CACHED_WORDS = 350_000
 LONGEST_CACHED = 64
 SEGMENT = 1_000_000
+WORD_END = "</w>"
 
 # Python's split() takes these for white space, the tokenizer does not.
 _CONTROLS = re.compile("[\x1c-\x1f]")
@@ -32,8 +38,13 @@ class Encoder:
     def __init__(self, path: str, words_apart: bool = True):
         self.tokenizer = Tokenizer.from_file(path)
         self.words_apart = words_apart
-        self.width = np.dtype(np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
-        self.cache: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.code = "H" if max(vocabulary.values()) < 1 << 16 else "I"
+        self.width = np.dtype(self.code)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def ids(self, text: str | None) -> np.ndarray:
         """Ids as unsigned 32-bit integers, without special tokens added."""
@@ -46,34 +57,60 @@ class Encoder:
 
     def _segment(self, text: str) -> bytes:
         words = lowered(text).split()
-        known = self.cache
-        missing = [w for w in set(words) if w not in known]
-        if missing:
-            if len(known) + len(missing) > CACHED_WORDS:
-                known.clear()
-                missing = list(set(words))
-            self._learn(missing)
-        raw = b"".join(map(known.__getitem__, words))
-        for word in missing:
-            if len(word) > LONGEST_CACHED:
-                del known[word]
-        return raw
-
-    def _learn(self, words: list[str]) -> None:
-        """Cache words; letters followed by punctuation are two tokens' texts."""
-        known, parts = self.cache, {}
+        found = list(map(self.young.get, words))
+        if None in found:
+            learned = self._learn(dict.fromkeys(w for w, raw in zip(words, found) if raw is None))
+            found = [learned[w] if raw is None else raw for w, raw in zip(words, found)]
+        return b"".join(found)
+
+    def _learn(self, words: dict[str, None]) -> dict[str, bytes]:
+        """Ids of words that the young generation lacks, which then has them."""
+        out, plain, split, odd = {}, {}, [], []
         for word in words:
-            core = word.rstrip(string.punctuation)
-            parts[word] = (core, word[len(core) :]) if core.isalpha() and core != word else (word,)
-        new = list({p for split in parts.values() for p in split if p not in known})
-        for part, encoding in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[part] = np.array(encoding.ids, self.width).tobytes()
-        for word, split in parts.items():
-            if len(split) > 1:
-                known[word] = known[split[0]] + known[split[1]]
-        for part in new:
-            if part not in parts and len(part) > LONGEST_CACHED:
-                del known[part]
+            raw = self.old.get(word)
+            if raw is not None:
+                out[word] = raw
+            elif word.isalpha():
+                plain[word] = None
+            else:
+                # Letters followed by punctuation: the tokenizer parts them.
+                core = word.rstrip(string.punctuation)
+                if core != word and core.isalpha():
+                    tail = word[len(core) :]
+                    split.append((word, core, tail))
+                    if core not in self.young and core not in self.old:
+                        plain[core] = None
+                    if tail not in self.young:
+                        odd.append(tail)
+                else:
+                    odd.append(word)
+        if plain:
+            out.update(self._letters(list(plain)))
+        if odd:
+            out.update(self._apart(list(dict.fromkeys(odd))))
+        for word, core, tail in split:
+            out[word] = self._known(core, out) + self._known(tail, out)
+        if len(self.young) + len(out) > CACHED_WORDS:
+            self.old, self.young = self.young, {}
+        self.young.update((w, raw) for w, raw in out.items() if len(w) <= LONGEST_CACHED)
+        return out
+
+    def _known(self, word: str, fresh: dict[str, bytes]) -> bytes:
+        return fresh.get(word) or self.young.get(word) or self.old[word]
+
+    def _letters(self, words: list[str]) -> dict[str, bytes]:
+        """Words of letters alone, encoded as one text and cut where words end."""
+        whole = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0]
+        ids = np.array(whole.ids, self.width)
+        cuts = ((np.flatnonzero(self.ends[ids]) + 1) * self.width.itemsize).tolist()
+        if len(cuts) != len(words):
+            return self._apart(words)
+        raw = ids.tobytes()
+        return {w: raw[a:b] for w, a, b in zip(words, [0, *cuts], cuts)}
+
+    def _apart(self, words: list[str]) -> dict[str, bytes]:
+        encodings = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return {w: array(self.code, e.ids).tobytes() for w, e in zip(words, encodings)}
 
 
 def lowered(text: str) -> str:
