@@ -36,6 +36,8 @@ PIECE = 1 << 18
 SCORED = 1 << 20
 #: N-grams that count as independent evidence in a score.
 EVIDENCE = 200
+#: Score below which a text's language counts as unknown.
+LEAST_SCORE = 0.5
 #: Languages that a model may have; more are refused, so that it stays small.
 MOST_LANGUAGES = 500
 
@@ -215,3 +217,13 @@ def identify(docs: DataFrame) -> DataFrame:
         docs.select("doc_id", held_out().alias("held_out"), predicted(docs, model).alias("_p"))
         .select("doc_id", "held_out", "_p.lang_pred", "_p.score")
     )
+
+
+def with_known_language(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
+    """`docs` without the rows whose language cannot be told; all columns stay.
+
+    These have no text or no letter, or no language with a score of `least`.
+    """
+    model = train(docs.filter(F.col("doc_id").isNotNull() & ~held_out()))
+    found = predicted(docs, model)
+    return docs.filter((found["lang_pred"] != UNKNOWN) & (found["score"] >= least))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowtide.llm import chat, decontam, fingerprints, jaccard, langid, pii, secrets
+from rowtide.llm import chat, decontam, fingerprints, jaccard, langid, licenses, pii, secrets
 from rowtide.llm.folders import new_path
 from rowtide.llm.packing import pack_documents
 from rowtide.llm.token_files import token_rows, write_token_files
@@ -72,6 +72,11 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_components(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
