@@ -115,7 +115,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     cuts = rows.agg(
         F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10_000).alias("c")
     ).first()["c"]
-    edges = [-math.inf, *sorted({float(c) for c in cuts or []}), math.inf]
+    edges = [-math.inf, *sorted({float(c) for c in cuts or [0]}), math.inf]
     dealt = (
         Bucketizer(splits=edges, inputCol="_id", outputCol="_bucket")
         .transform(rows.withColumn("_id", F.coalesce(F.col("doc_id").cast("double"), F.lit(-math.inf))))
