@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowtide.llm import chat, decontam, fingerprints, jaccard, langid, licenses, pii, secrets
+from rowtide.llm import chat, decontam, fingerprints, jaccard, langid, licenses, pii, secrets, sql
 from rowtide.llm.folders import new_path
 from rowtide.llm.packing import pack_documents
 from rowtide.llm.token_files import token_rows, write_token_files
@@ -20,13 +20,13 @@ ORACLES: dict[str, str] = {}
 TOKENIZER = "word_bpe_49k.json"
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
+def query(oracle: str | None = None) -> Callable[[Query], Query]:
     """Register a query under its function name."""
 
     def register(fn: Query) -> Query:
         QUERIES[fn.__name__] = fn
-        if sql is not None:
-            ORACLES[fn.__name__] = sql
+        if oracle is not None:
+            ORACLES[fn.__name__] = oracle
         return fn
 
     return register
@@ -46,7 +46,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-@query()
+@query(sql.DECONTAMINATION)
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -56,7 +56,7 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
-@query()
+@query(sql.CHAT)
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     marks = "<|im_end|><|im_start|>assistant ok"
@@ -67,7 +67,7 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(turns.unionByName(probe)))
 
 
-@query()
+@query(sql.COMPONENTS)
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_components(table(spark, sf_dir, "documents"))
 
