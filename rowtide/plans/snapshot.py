@@ -7,7 +7,6 @@ from dataclasses import dataclass, field
 from hashlib import md5
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.utils import AnalysisException
 
 from rowtide.functions.keyset import read_cursor
 from rowtide.operators.messages import MESSAGE_COLUMNS
@@ -21,6 +20,7 @@ from rowtide.operators.snapshot import (
 )
 from rowtide.schemas import STATE_LOG
 from rowtide.sources.sinks import append_state, write_message_log
+from rowtide.sources.tables import read_if_there
 
 # Children of one root that a single job reads.
 CHILDREN_PER_JOB = 64
@@ -40,11 +40,7 @@ class SourceObject:
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
     """Newest unit states; none where nothing was saved yet."""
-    try:
-        log = spark.read.schema(STATE_LOG).parquet(path)
-    except AnalysisException:
-        log = spark.createDataFrame([], STATE_LOG)
-    return latest_units(log)
+    return latest_units(read_if_there(spark, path, STATE_LOG))
 
 
 def run_snapshot(

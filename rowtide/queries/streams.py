@@ -6,17 +6,25 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rowtide.functions.lsn import format_lsn
+from rowtide.operators.decode import with_positions
 from rowtide.operators.progress import load_checkpoint
 from rowtide.operators.state import current_table
 from rowtide.plans.snapshot import SourceObject, run_snapshot
-from rowtide.queries.feed import FEED_SQL, change_log, feed
+from rowtide.queries.feed import FEED_SQL, change_log, feed, user_changes
 from rowtide.queries.progress import LSN_SQL
 from rowtide.queries.registry import query, table
 from rowtide.queries.snapshots import order_children
 from rowtide.queries.state import NEWEST
 from rowtide.schemas import MESSAGE
 from rowtide.session import shared_dir
-from rowtide.sources.change_log import land_change_log, landed_relations, stream_change_log
+from rowtide.sources.change_log import (
+    land_change_log,
+    landed_relations,
+    quarantined_rows,
+    read_change_log,
+    stream_change_log,
+)
 from rowtide.streaming.capture import (
     captured_messages,
     checkpoint_topic,
@@ -46,10 +54,48 @@ def captured(spark: SparkSession, sf_dir: str) -> str:
             folder,
             "users",
             relations=lambda: landed_relations(spark, f"{folder}/log"),
+            path=f"{folder}/log",
         ).awaitTermination()
     return folder
 
 
+def captured_in_parts(spark: SparkSession, sf_dir: str) -> str:
+    """Land the log in four stretches of four files, capture a file at a time."""
+    folder = new_folder(spark)
+    log = change_log(spark, sf_dir)
+    bounds = feed(spark, sf_dir).agg(F.min("xid").alias("low"), F.max("xid").alias("high")).first()
+    step = (bounds.high - bounds.low) // 4 + 1
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(merge)
+    spark.conf.set(merge, "false")
+    try:
+        for i in range(4):
+            xid = F.expr("arrival div 8") - bounds.low
+            land_change_log(log.filter((xid >= i * step) & (xid < (i + 1) * step)), f"{folder}/log")
+    finally:
+        spark.conf.set(merge, before)
+    start_capture(
+        stream_change_log(spark, f"{folder}/log", files_per_batch=1),
+        folder,
+        "users",
+        relations=lambda: landed_relations(spark, f"{folder}/log"),
+        path=f"{folder}/log",
+    ).awaitTermination()
+    return folder
+
+
+def confirmed_by_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """For each batch its confirmed position and the lowest commit not yet published.
+
+    A commit counts as published with the last batch that holds a change of it.
+    """
+    progress = spark.read.parquet(f"{folder}/progress").select("batch", "safe_pos")
+    changes = spark.read.parquet(f"{folder}/messages").groupBy("commit_pos").agg(F.max("batch").alias("last"))
+    lowest = changes.groupBy("last").agg(F.min("commit_pos").alias("low"))
+    open_ = progress.join(lowest, lowest["last"] > progress["batch"], "left")
+    return open_.groupBy("batch", "safe_pos").agg(F.min("low").alias("unpublished"))
+
+
 @query(f"""
     WITH {FEED_SQL}
     SELECT 'public.users' AS "table", op, '{{"user_id":' || user_id || '}}' AS key, commit_pos, ord,
@@ -74,6 +120,63 @@ def streamed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{folder}/table").select("key", "op", "commit_pos", "ord")
 
 
+@query(f"""
+    WITH {FEED_SQL}, log AS (
+      SELECT xid * 8 + 1 + ord AS arrival, lsn AS seen, NULL AS commit_pos FROM feed
+      UNION ALL SELECT xid * 8 + 6, commit_pos + 2, commit_pos FROM feed WHERE ord = 0
+      UNION ALL SELECT xid * 8 + 7, commit_pos + 400, NULL FROM feed WHERE ord = 0),
+    top AS (SELECT max(commit_pos) AS c, arg_max(arrival, commit_pos) AS a FROM log),
+    safe AS (SELECT greatest(max(c), coalesce(max(seen) FILTER (arrival > a), 0)) AS lsn FROM log, top)
+    SELECT 0::BIGINT AS ahead, (SELECT lsn FROM safe) AS confirmed""")
+def streamed_checkpoint_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landing split over many batches: no batch confirms a commit still to come."""
+    batches = confirmed_by_batch(spark, captured_in_parts(spark, sf_dir))
+    return batches.agg(
+        F.count_if(F.col("safe_pos") > F.col("unpublished")).alias("ahead"),
+        F.max("safe_pos").alias("confirmed"),
+    )
+
+
+@query(f"""
+    WITH {FEED_SQL}, point AS (SELECT (min(commit_pos) + 99 * max(commit_pos)) // 100 AS p FROM feed)
+    SELECT lsn, op FROM feed, point WHERE commit_pos >= p""")
+def log_from_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changes of a landed log from a position on."""
+    path = f"{new_folder(spark)}/log"
+    land_change_log(change_log(spark, sf_dir), path)
+    point = feed(spark, sf_dir).agg(F.expr("(min(commit_pos) + 99 * max(commit_pos)) div 100").alias("p"))
+    log = read_change_log(spark, path, start=point.first()["p"])
+    op = F.when(F.col("kind") == "I", "c").when(F.col("kind") == "D", "d").otherwise("u")
+    return log.filter(F.col("kind").isin("I", "U", "D")).select(F.col("wal_pos").alias("lsn"), op.alias("op"))
+
+
+@query(f"""
+    WITH {FEED_SQL}
+    SELECT lsn, CASE WHEN event_type = 'click' THEN 'quarantine' ELSE 'changes' END AS "where" FROM feed""")
+def malformed_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose position does not parse are set aside when a log is landed."""
+    path = f"{new_folder(spark)}/log"
+    events = feed(spark, sf_dir)
+    good = user_changes(events).drop("commit_pos", "wal_pos", "end_pos")
+    position = F.when(F.col("event_type") == "click", "1/XYZ").otherwise(format_lsn(F.col("commit_pos")))
+    texts = events.select(
+        (F.col("xid") * 8 + 1 + F.col("ord")).alias("arrival"),
+        position.alias("commit_lsn"),
+        format_lsn(F.col("lsn")).alias("wal_start"),
+        F.lit(None).cast("string").alias("wal_end"),
+    )
+    land_change_log(with_positions(good.join(texts, "arrival")), path)
+    places = [("changes", _landed_rows(spark, path)), ("quarantine", quarantined_rows(spark, path))]
+    first, second = (
+        df.select(F.col("wal_pos").alias("lsn"), F.lit(name).alias("where")) for name, df in places
+    )
+    return first.unionByName(second)
+
+
+def _landed_rows(spark: SparkSession, path: str) -> DataFrame:
+    return read_change_log(spark, path).filter(F.col("kind").isin("I", "U", "D"))
+
+
 @query(f"""
     WITH {FEED_SQL}, log AS (
       SELECT xid * 8 + 1 + ord AS arrival, lsn AS seen, NULL AS commit_pos FROM feed

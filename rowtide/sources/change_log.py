@@ -2,50 +2,133 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowtide.functions.lsn import parse_lsn
 from rowtide.operators.decode import with_positions
 from rowtide.operators.sizes import broadcast_if_small
-from rowtide.schemas import CHANGE_LOG, POSITIONED_LOG, RELATION_MSG, ROW_MSGS, SLOT_STATUS
+from rowtide.schemas import (
+    CHANGE_LOG,
+    COMMIT_MSG,
+    KEEPALIVE_MSG,
+    POSITIONED_LOG,
+    RELATION_MSG,
+    ROW_MSGS,
+    SLOT_STATUS,
+)
+from rowtide.sources.tables import read_if_there
 
 
-def land_change_log(log: DataFrame, path: str) -> None:
-    """Append a stretch of the log, with numeric positions.
+# What a landing did to the safe position, and how many changes it has to be read.
+LANDING = (
+    "landing bigint, changes bigint, low_commit bigint, top_commit bigint, "
+    "seen_after bigint, seen bigint"
+)
+
+
+def land_change_log(log: DataFrame, path: str) -> int:
+    """Append a stretch of the log, with numeric positions, as a numbered landing.
 
     Relation messages go to `<path>/relations` first, so that whoever sees a
-    change can look up its relation. The rest goes to `<path>/changes`,
-    clustered by commit position: row groups cover narrow position ranges, and
-    a read from a start position skips what lies before it. Range partitioning
-    splits a large transaction by `ord` and needs no key to be evenly spread.
+    change can look up its relation. Keepalives, which belong to no
+    transaction, go to `<path>/keepalives`, and rows without a usable position
+    to `<path>/quarantine`. The rest goes to `<path>/changes`, clustered by
+    commit position: row groups cover narrow position ranges, and a read from a
+    start position skips what lies before it. Range partitioning splits a large
+    transaction by `ord` and needs no key to be evenly spread.
+
+    The landing's summary comes last: whoever has read as many changes as it
+    names has read all of them, and only then does the landing count for the
+    confirmed position. Landings are made one after the other, in log order.
     """
+    spark = log.sparkSession
+    number = landings(spark, path).agg(F.coalesce(F.max("landing"), F.lit(-1)) + 1).first()[0]
     positioned = log if "commit_pos" in log.columns else with_positions(log)
-    is_relation = F.col("kind") == RELATION_MSG
+    kind = F.col("kind")
+    lost = without_position()
+    folder = f"landing={number}"
     # Spread by position, then merged to few files by adaptive execution.
-    announced = positioned.filter(is_relation).repartition("commit_pos", "ord")
-    announced.write.mode("append").parquet(f"{path}/relations")
+    announced = positioned.filter(~lost & (kind == RELATION_MSG)).repartition("commit_pos", "ord")
+    announced.write.mode("overwrite").parquet(f"{path}/relations/{folder}")
+    positioned.filter(lost).write.mode("overwrite").parquet(f"{path}/quarantine/{folder}")
+    positioned.filter(~lost & (kind == KEEPALIVE_MSG)).write.mode("overwrite").parquet(
+        f"{path}/keepalives/{folder}"
+    )
     order = ("commit_pos", "ord", "arrival")
+    changes = positioned.filter(~lost & ~kind.isin(RELATION_MSG, KEEPALIVE_MSG))
     (
-        positioned.filter(~is_relation)
-        .repartitionByRange(*order)
+        changes.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .write.mode("append")
-        .parquet(f"{path}/changes")
+        .write.mode("overwrite")
+        .parquet(f"{path}/changes/{folder}")
     )
+    _landing_summary(spark, path, number).write.mode("overwrite").parquet(f"{path}/landings/{folder}")
+    return number
+
+
+def without_position() -> Column:
+    """Rows that cannot be placed: their position is missing or was not readable."""
+    is_keepalive = F.col("kind") == KEEPALIVE_MSG
+    return F.when(is_keepalive, F.col("end_pos").isNull()).otherwise(F.col("commit_pos").isNull())
+
+
+def quarantined_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a landed log whose position is missing or malformed."""
+    return read_if_there(spark, f"{path}/quarantine", f"{POSITIONED_LOG}, landing bigint")
+
+
+def landings(spark: SparkSession, path: str) -> DataFrame:
+    """Summaries of the landings that are complete."""
+    return read_if_there(spark, f"{path}/landings", LANDING)
+
+
+def _landing_summary(spark: SparkSession, path: str, number: int) -> DataFrame:
+    """One row: what `safe_position` needs of the landing, from its stored files."""
+    ddl = f"{POSITIONED_LOG}, landing bigint"
+    rows = (
+        spark.read.schema(ddl).parquet(f"{path}/changes")
+        .unionByName(spark.read.schema(ddl).parquet(f"{path}/keepalives"))
+        .unionByName(spark.read.schema(ddl).parquet(f"{path}/relations"))
+        .filter(F.col("landing") == number)
+        .withColumn("_seen", F.when(F.col("kind") == KEEPALIVE_MSG, F.col("end_pos")).otherwise(F.col("wal_pos")))
+    )
+    commit = F.when(F.col("kind") == COMMIT_MSG, F.col("commit_pos"))
+    counted = ~F.col("kind").isin(KEEPALIVE_MSG, RELATION_MSG)
+    top = rows.agg(F.max(F.struct(commit.alias("c"), (-F.col("arrival")).alias("back"))).alias("t"))
+    top_commit, back = top.select("t.c", "t.back").first()
+    after = F.lit(True) if top_commit is None else F.col("arrival") > -back
+    return rows.agg(
+        F.lit(number).cast("bigint").alias("landing"),
+        F.count_if(counted).alias("changes"),
+        F.min(F.when(counted, F.col("commit_pos"))).alias("low_commit"),
+        F.lit(top_commit).cast("bigint").alias("top_commit"),
+        F.max(F.when(after, F.col("_seen"))).alias("seen_after"),
+        F.max("_seen").alias("seen"),
+    ).repartition(1)
 
 
 def landed_relations(spark: SparkSession, path: str) -> DataFrame:
     """Relation messages of a landed log."""
-    return spark.read.schema(POSITIONED_LOG).parquet(f"{path}/relations")
+    return _landed(spark, path, "relations")
+
+
+def landed_keepalives(spark: SparkSession, path: str) -> DataFrame:
+    """Keepalives of a landed log."""
+    return _landed(spark, path, "keepalives")
+
+
+def _landed(spark: SparkSession, path: str, folder: str) -> DataFrame:
+    return spark.read.schema(f"{POSITIONED_LOG}, landing bigint").parquet(f"{path}/{folder}").drop("landing")
 
 
 def read_change_log(spark: SparkSession, path: str, start: int | None = None) -> DataFrame:
     """A landed log, from transactions that committed at or after `start`.
 
-    Relation messages are read whole: a change needs the one before it.
+    Relation messages and keepalives are read whole: a change needs the
+    relation before it, and keepalives belong to no transaction.
     """
-    changes = spark.read.schema(POSITIONED_LOG).parquet(f"{path}/changes")
-    return _from_start(changes, start).unionByName(landed_relations(spark, path))
+    changes = _from_start(_landed(spark, path, "changes"), start)
+    return changes.unionByName(landed_relations(spark, path)).unionByName(landed_keepalives(spark, path))
 
 
 def stream_change_log(
@@ -53,11 +136,11 @@ def stream_change_log(
 ) -> DataFrame:
     """The landed changes as a stream, up to `files_per_batch` files at a time.
 
-    Files are taken in the order they were landed; inside a micro-batch their
-    order does not matter.
+    Files come in any order: a capture that is given the log's `path` confirms
+    a landing when all of it has been read.
     """
     stream = (
-        spark.readStream.schema(POSITIONED_LOG)
+        spark.readStream.schema(f"{POSITIONED_LOG}, landing bigint")
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(f"{path}/changes")
     )
@@ -81,14 +164,16 @@ def stream_change_topic(
         .load()
     )
     parsed = records.select(F.from_json(F.col("value").cast("string"), CHANGE_LOG).alias("m"))
-    return _from_start(with_positions(parsed.select("m.*")), start)
+    log = with_positions(parsed.select("m.*"))
+    # A topic cannot be pruned by position; keepalives have none.
+    return log if start is None else log.filter((F.col("commit_pos") >= start) | (F.col("kind") == KEEPALIVE_MSG))
 
 
 def _from_start(log: DataFrame, start: int | None) -> DataFrame:
     if start is None:
         return log
-    # Keepalives belong to no transaction.
-    return log.filter((F.col("commit_pos") >= start) | (F.col("kind") == "K"))
+    # On position alone, so that row groups are skipped by their statistics.
+    return log.filter(F.col("commit_pos") >= start)
 
 
 def published_only(log: DataFrame, published_relations: DataFrame) -> DataFrame:

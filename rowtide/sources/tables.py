@@ -3,13 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.utils import AnalysisException
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """A table stored as parquet."""
-    return spark.read.parquet(path)
+def read_if_there(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """A parquet folder, or no rows where the folder does not exist yet.
+
+    Only a missing path counts as nothing; any other fault is raised.
+    """
+    try:
+        return spark.read.schema(ddl).parquet(path)
+    except AnalysisException as fault:
+        if fault.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], ddl)
 
 
 def read_versioned(
@@ -23,19 +33,23 @@ def pin_files(spark: SparkSession, path: str, manifest: str) -> None:
     """Freeze the files a parquet table consists of now, as a manifest table.
 
     Readers of the manifest see the same rows however often, and wherever,
-    they read, as long as files are only added.
+    they read, as long as files are only added. The files are listed, not read.
     """
-    files = spark.read.parquet(path).select("_metadata.file_path").distinct()
-    files.write.mode("overwrite").parquet(manifest)
+    files = [(path, name) for name in spark.read.parquet(path).inputFiles()]
+    spark.createDataFrame(files, "base string, file_path string").repartition(1).write.mode(
+        "overwrite"
+    ).parquet(manifest)
 
 
 def read_pinned(spark: SparkSession, manifest: str) -> DataFrame:
-    """The table a manifest pins.
+    """The table a manifest pins, with its partition columns.
 
     Only file names pass through the driver, as for any listed folder.
     """
-    paths = [r.file_path for r in spark.read.parquet(manifest).toLocalIterator()]
-    return spark.read.parquet(*sorted(paths))
+    rows = spark.read.parquet(manifest).collect()
+    # Listed names are URIs; readers take plain paths.
+    paths = sorted(unquote(r.file_path) for r in rows)
+    return spark.read.option("basePath", rows[0].base).parquet(*paths)
 
 
 def jdbc_options(

@@ -4,20 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from rowtide.operators.decode import decode_changes
 from rowtide.operators.messages import MESSAGE_COLUMNS
 from rowtide.operators.progress import checkpoint_record, safe_position
 from rowtide.operators.relations import relation_versions
 from rowtide.plans.snapshot import read_state
-from rowtide.schemas import MESSAGE, RELATION
+from rowtide.schemas import MESSAGE, POSITIONED_LOG, RELATION
+from rowtide.sources.change_log import landings, published_only
 from rowtide.sources.sinks import append_checkpoint, write_message_log
+from rowtide.sources.tables import read_if_there
 
 _HISTORY = f"relation_id bigint, relation {RELATION}, valid_from struct<commit_pos:bigint,ord:bigint>"
-_PROGRESS = "slot_name string, safe_pos bigint, last_commit bigint"
+_PROGRESS = (
+    "slot_name string, safe_pos bigint, last_commit bigint, landings bigint, part map<bigint,bigint>"
+)
 
 
 def start_capture(
@@ -29,8 +32,11 @@ def start_capture(
     pk: DataFrame | None = None,
     roots: DataFrame | None = None,
     state: str | None = None,
-    old_key_tombstones: bool = False,
+    old_key_tombstones: bool = True,
     interval: str | None = None,
+    path: str | None = None,
+    strict: bool = False,
+    published: Callable[[], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Decode a change-log stream into `<folder>/messages`.
 
@@ -41,7 +47,15 @@ def start_capture(
 
     Relation messages in the stream are remembered; `relations` reads those
     that were landed apart from it. `state` is a snapshot's state log, whose
-    unit states go into the checkpoint records.
+    unit states go into the checkpoint records. `published` reads the relations
+    of the publication, others are left out; `strict` stops the stream, before
+    any progress, at a change of an unknown relation.
+
+    `path` is the landed log that the stream reads. Its files come in any
+    order, so the confirmed position follows whole landings: it moves over a
+    landing when all its changes, and those of all landings before, have been
+    published, and stays below the lowest commit of what is not. Without `path`
+    the rows must come in the order of their arrival, as from one topic partition.
     """
 
     def batch(rows: DataFrame, batch_id: int) -> None:
@@ -50,13 +64,14 @@ def start_capture(
         history = _remembered(spark, folder, batch_id)
         if relations is not None:
             history = history.unionByName(relation_versions(relations()))
+        wanted = rows if published is None else published_only(rows, published())
         messages = decode_changes(
-            rows, history, pk=pk, roots=roots, old_key_tombstones=old_key_tombstones
+            wanted, history, pk=pk, roots=roots, old_key_tombstones=old_key_tombstones, strict=strict
         )
         write_message_log(
             messages.select(*MESSAGE_COLUMNS, "error"), f"{folder}/messages/batch={batch_id}"
         )
-        _save_progress(spark, rows, folder, slot, start, state, batch_id)
+        _save_progress(spark, rows, folder, slot, start, state, batch_id, path)
 
     writer = (
         log.writeStream.foreachBatch(batch)
@@ -77,10 +92,7 @@ def _remember_relations(rows: DataFrame, folder: str, batch_id: int) -> None:
 
 def _remembered(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
     """Versions of this and earlier batches; later ones are left from a lost run."""
-    try:
-        stored = spark.read.schema(f"{_HISTORY}, batch bigint").parquet(f"{folder}/relations")
-    except AnalysisException:
-        return spark.createDataFrame([], _HISTORY)
+    stored = read_if_there(spark, f"{folder}/relations", f"{_HISTORY}, batch bigint")
     return stored.filter(F.col("batch") <= batch_id).drop("batch")
 
 
@@ -92,24 +104,70 @@ def _save_progress(
     start: int,
     state: str | None,
     batch_id: int,
+    path: str | None,
 ) -> None:
     """Safe position after the batch, and the checkpoint record with it."""
-    begin = (slot, start, start)
+    begin = Row(slot_name=slot, safe_pos=start, last_commit=start, landings=-1, part={})
     if batch_id > 0:
-        last = spark.read.schema(_PROGRESS).parquet(f"{folder}/progress/batch={batch_id - 1}").first()
-        begin = (slot, last.safe_pos, last.last_commit)
-    starts = spark.createDataFrame([begin], "slot_name string, start_pos bigint, last_commit bigint")
-    reached = safe_position(rows.withColumn("slot_name", F.lit(slot)), starts).first()
-    spark.createDataFrame([reached], _PROGRESS).coalesce(1).write.mode("overwrite").parquet(
+        begin = spark.read.schema(_PROGRESS).parquet(f"{folder}/progress/batch={batch_id - 1}").first()
+    if path is None:
+        starts = spark.createDataFrame(
+            [(slot, begin.safe_pos, begin.last_commit)], "slot_name string, start_pos bigint, last_commit bigint"
+        )
+        reached = safe_position(rows.withColumn("slot_name", F.lit(slot)), starts).first()
+        progress = (slot, reached.safe_pos, reached.last_commit, -1, {})
+    else:
+        progress = _over_landings(spark, rows, path, begin, start)
+    spark.createDataFrame([progress], _PROGRESS).coalesce(1).write.mode("overwrite").parquet(
         f"{folder}/progress/batch={batch_id}"
     )
     units = spark.createDataFrame([], "unit string, done boolean, last_pk string")
     if state is not None:
         units = read_state(spark, state)
-    confirmed = f"{reached.safe_pos >> 32:X}/{reached.safe_pos & 0xFFFFFFFF:X}"
+    safe = progress[1]
+    confirmed = f"{safe >> 32:X}/{safe & 0xFFFFFFFF:X}"
     append_checkpoint(checkpoint_record(units, confirmed), f"{folder}/checkpoint", batch_id)
 
 
+def _over_landings(spark: SparkSession, rows: DataFrame, path: str, begin: Row, start: int) -> tuple:
+    """Progress after a batch of a landed log.
+
+    `part` counts the changes read of the landings that are not yet whole; these
+    are few, as files are taken about in the order they were landed. A reader
+    that starts at a position counts only changes from there on.
+    """
+    part = dict(begin.part)
+    for row in rows.groupBy("landing").count().collect():
+        part[row["landing"]] = part.get(row["landing"], 0) + row["count"]
+    safe, last, done = begin.safe_pos, begin.last_commit, begin.landings
+    waiting = landings(spark, path).filter(F.col("landing") > done).orderBy("landing")
+    low = None
+    for landing in waiting.toLocalIterator():
+        whole = landing.landing == done + 1 and low is None
+        if whole and part.get(landing.landing, 0) >= _expected(spark, path, landing, start):
+            part.pop(landing.landing, None)
+            done = landing.landing
+            if landing.top_commit is not None and landing.top_commit > last:
+                safe, last = landing.top_commit, landing.top_commit
+                safe = max(safe, landing.seen_after or 0)
+            else:
+                safe = max(safe, landing.seen or 0)
+        elif landing.low_commit is not None:
+            low = landing.low_commit if low is None else min(low, landing.low_commit)
+    # What is confirmed never passes a commit that is still to be published,
+    # nor falls behind what was confirmed before.
+    confirmed = safe if low is None else max(begin.safe_pos, min(safe, low))
+    return (begin.slot_name, confirmed, last, done, part)
+
+
+def _expected(spark: SparkSession, path: str, landing: Row, start: int) -> int:
+    """Changes of a landing that a reader from `start` gets."""
+    if landing.low_commit is None or landing.low_commit >= start:
+        return landing.changes
+    log = spark.read.schema(f"{POSITIONED_LOG}, landing bigint").parquet(f"{path}/changes")
+    return log.filter((F.col("landing") == landing.landing) & (F.col("commit_pos") >= start)).count()
+
+
 def captured_messages(spark: SparkSession, folder: str, topic: str = "messages") -> DataFrame:
     """Messages a capture has written so far, resent ones included."""
     ddl = f"{MESSAGE}, error string, batch bigint, topic string"

@@ -10,7 +10,7 @@ from logs import announce, frame, message, tuple_, workload
 from rowtide.operators.decode import decode_changes
 from rowtide.operators.progress import load_checkpoint
 from rowtide.operators.state import current_table, newest_per_key
-from rowtide.plans.bootstrap import bootstrap
+from rowtide.plans.bootstrap import bootstrap, pipeline_messages
 from rowtide.plans.snapshot import SourceObject, read_state
 from rowtide.schemas import MESSAGE
 from rowtide.sources.change_log import (
@@ -39,6 +39,7 @@ def capture(spark, folder, **kw):
         folder,
         "s",
         relations=lambda: landed_relations(spark, f"{folder}/log"),
+        path=f"{folder}/log",
         **kw,
     ).awaitTermination()
 
@@ -128,7 +129,7 @@ def test_reading_from_a_start_position(spark, tmp_path):
     path = str(tmp_path / "log")
     land_change_log(frame(spark, commits(workload(24))), path)
     later = read_change_log(spark, path, start=200)
-    assert later.filter("kind <> 'R'").agg(F.min("commit_pos")).first()[0] == 200
+    assert later.filter("kind <> 'R' AND kind <> 'K'").agg(F.min("commit_pos")).first()[0] == 200
     assert later.filter("kind = 'R'").count() == 1
     plan = later.select("ord")._jdf.queryExecution().toString()
     assert "GreaterThanOrEqual(commit_pos,200)" in plan
@@ -156,11 +157,11 @@ def test_bootstrap_snapshot_then_changes(spark, tmp_path):
             at,
             point,
             relations=lambda: landed_relations(spark, f"{folder}/log"),
+            path=f"{folder}/log",
         ).awaitTermination()
 
     def live():
-        snapshot = spark.read.schema(f"{MESSAGE}, error string").option("recursiveFileLookup", "true").parquet(f"{folder}/snapshot")
-        return rows(current_table(snapshot.unionByName(captured_messages(spark, folder))), "key", "value")
+        return rows(current_table(pipeline_messages(spark, folder)), "key", "value")
 
     want = rows(current_table(decode_changes(frame(spark, log))), "key", "value")
     run(point)
@@ -205,3 +206,73 @@ def test_views_are_refreshed_at_an_interval(spark, tmp_path):
     log = spark.read.schema(f"{MESSAGE}, error string, cycle int").parquet(out)
     counts = {r["count"] for r in log.groupBy("cycle").count().collect()}
     assert counts == {2}
+
+
+def test_a_start_position_prunes_the_scan(spark, tmp_path):
+    """Of a log of 200,000 changes the last hundredth reads a twentieth at most."""
+    path = str(tmp_path / "log")
+    n = 200_000
+    ids = spark.range(n)
+    from rowtide.queries.feed import log_rows
+
+    log = log_rows(
+        ids, "I", arrival=F.col("id"), commit_pos=F.col("id") + 10, ord=F.lit(0), relation_id=F.lit(1)
+    ).unionByName(log_rows(ids.filter("id % 10 = 0"), "K", arrival=F.col("id"), end_pos=F.col("id") + 11))
+    spark.conf.set("parquet.block.size", str(64 << 10))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        land_change_log(log, path)
+    finally:
+        spark.conf.unset("parquet.block.size")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    late = read_change_log(spark, path, start=n - n // 100 + 10).filter("kind = 'I'")
+    changes = spark.read.schema("commit_pos bigint").parquet(f"{path}/changes")
+    groups = changes.filter(F.col("commit_pos") >= n - n // 100 + 10)
+    assert late.count() == n // 100
+    execution = groups._jdf.queryExecution()
+    execution.executedPlan().executeCollect()
+    read = [
+        int(leaf.metrics().apply("numOutputRows").value())
+        for leaf in leaves(execution.executedPlan())
+        if leaf.metrics().contains("numOutputRows")
+    ]
+    assert read and sum(read) <= n // 20
+
+
+def leaves(plan):
+    found = plan.collectLeaves()
+    return [found.apply(i) for i in range(found.size())]
+
+
+def test_killed_after_any_batch(spark, tmp_path):
+    """A restart from the confirmed position gets every change."""
+    folder = str(tmp_path)
+    log = commits(workload(24))
+    for i in range(0, len(log), 12):
+        land_change_log(frame(spark, log[i : i + 12]).repartition(3), f"{folder}/log")
+    start_capture(
+        stream_change_log(spark, f"{folder}/log", files_per_batch=1),
+        folder,
+        "s",
+        relations=lambda: landed_relations(spark, f"{folder}/log"),
+        path=f"{folder}/log",
+    ).awaitTermination()
+    done = spark.read.parquet(f"{folder}/progress").select("batch", "safe_pos").orderBy("batch").collect()
+    messages = spark.read.parquet(f"{folder}/messages")
+    published = {r.batch: set() for r in done}
+    for r in messages.select("batch", "commit_pos", "ord").collect():
+        published[r.batch].add((r.commit_pos, r.ord))
+    every = set().union(*published.values())
+    have = set()
+    assert len(done) > 4
+    for batch, safe in done:
+        have |= published[batch]
+        assert {p for p in every if p[0] >= safe} | have == every
+
+
+def test_strict_stops_before_progress(spark, tmp_path):
+    folder = str(tmp_path)
+    land_change_log(frame(spark, [message("I", 1, 0, 9, new=tuple_(1, "a", 1))]), f"{folder}/log")
+    with pytest.raises(Exception, match="unknown relation"):
+        capture(spark, folder, strict=True)
+    assert not (tmp_path / "progress").exists()
