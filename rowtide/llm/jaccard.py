@@ -37,13 +37,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rowtide.llm.components import components
 from rowtide.llm.folders import stored
-from rowtide.llm.shingles import SPACED, mixed, text_shingles
+from rowtide.llm.shingles import SPACED, mixed, slices, text_shingles
 from rowtide.llm.workers import ship
 
 #: Hash cells in which shingles are counted; the table of counts is broadcast.
 CELLS = 1 << 16
 #: Sets in a block of a tile; a tile has at most two blocks.
 BLOCK = 2_048
+#: Sets of a group that are compared by size and place as they stream by.
+SMALL_GROUP = 64
+#: Bytes of text that are made into shingles at once, unless one text is longer.
+TEXT_BYTES = 1 << 21
 #: Sets whose texts' hashes are broadcast to find them again; more are joined by shuffling.
 BROADCAST_SETS = 1_000_000
 #: Pairs of one set that are decided in one place.
@@ -55,9 +59,10 @@ LEAST_BITS, MOST_BITS = 64, 8_192
 
 def sets_of(texts: pa.Array) -> Iterator[np.ndarray]:
     """The sorted distinct shingles of each text."""
-    hashes, begins = text_shingles(texts, SPACED)
-    for a, b in zip(begins[:-1], begins[1:]):
-        yield np.unique(hashes[a:b])
+    for part in slices(texts, TEXT_BYTES):
+        hashes, begins = text_shingles(part, SPACED)
+        for a, b in zip(begins[:-1], begins[1:]):
+            yield np.unique(hashes[a:b])
 
 
 def set_hash(shingles: np.ndarray) -> int:
@@ -151,38 +156,77 @@ def prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
 
 
 def shared_tokens(rows: DataFrame) -> DataFrame:
-    """Prefix rows of tokens that several sets have, each set once.
+    """Prefix rows that may link with another set at their token, each set once.
 
-    A task reads its sorted rows as a stream and holds back one row at a time.
+    A task reads its sorted rows as a stream. In a group of up to `SMALL_GROUP`
+    sets a row stays if size and place allow a link with another row of the
+    group; the rows of a larger group all stay. Only the last group of a batch
+    is held back, and of a large one no more than the batch's own rows.
     """
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        paired = False
+        held: pa.Table | None = None
+        large: int | None = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            part = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
-            token, sid = part.column("token").to_numpy(), part.column("sid").to_numpy()
-            new = np.ones(len(token), bool)
-            new[1:] = (token[1:] != token[:-1]) | (sid[1:] != sid[:-1])
-            part = part.filter(pa.array(new))
-            token = token[new]
-            same = token[1:] == token[:-1]
-            good = np.zeros(len(token), bool)
-            good[1:] |= same
-            good[:-1] |= same
-            good[0] |= paired
-            yield from part.slice(0, len(token) - 1).filter(pa.array(good[:-1])).to_batches()
-            held = part.slice(len(token) - 1).combine_chunks().to_batches()[0]
-            paired = bool(good[-1])
-        if held is not None and paired:
-            yield held
+            part = pa.Table.from_batches([batch])
+            part = part if held is None else pa.concat_tables([held, part])
+            part = part.combine_chunks().filter(pa.array(_first_of_set(part)))
+            token = part.column("token").to_numpy()
+            last = int(np.searchsorted(token, token[-1]))
+            if len(token) - last > SMALL_GROUP:
+                # The group is large whatever follows: only its last set is held back.
+                good = may_link_in_group(part, large)
+                yield from part.slice(0, len(token) - 1).filter(pa.array(good[:-1])).to_batches()
+                held, large = part.slice(len(token) - 1), int(token[-1])
+            else:
+                whole = part.slice(0, last)
+                if last:
+                    yield from whole.filter(pa.array(may_link_in_group(whole, large))).to_batches()
+                if large is not None and large != int(token[-1]):
+                    large = None
+                held = part.slice(last)
+        if held is not None:
+            yield from held.filter(pa.array(may_link_in_group(held, large))).to_batches()
 
     ddl = "token bigint, sid bigint, n int, place int"
     return rows.repartition("token").sortWithinPartitions("token", "sid").mapInArrow(keep, ddl)
 
 
+def _first_of_set(part: pa.Table) -> np.ndarray:
+    token, sid = (part.column(c).to_numpy() for c in ("token", "sid"))
+    new = np.ones(len(token), bool)
+    new[1:] = (token[1:] != token[:-1]) | (sid[1:] != sid[:-1])
+    return new
+
+
+def may_link_in_group(part: pa.Table, large: int | None) -> np.ndarray:
+    """Rows, sorted by token, that may link with another row of their token.
+
+    `large` is a token whose earlier rows made its group a large one.
+    """
+    token = part.column("token").to_numpy()
+    n, place = (part.column(c).to_numpy().astype(np.int64) for c in ("n", "place"))
+    starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+    sizes = np.diff(np.append(starts, len(token)))
+    good = np.repeat(sizes > SMALL_GROUP, sizes)
+    if large is not None:
+        good |= token == large
+    small = np.flatnonzero(~good & (np.repeat(sizes, sizes) > 1))
+    found = good.copy()
+    most = int(sizes[sizes <= SMALL_GROUP].max(initial=1))
+    for step in range(1, most):
+        a = small[small + step < len(token)]
+        a = a[token[a] == token[a + step]]
+        b = a + step
+        fit = 5 * np.minimum(n[a], n[b]) >= 4 * np.maximum(n[a], n[b])
+        fit &= np.minimum(n[a] - place[a], n[b] - place[b]) >= needed(n[a], n[b])
+        found[a[fit]] = True
+        found[b[fit]] = True
+    return found
+
+
 def bounded(pairs: DataFrame, bits: DataFrame) -> DataFrame:
     """Pairs (`a`, `b`, sizes `na`, `nb`) that their bitmaps do not rule out."""
 
@@ -290,7 +334,7 @@ def tiled(members: DataFrame) -> DataFrame:
     return small.unionByName(spread.select(*members.columns, name.alias("tile"), side.alias("side")))
 
 
-def tile_pairs(members: DataFrame) -> DataFrame:
+def tile_pairs(members: DataFrame, bits: DataFrame) -> DataFrame:
     """Pairs of a tile, of different roots, that no bound rules out."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,7 +349,7 @@ def tile_pairs(members: DataFrame) -> DataFrame:
         if held:
             yield from _compared(held)
 
-    rows = tiled(members).select("token", "tile", "n", "sid", "place", "root", "side", "bits")
+    rows = tiled(members).join(bits, "sid").select("token", "tile", "n", "sid", "place", "root", "side", "bits")
     dealt = rows.repartition("token", "tile").sortWithinPartitions("token", "tile", "n", "sid")
     return dealt.mapInArrow(compare, "a bigint, b bigint, na int, nb int").distinct()
 
@@ -460,8 +504,8 @@ def set_links(docs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         .filter("k > 2 AND low < high")
         .select("token")
     )
-    members = rooted.join(open_, "token").join(sets.select("sid", "bits"), "sid")
-    new = tile_pairs(members).join(stars.select("a", "b"), ["a", "b"], "left_anti")
+    members = stored(rooted.join(open_, "token"), "members")
+    new = tile_pairs(members, sets.select("sid", "bits")).join(stars.select("a", "b"), ["a", "b"], "left_anti")
     rest = stored(new, "tile-pairs")
     second = linked(docs, sets, rest)
     both = first.unionByName(second)

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rowtide.llm.shingles import ALNUM, text_shingles
+from rowtide.llm.shingles import ALNUM, slices, text_shingles
 from rowtide.llm.workers import ship
 
 BANDS, ROWS = 16, 1
@@ -33,6 +33,8 @@ BANDS, ROWS = 16, 1
 FIFTHS = 4
 #: Shingles that are hashed at once, unless one text has more.
 BLOCK = 1 << 18
+#: Bytes of text that are made into shingles at once, unless one text is longer.
+TEXT_BYTES = 1 << 21
 
 # Statements and notices of public licenses.
 TEMPLATES = {
@@ -187,9 +189,8 @@ def scan(docs: DataFrame, texts: Mapping[str, str] = TEMPLATES) -> DataFrame:
             )
         )
         for batch in batches:
-            hashes, begins = text_shingles(batch.column(1), ALNUM)
             found = []
-            for rows in by_text(bands, hashes, begins):
+            for rows in found_in(bands, batch.column(1)):
                 found.append(
                     [
                         {
@@ -217,6 +218,12 @@ def scan(docs: DataFrame, texts: Mapping[str, str] = TEMPLATES) -> DataFrame:
     )
 
 
+def found_in(bands: Bands, texts: pa.Array) -> Iterator[list[tuple[int, int, float]]]:
+    """Matches of each text of a column."""
+    for part in slices(texts, TEXT_BYTES):
+        yield from by_text(bands, *text_shingles(part, ALNUM))
+
+
 def by_text(bands: Bands, hashes: np.ndarray, begins: np.ndarray) -> Iterator[list[tuple[int, int, float]]]:
     """Matches of each text, several texts at a time."""
     first = 0

@@ -10,6 +10,7 @@ ones collide with a chance of about 2^-64 a pair.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -68,6 +69,17 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[ends[0] : ends[-1]], ends - ends[0]
 
 
+def slices(texts: pa.Array, most: int) -> Iterator[pa.Array]:
+    """A column in parts of up to `most` bytes, or of one longer text."""
+    _, ends = text_bytes(texts)
+    begin = 0
+    while begin < len(texts):
+        end = int(np.searchsorted(ends, ends[begin] + most, "right")) - 1
+        end = min(max(end, begin + 1), len(texts))
+        yield texts.slice(begin, end - begin)
+        begin = end
+
+
 def word_hashes(data: np.ndarray, ends: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words, lower-cased, and the word at which each text begins."""
     hashes: list[np.ndarray] = []
