@@ -43,6 +43,19 @@ def plain_decimal(text: Column) -> Column:
     ).otherwise(text)
 
 
+def decimal_text(col: Column) -> Column:
+    """Plain digits of a decimal.
+
+    Outside ANSI mode a cast writes small numbers with an exponent: their digits
+    are put back behind as many zeros.
+    """
+    text = col.cast("string")
+    digits = F.regexp_replace(F.split_part(text, F.lit("E"), F.lit(1)), "[-.]", "")
+    zeros = F.repeat(F.lit("0"), -F.split_part(text, F.lit("E"), F.lit(2)).try_cast("int") - 1)
+    sign = F.when(text.startswith("-"), "-").otherwise("")
+    return F.when(text.contains("E"), F.concat(sign, F.lit("0."), zeros, digits)).otherwise(text)
+
+
 def json_scalar(col: Column, dtype: T.DataType) -> Column:
     """JSON text of a column, NULL where the column is NULL.
 
@@ -54,7 +67,7 @@ def json_scalar(col: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, _FLOATS):
         return F.when(~F.isnan(col) & (F.abs(col) != float("inf")), col.cast("string"))
     if isinstance(dtype, T.DecimalType):
-        return plain_decimal(col.cast("string"))
+        return plain_decimal(decimal_text(col))
     if isinstance(dtype, T.StringType):
         return quote(col)
     if isinstance(dtype, T.TimestampType):
@@ -65,6 +78,9 @@ def json_scalar(col: Column, dtype: T.DataType) -> Column:
         return F.concat(F.lit('"'), col.cast("string"), F.lit('T00:00:00Z"'))
     if isinstance(dtype, T.BinaryType):
         return F.concat(F.lit('"'), F.base64(col), F.lit('"'))
+    if isinstance(dtype, T.ArrayType):
+        items = F.transform(col, lambda x: F.coalesce(json_scalar(x, dtype.elementType), F.lit("null")))
+        return F.concat(F.lit("["), F.array_join(items, ","), F.lit("]"))
     return F.to_json(col, {"ignoreNullFields": "false"})
 
 
@@ -85,18 +101,23 @@ def json_object(df: DataFrame, columns: Sequence[str]) -> Column:
 
 
 def unencodable(df: DataFrame) -> Column:
-    """True where a float column is NaN or infinite, which JSON cannot carry."""
-    tests = [
-        F.coalesce(F.isnan(f"`{f.name}`") | (F.abs(f"`{f.name}`") == float("inf")), F.lit(False))
-        for f in df.schema.fields
-        if isinstance(f.dataType, _FLOATS)
-    ]
+    """True where a float, also one in an array, is NaN or infinite: JSON cannot carry it."""
     result = F.lit(False)
-    for test in tests:
-        result = result | test
+    for f in df.schema.fields:
+        test = _bad_floats(F.col(f"`{f.name}`"), f.dataType)
+        if test is not None:
+            result = result | F.coalesce(test, F.lit(False))
     return result
 
 
+def _bad_floats(col: Column, dtype: T.DataType) -> Column | None:
+    if isinstance(dtype, _FLOATS):
+        return F.isnan(col) | (F.abs(col) == float("inf"))
+    if isinstance(dtype, T.ArrayType) and _bad_floats(F.lit(None), dtype.elementType) is not None:
+        return F.exists(col, lambda x: F.coalesce(_bad_floats(x, dtype.elementType), F.lit(False)))
+    return None
+
+
 def headers(table: Column, op: Column, ts: Column, lsn: Column) -> Column:
     """Message headers in Kafka's layout; `lsn` only where there is one."""
 

@@ -51,7 +51,14 @@ def _beyond(
 def _typed(df: DataFrame, pk: Sequence[str], cursor: Sequence) -> list[Column]:
     if len(pk) != len(cursor):
         raise ValueError(f"cursor {cursor!r} does not fit key {list(pk)}")
-    return [F.lit(v).cast(df.schema[c].dataType) for c, v in zip(pk, cursor)]
+
+    def typed(value, dtype: T.DataType) -> Column:
+        # A cursor holds binary keys as base64 text.
+        if isinstance(dtype, T.BinaryType) and isinstance(value, str):
+            return F.unbase64(F.lit(value))
+        return F.lit(value).cast(dtype)
+
+    return [typed(v, df.schema[c].dataType) for c, v in zip(pk, cursor)]
 
 
 def cursor_json(df: DataFrame, pk: Sequence[str]) -> Column:

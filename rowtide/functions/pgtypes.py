@@ -18,12 +18,6 @@ SPARK_TYPES = {
     114: T.VariantType(),
     700: T.FloatType(),
     701: T.DoubleType(),
-    1000: T.ArrayType(T.BooleanType()),
-    1005: T.ArrayType(T.ShortType()),
-    1007: T.ArrayType(T.IntegerType()),
-    1009: T.ArrayType(T.StringType()),
-    1016: T.ArrayType(T.LongType()),
-    1022: T.ArrayType(T.DoubleType()),
     1042: T.StringType(),
     1043: T.StringType(),
     1082: T.DateType(),
@@ -32,13 +26,33 @@ SPARK_TYPES = {
     1700: T.DecimalType(38, 18),
     3802: T.VariantType(),
 }
+# Array types and the types of their elements.
+ELEMENTS = {
+    1000: 16,
+    1001: 17,
+    1005: 21,
+    1007: 23,
+    1009: 25,
+    1014: 1042,
+    1015: 1043,
+    1016: 20,
+    1021: 700,
+    1022: 701,
+    1115: 1114,
+    1182: 1082,
+    1185: 1184,
+    1231: 1700,
+    2951: 2950,
+}
+SPARK_TYPES |= {oid: T.ArrayType(SPARK_TYPES.get(of, T.StringType())) for oid, of in ELEMENTS.items()}
 TEXT_OIDS = (25, 1042, 1043)
-FLOAT_OIDS = (700, 701)
+FLOAT_OIDS = (700, 701, 1021, 1022)
 NUMERIC = 1700
 
 _NUMBER = r"^-?[0-9]+(\.[0-9]+)?$"
-# One dimension, no quoting, no nesting.
-_PLAIN_ARRAY = r'^\{[^{}"\\]*\}$'
+# A quoted element, a mark, or a bare element.
+_ARRAY_PART = r'"(?:[^"\\]|\\[\s\S])*+"|[{},]|[^{},"]++'
+_ARRAY = r"^\{[\s\S]*\}$"
 _HEX_BYTES = r"^\\x([0-9A-Fa-f]{2})*$"
 
 
@@ -60,20 +74,64 @@ def decode_text(raw: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.VariantType):
         return F.try_parse_json(raw)
     if isinstance(dtype, T.ArrayType):
-        items = F.split(F.regexp_replace(raw, r"^\{|\}$", ""), ",")
-        typed = F.transform(
-            items, lambda x: F.when(x != "NULL", decode_text(x, dtype.elementType))
-        )
+        parts = array_parts(raw)
+        items = F.filter(parts, lambda p: ~p.isin("{", "}", ","))
+        typed = F.transform(items, lambda p: F.when(~_is_null(p), decode_text(_unquoted(p), dtype.elementType)))
         # An element that is neither NULL nor parses spoils the whole array.
         broken = F.exists(
-            F.arrays_zip(items.alias("t"), typed.alias("v")),
-            lambda z: (z["t"] != "NULL") & z["v"].isNull(),
+            F.arrays_zip(items.alias("t"), typed.alias("v")), lambda z: ~_is_null(z["t"]) & z["v"].isNull()
         )
+        flat = F.size(F.filter(parts, lambda p: p == "{")) == 1
         empty = F.array().cast(dtype)
-        return F.when(raw == "{}", empty).when(raw.rlike(_PLAIN_ARRAY) & ~broken, typed)
+        return F.when(raw == "{}", empty).when(raw.rlike(_ARRAY) & flat & ~broken, typed)
     return raw.try_cast(dtype)
 
 
+def array_parts(raw: Column) -> Column:
+    """Marks and elements of an array's text, in order."""
+    return F.regexp_extract_all(raw, F.lit(_ARRAY_PART), F.lit(0))
+
+
+def _is_null(part: Column) -> Column:
+    return F.upper(part) == "NULL"
+
+
+def _unquoted(part: Column) -> Column:
+    inner = F.substring(part, F.lit(2), F.length(part) - 2)
+    return F.when(part.startswith('"'), F.regexp_replace(inner, r"\\([\s\S])", "$1")).otherwise(part)
+
+
+def _array_json(raw: Column, element: Column) -> Column:
+    """JSON of an array of any depth; an element that does not parse spoils it."""
+    parts = array_parts(raw)
+    marks = F.create_map(*[F.lit(x) for pair in (("{", "["), ("}", "]"), (",", ",")) for x in pair])
+
+    def text(part: Column) -> Column:
+        # The word NULL in quotes is text.
+        whole = F.when(_is_null(part), "null").otherwise(_element_json(_unquoted(part), element))
+        return F.coalesce(F.element_at(marks, part), whole)
+
+    texts = F.transform(parts, text)
+    levels = F.size(F.filter(parts, lambda p: p == "{")) == F.size(F.filter(parts, lambda p: p == "}"))
+    good = raw.rlike(_ARRAY) & levels & ~F.exists(texts, lambda t: t.isNull())
+    return F.when(good, F.array_join(texts, "")).otherwise(quote(raw))
+
+
+def _element_json(raw: Column, oid: Column) -> Column:
+    """JSON of an element, NULL where it does not parse."""
+    result = F.when(F.lit(False), "")
+    for kind in sorted(set(ELEMENTS.values()) - set(TEXT_OIDS)):
+        dtype = spark_type(kind)
+        if kind == NUMERIC:
+            value = F.when(raw.rlike(_NUMBER), plain_decimal(raw))
+        elif isinstance(dtype, T.StringType):
+            continue
+        else:
+            value = json_scalar(decode_text(raw, dtype), dtype)
+        result = result.when(oid == kind, value)
+    return result.otherwise(quote(raw))
+
+
 def json_text(raw: Column, oid: int | Column) -> Column:
     """JSON text of a column's log text by its declared type.
 
@@ -85,11 +143,13 @@ def json_text(raw: Column, oid: int | Column) -> Column:
         return _json_text(raw, oid)
     # Most frequent types first: the cases are tried in order.
     kinds = [25, 20, 23, NUMERIC, 1184, 1043, 701, 16, 1114, 1082, 3802]
-    kinds += [k for k in SPARK_TYPES if k not in kinds]
+    kinds += [k for k in SPARK_TYPES if k not in kinds and k not in ELEMENTS]
     result = F.when(oid.isin(*TEXT_OIDS), quote(raw))
     for kind in kinds:
         if kind not in TEXT_OIDS:
             result = result.when(oid == kind, _json_text(raw, kind))
+    elements = F.create_map(*[F.lit(x) for pair in ELEMENTS.items() for x in pair])
+    result = result.when(oid.isin(*ELEMENTS), _array_json(raw, F.element_at(elements, oid.cast("int"))))
     return result.otherwise(quote(raw))
 
 
@@ -100,14 +160,14 @@ def _json_text(raw: Column, oid: int) -> Column:
     if oid == NUMERIC:
         # The number's own digits, so precision beyond 38 digits survives.
         return F.when(raw.rlike(_NUMBER), plain_decimal(raw)).otherwise(quote(raw))
+    if oid in ELEMENTS:
+        return _array_json(raw, F.lit(ELEMENTS[oid]))
     value = decode_text(raw, dtype)
-    if isinstance(dtype, T.ArrayType):
-        return F.coalesce(F.to_json(value, {"ignoreNullFields": "false"}), quote(raw))
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         return F.when(value.isNull(), quote(raw)).otherwise(json_scalar(value, dtype))
     return F.coalesce(json_scalar(value, dtype), quote(raw))
 
 
 def is_unencodable(raw: Column) -> Column:
-    """True for the text of a float that JSON cannot carry."""
-    return raw.isin("NaN", "Infinity", "-Infinity")
+    """True for the text of a float, or of an array with one, that JSON cannot carry."""
+    return raw.rlike(r"(?:^|[{,])(?:NaN|-?Infinity)(?:[,}]|$)")

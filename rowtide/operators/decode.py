@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rowtide.functions.lsn import format_lsn, parse_lsn
 from rowtide.functions.pgtypes import decode_text, spark_type
-from rowtide.operators.encode import choose_encoder, has_binary
+from rowtide.operators.encode import BAD_FLOAT, BINARY, NOT_SENT, choose_encoder, has_binary
 from rowtide.operators.messages import publish_time
 from rowtide.operators.relations import (
     History,
@@ -52,7 +52,7 @@ def decode_changes(
     versions: DataFrame | None = None,
     pk: DataFrame | None = None,
     roots: DataFrame | None = None,
-    old_key_tombstones: bool = False,
+    old_key_tombstones: bool = True,
     ts: Column | None = None,
     strict: bool = False,
 ) -> DataFrame:
@@ -61,7 +61,9 @@ def decode_changes(
     One pass over the log serves every relation and every version of it, with
     names and types taken from the relation messages, so no schema is declared.
     `versions` is the relation history when it reaches back before this log.
-    `strict` fails the job on a change of an unknown relation.
+    `strict` fails the job on a change of an unknown relation. An update that
+    moves a row to another key also ends the old key; without
+    `old_key_tombstones` the row stays under both.
     """
     history = relation_versions(log) if versions is None else versions
     known = History(described_versions(history, pk, roots))
@@ -97,23 +99,31 @@ def _change_error(strict: bool) -> Column:
         unknown = F.raise_error(
             F.concat(F.lit("change of unknown relation "), F.col("relation_id").cast("string"))
         ).cast("string")
+    # A tombstone needs its key alone.
+    has_value = F.col("op") != DELETE
     return (
         F.when(F.col("table").isNull(), unknown)
         .when(F.col("_sent").isNull() & (F.col("op") == DELETE), "delete_without_old_tuple")
-        .when(has_binary("_sent"), "binary_tuple")
-        .when(F.col("_bad_float"), "unencodable_float")
+        .when(has_value & has_binary("_sent"), "binary_tuple")
+        .when(F.col("_key_state") == BINARY, "binary_tuple")
+        .when(has_value & F.col("_bad_float"), "unencodable_float")
+        .when(F.col("_key_state") == BAD_FLOAT, "unencodable_float")
+        .when(F.col("_key_state") == NOT_SENT, "key_not_sent")
     )
 
 
 def _with_old_keys(encoded: DataFrame) -> DataFrame:
-    """Add a tombstone for the key an update moved away from."""
+    """Add a tombstone for the key an update moved away from.
+
+    An update in error ends nothing: the row lives on as it was.
+    """
     message = F.struct("op", "key", "value")
     tombstone = F.struct(
         F.lit(DELETE).alias("op"),
         F.col("_old_key").alias("key"),
         F.lit(None).cast("string").alias("value"),
     )
-    moved = F.col("_old_key") != F.col("key")
+    moved = (F.col("_old_key") != F.col("key")) & _change_error(False).isNull()
     both = F.when(moved, F.array(message, tombstone)).otherwise(F.array(message))
     rest = [c for c in encoded.columns if c not in ("op", "key", "value")]
     return encoded.withColumn("_message", F.explode(both)).select(*rest, "_message.*")

@@ -3,7 +3,12 @@
 Relations are only known at run time. Where a log holds few distinct column
 lists, each gets its own projection with names and types as constants, which
 Spark compiles. Where it holds many, one expression walks the column list that
-comes with the relation. Both give the same text.
+comes with the relation. Both give the same text and the same errors; the
+tests compare them.
+
+A key column that the new tuple leaves out comes from the old tuple. One that
+neither sends, or that is binary or a float without a JSON form, makes the
+message an error: its key would name the wrong row.
 """
 
 from __future__ import annotations
@@ -33,6 +38,31 @@ def choose_encoder(history: History) -> ShapeEncoder | ListEncoder:
     return ListEncoder()
 
 
+# States of a key column, from good to bad.
+SENT, BAD_FLOAT, NOT_SENT, BINARY = "0", "1", "2", "3"
+
+
+def field_state(field: Column, old: Column, oid: Column) -> Column:
+    """State of a key column, which the old tuple may supply."""
+
+    def one(f: Column) -> Column:
+        odd = oid.isin(*FLOAT_OIDS) & is_unencodable(f["data"])
+        return (
+            F.when(f["status"] == "b", BINARY)
+            .when((f["status"] == "t") & odd, BAD_FLOAT)
+            .when(f["status"].isin("t", "n"), SENT)
+        )
+
+    return F.coalesce(one(field), one(old), F.lit(NOT_SENT))
+
+
+def _key_places(shape: dict) -> list[tuple[str, int | None, int]]:
+    """Key columns with their place in the tuple and their type."""
+    place = {c["name"]: i for i, c in enumerate(shape["columns"])}
+    oids = {c["name"]: c["type_oid"] for c in shape["columns"]}
+    return [(name, place.get(name), oids.get(name, 0)) for name in shape["key_columns"]]
+
+
 def has_binary(sent: str) -> Column:
     """Whether a tuple holds columns in binary form, which are not decoded."""
     return F.coalesce(F.exists(sent, lambda c: c["status"] == "b"), F.lit(False))
@@ -50,21 +80,23 @@ class ShapeEncoder:
     def encode(self, joined: DataFrame, old_keys: bool) -> DataFrame:
         sent, old = F.col("_sent"), F.col("old_tuple")
         value = self._pick(lambda s: self._value(s, sent), "string")
-        old_key = self._pick(lambda s: self._key(s, old), "string")
         return joined.select(
             "*",
-            self._pick(lambda s: self._key(s, sent), "string").alias("key"),
+            self._pick(lambda s: self._key(s, sent, old), "string").alias("key"),
+            self._pick(lambda s: self._key_state(s, sent, old), "string").alias("_key_state"),
             # The test for binary columns also keeps Spark from fusing this wide
             # projection into one generated method too long to be compiled.
             F.when((F.col("op") != DELETE) & ~has_binary("_sent"), value).alias("value"),
             self._pick(lambda s: self._bad_float(s, sent), "boolean").alias("_bad_float"),
-            *(
-                [F.when((F.col("op") == UPDATE) & old.isNotNull(), old_key).alias("_old_key")]
-                if old_keys
-                else []
-            ),
+            *([self._old_key(old).alias("_old_key")] if old_keys else []),
         )
 
+    def _old_key(self, old: Column) -> Column:
+        """Key an update moved away from, where the old tuple holds all of it."""
+        key = self._pick(lambda s: self._key(s, old, old), "string")
+        whole = self._pick(lambda s: self._key_state(s, old, old), "string") == SENT
+        return F.when((F.col("op") == UPDATE) & old.isNotNull() & whole, key)
+
     def _pick(self, expression: Callable[[dict], Column], dtype: str) -> Column:
         cases = F.when(F.lit(False), F.lit(None).cast(dtype))
         for text, shape in self.shapes.items():
@@ -91,20 +123,31 @@ class ShapeEncoder:
         # concat_ws leaves out the columns that were not sent.
         return F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
 
-    def _key(self, shape: dict, sent: Column) -> Column:
-        place = {c["name"]: i for i, c in enumerate(shape["columns"])}
+    def _key(self, shape: dict, sent: Column, old: Column) -> Column:
         parts: list[Column] = []
-        for n, name in enumerate(shape["key_columns"]):
+        for n, (name, place, oid) in enumerate(_key_places(shape)):
             label = ("," if n else "{") + json.dumps(name, ensure_ascii=False) + ":"
             parts.append(F.lit(label))
-            if name in place:
-                found = self._json(sent, place[name], shape["columns"][place[name]]["type_oid"])
-                parts.append(F.coalesce(found, F.lit("null")))
-            else:
+            if place is None:
                 parts.append(F.lit("null"))
+            else:
+                found = [self._json(t, place, oid) for t in (sent, old)]
+                parts.append(F.coalesce(*found, F.lit("null")))
         key = F.concat(*parts, F.lit("}")) if parts else F.lit("{}")
         return F.when(sent.isNotNull(), key)
 
+    @staticmethod
+    def _key_state(shape: dict, sent: Column, old: Column) -> Column:
+        """Whether the key is there, and if not, why: the worst of its columns."""
+        states = [F.lit(SENT)]
+        for _, place, oid in _key_places(shape):
+            if place is None:
+                states.append(F.lit(NOT_SENT))
+            else:
+                fields = [F.get(t, F.lit(place)) for t in (sent, old)]
+                states.append(field_state(*fields, F.lit(oid)))
+        return F.array_max(F.array(*states))
+
     @staticmethod
     def _bad_float(shape: dict, sent: Column) -> Column:
         bad = F.lit(False)
@@ -131,23 +174,54 @@ class ListEncoder:
         floats = F.exists(
             "_fields", lambda f: f["oid"].isin(*FLOAT_OIDS) & is_unencodable(f["data"])
         )
+        sent, old = F.col("_sent"), F.col("old_tuple")
         encoded = members.select(
             "*",
-            _key("_members").alias("key"),
+            _list_key(sent, old).alias("key"),
+            _list_key_state(sent, old).alias("_key_state"),
             F.when((F.col("op") != DELETE) & ~has_binary("_sent"), _object("_members")).alias("value"),
             F.coalesce(floats, F.lit(False)).alias("_bad_float"),
         )
         if old_keys:
-            moved = (F.col("op") == UPDATE) & F.col("old_tuple").isNotNull()
-            old = F.when(moved, _sent_fields(F.col("old_tuple"), F.col("_columns")))
-            encoded = (
-                encoded.withColumn("_old_fields", old)
-                .withColumn("_old_members", _members("_old_fields"))
-                .withColumn("_old_key", _key("_old_members"))
-            )
+            moved = (F.col("op") == UPDATE) & old.isNotNull() & (_list_key_state(old, old) == SENT)
+            encoded = encoded.withColumn("_old_key", F.when(moved, _list_key(old, old)))
         return encoded
 
 
+def _place(name: Column) -> Column:
+    """Place of a named column in the tuple, from 1; 0 if it has none."""
+    names = F.transform("_columns", lambda c: c["name"])
+    return F.coalesce(F.array_position(names, name), F.lit(0)).cast("int")
+
+
+def _list_key(sent: Column, old: Column) -> Column:
+    """Key object over the joined column list; a column that was not sent is null."""
+
+    def member(name: Column) -> Column:
+        at = _place(name) - 1
+        column = F.get("_columns", at)
+
+        def json_of(f: Column) -> Column:
+            return F.when(f["status"] == "n", "null").when(
+                f["status"] == "t", json_text(f["data"], column["type_oid"])
+            )
+
+        found = F.coalesce(json_of(F.get(sent, at)), json_of(F.get(old, at)), F.lit("null"))
+        return F.concat(quote(name), F.lit(":"), found)
+
+    text = F.array_join(F.transform("key_columns", member), ",")
+    return F.when(sent.isNotNull(), F.concat(F.lit("{"), text, F.lit("}")))
+
+
+def _list_key_state(sent: Column, old: Column) -> Column:
+    def state(name: Column) -> Column:
+        at = _place(name) - 1
+        return field_state(F.get(sent, at), F.get(old, at), F.get("_columns", at)["type_oid"])
+
+    states = F.transform("key_columns", state)
+    return F.array_max(F.concat(F.array(F.lit(SENT)), states))
+
+
 def _sent_fields(sent: Column, columns: Column) -> Column:
     """Columns of a tuple that were sent, paired with metadata by place.
 
@@ -185,16 +259,3 @@ def _object(members: str) -> Column:
         F.array_sort(members), lambda m: F.concat(quote(m["name"]), F.lit(":"), m["json"])
     )
     return F.concat(F.lit("{"), F.array_join(text, ","), F.lit("}"))
-
-
-def _key(members: str, key_columns: str = "key_columns") -> Column:
-    """Key object; a key column the tuple does not carry is null."""
-
-    def member(name: Column) -> Column:
-        found = F.get(F.filter(members, lambda m: m["name"] == name), F.lit(0))
-        return F.concat(quote(name), F.lit(":"), F.coalesce(found["json"], F.lit("null")))
-
-    text = F.transform(key_columns, member)
-    return F.when(
-        F.col(members).isNotNull(), F.concat(F.lit("{"), F.array_join(text, ","), F.lit("}"))
-    )

@@ -11,11 +11,17 @@ from rowtide.functions.lsn import parse_lsn
 from rowtide.operators.sizes import is_small
 
 CHECKPOINT_KEY = "checkpoint"
+_RFC3339 = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(?:\.\d+)?(?:Z|[+-]\d\d:\d\d)$"
 
 
 def latest_units(state_log: DataFrame) -> DataFrame:
-    """Newest state of each unit: `unit, done, last_pk`."""
-    newest = F.max_by(F.struct("done", "last_pk"), F.struct("saved_at", "done"))
+    """Newest state of each unit: `unit, done, last_pk`.
+
+    The order is that of `seq`, where the log has one: clocks of different
+    drivers may disagree.
+    """
+    order = ["seq"] if "seq" in state_log.columns else []
+    newest = F.max_by(F.struct("done", "last_pk"), F.struct(*order, "saved_at", "done"))
     return state_log.groupBy("unit").agg(newest.alias("_s")).select("unit", "_s.*")
 
 
@@ -57,13 +63,30 @@ def load_checkpoint(topic: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         & F.coalesce(units_kind.startswith("OBJECT") | (units_kind == "VOID"), F.lit(True))
     )
     read = F.from_json("value", shape)
-    flags_ok = F.coalesce(
-        F.forall(
-            F.map_values(read["snapshots"]),
-            lambda s: F.coalesce(s["done"].isin("true", "false"), F.lit(True)),
+    units = F.map_values(F.variant_get("_v", "$.snapshots", "map<string,variant>"))
+
+    def unit_ok(unit: Column) -> Column:
+        is_unit = F.schema_of_variant(unit).startswith("OBJECT")
+        flag = F.schema_of_variant(F.variant_get(unit, "$.done", "variant"))
+        flag_ok = F.coalesce(flag, F.lit("VOID")).isin("BOOLEAN", "VOID")
+        return F.coalesce(unit.isNull() | F.is_variant_null(unit) | (is_unit & flag_ok), F.lit(True))
+
+    stamp = F.variant_get("_v", "$.updated_at", "variant")
+    stamp_text = F.try_variant_get("_v", "$.updated_at", "string")
+    stamp_ok = F.coalesce(
+        stamp.isNull()
+        | F.is_variant_null(stamp)
+        | (
+            (F.schema_of_variant(stamp) == "STRING")
+            & stamp_text.rlike(_RFC3339)
+            & stamp_text.try_cast("timestamp").isNotNull()
         ),
         F.lit(True),
     )
+    units_ok = F.when(
+        units_kind.startswith("OBJECT"), F.coalesce(F.forall(units, unit_ok), F.lit(True))
+    ).otherwise(F.lit(True))
+    flags_ok = F.when(is_object & well_typed, units_ok & stamp_ok).otherwise(F.lit(True))
     valid = parsed.filter(
         F.col("_v").isNotNull() & ((kind == "VOID") | (is_object & well_typed & flags_ok))
     )

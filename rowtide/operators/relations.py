@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F
@@ -68,9 +67,11 @@ class History:
     Relations are announced again in every session, so repeats are dropped
     first. What is left is usually small: it is fetched behind a limit and
     broadcast. A longer history stays distributed. Either way the join key is
-    the relation and a slice of the position range, with as many slices as keep
-    the versions a change is compared with few; they also spread a hot relation
-    over many join keys.
+    the relation and a slice of its own position range, with as many slices as
+    keep the versions a change is compared with few; they also spread a hot
+    relation over many join keys. A version is copied into each slice it reaches
+    into: a relation's copies are at most its versions and its slices together,
+    so what is broadcast is at most about twice what was checked.
     """
 
     def __init__(self, versions: DataFrame):
@@ -105,12 +106,19 @@ class History:
             # Used several times below, so it is computed once.
             use_checkpoints(versions.sparkSession)
             changed = changed.checkpoint()
-            per_relation = changed.groupBy("relation_id").agg(F.count("*").alias("n"))
-            self._slice(per_relation.agg(F.max("n")).first()[0])
+            self.slicing = _slicing(changed)
             self.frame = self._spread(self._intervals(changed))
         else:
-            self._slice(_most_common(r.relation_id for r in rows))
-            self.frame = F.broadcast(self._spread(self._local_intervals(changed)))
+            intervals = self._local_intervals(changed)
+            self.slicing = F.broadcast(
+                _slicing(
+                    intervals.select(
+                        F.col("_relation_id").alias("relation_id"),
+                        F.struct(F.col("_from_pos").alias("commit_pos")).alias("valid_from"),
+                    )
+                )
+            )
+            self.frame = F.broadcast(self._spread(intervals))
 
     def attach(self, changes: DataFrame) -> DataFrame:
         """Changes with the attributes in force at their position, or NULLs."""
@@ -120,7 +128,8 @@ class History:
         )
         ended = (pos > F.col("_to_pos")) | ((pos == F.col("_to_pos")) & (place >= F.col("_to_ord")))
         return (
-            changes.withColumn("_slice", self._slice_of(pos))
+            changes.join(self.slicing, F.col("relation_id") == F.col("_sliced"), "left")
+            .withColumn("_slice", _slice_of(pos))
             .join(
                 self.frame,
                 (F.col("relation_id") == F.col("_relation_id"))
@@ -129,21 +138,14 @@ class History:
                 & ~ended,
                 "left",
             )
-            .drop("_slice", "_version_slice", "_relation_id", *_BOUNDS)
+            .drop("_slice", "_version_slice", "_relation_id", *_SLICING, *_BOUNDS)
         )
 
-    def _slice(self, most_versions: int | None) -> None:
-        self.slices = max(1, ceil((most_versions or 0) / CANDIDATES))
-        self.width = max(1, ceil((self.high - self.low + 1) / self.slices))
-
-    def _slice_of(self, commit_pos: Column) -> Column:
-        return _slice_number(commit_pos, self.low, self.width, self.slices)
-
     def _without_repeats(self, versions: DataFrame, most: int) -> DataFrame:
         """Versions that differ from the one before, to within one per window."""
         windows = max(1, ceil(most / WINDOW_ROWS))
         width = max(1, ceil((self.high - self.low + 1) / windows))
-        part = _slice_number(F.col("valid_from.commit_pos"), self.low, width, windows)
+        part = F.floor((F.col("valid_from.commit_pos") - self.low) / width)
         same = F.struct(*self.attributes)
         before = F.lag(same).over(
             Window.partitionBy("relation_id", "_part").orderBy("valid_from")
@@ -178,7 +180,8 @@ class History:
         The next version is looked up inside the slice and, for the last one
         of a slice, in the relation's next occupied slice.
         """
-        cut = changed.withColumn("_cut", self._slice_of(F.col("valid_from.commit_pos")))
+        sliced = changed.join(self.slicing, F.col("relation_id") == F.col("_sliced"))
+        cut = sliced.withColumn("_cut", _slice_of(F.col("valid_from.commit_pos"))).drop(*_SLICING)
         inside = Window.partitionBy("relation_id", "_cut").orderBy("valid_from")
         across = Window.partitionBy("relation_id").orderBy("_cut")
         first = cut.groupBy("relation_id", "_cut").agg(F.min("valid_from").alias("_first"))
@@ -201,22 +204,31 @@ class History:
 
     def _spread(self, intervals: DataFrame) -> DataFrame:
         """One row per interval and slice it reaches into."""
-        reached = F.sequence(self._slice_of(F.col("_from_pos")), self._slice_of(F.col("_to_pos")))
-        return intervals.withColumn("_version_slice", F.explode(reached))
+        sliced = intervals.join(self.slicing, F.col("_relation_id") == F.col("_sliced"))
+        reached = F.sequence(_slice_of(F.col("_from_pos")), _slice_of(F.col("_to_pos")))
+        return sliced.withColumn("_version_slice", F.explode(reached)).drop(*_SLICING)
+
 
+_SLICING = ("_sliced", "_low", "_width", "_slices")
 
-def _slice_number(commit_pos: Column, low: int, width: int, slices: int) -> Column:
-    if slices == 1:
-        return F.lit(0).cast("bigint")
-    inside = F.greatest(F.least(commit_pos, F.lit(low + width * slices - 1)), F.lit(low))
-    return F.floor((inside - low) / width).cast("bigint")
+
+def _slicing(versions: DataFrame) -> DataFrame:
+    """How each relation's position range is cut: one row per relation."""
+    place = F.col("valid_from.commit_pos")
+    ranges = versions.groupBy("relation_id").agg(
+        F.min(place).alias("_low"), F.max(place).alias("_high"), F.count("*").alias("_n")
+    )
+    slices = F.ceil(F.col("_n") / CANDIDATES)
+    width = F.greatest(F.ceil((F.col("_high") - F.col("_low") + 1) / slices), F.lit(1))
+    return ranges.select(
+        F.col("relation_id").alias("_sliced"), "_low", width.alias("_width"), slices.alias("_slices")
+    )
 
 
-def _most_common(values: Iterable[int]) -> int:
-    counts: dict[int, int] = {}
-    for value in values:
-        counts[value] = counts.get(value, 0) + 1
-    return max(counts.values(), default=0)
+def _slice_of(commit_pos: Column) -> Column:
+    last = F.col("_low") + F.col("_width") * F.col("_slices") - 1
+    inside = F.greatest(F.least(commit_pos, last), F.col("_low"))
+    return F.floor((inside - F.col("_low")) / F.col("_width")).cast("bigint")
 
 
 def relation_asof(changes: DataFrame, versions: DataFrame) -> DataFrame:

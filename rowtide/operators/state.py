@@ -41,8 +41,12 @@ def current_table(
 
 
 def table_as_of(messages: DataFrame, position: int, key: Sequence[str] = KEY) -> DataFrame:
-    """Live rows once every transaction up to `position` was applied."""
-    return current_table(messages.filter(F.col("commit_pos") <= position), key)
+    """Live rows once every transaction up to `position` was applied.
+
+    Rows of an unpinned snapshot have no position; they come before every change.
+    """
+    pos = F.col("commit_pos")
+    return current_table(messages.filter(pos.isNull() | (pos <= position)), key)
 
 
 def after_truncates(messages: DataFrame, truncates: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from rowtide.operators.snapshot import (
     snapshot_table,
     snapshot_view,
 )
-from rowtide.schemas import STATE_LOG
+from rowtide.schemas import STORED_STATE
 from rowtide.sources.sinks import append_state, write_message_log
 from rowtide.sources.tables import read_if_there
 
@@ -40,7 +40,7 @@ class SourceObject:
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
     """Newest unit states; none where nothing was saved yet."""
-    return latest_units(read_if_there(spark, path, STATE_LOG))
+    return latest_units(read_if_there(spark, path, STORED_STATE))
 
 
 def run_snapshot(

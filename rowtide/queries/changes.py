@@ -431,18 +431,22 @@ def replica_identity_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
     WITH {FEED_SQL}
-    SELECT '{{"props":"' || replace(props, '"', '\\"') || '"}}' AS key, lsn
-    FROM feed WHERE op <> 'd' AND event_type <> 'view'""")
+    SELECT CASE WHEN event_type IN ('view') THEN '{{"props":null}}'
+      WHEN op = 'd' THEN '{{"props":null}}'
+      ELSE '{{"props":"' || replace(props, '"', '\\"') || '"}}' END AS key, lsn,
+      CASE WHEN event_type = 'view' THEN 'key_not_sent' END AS error
+    FROM feed""")
 def catalog_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The catalog's primary key wins over the replica identity."""
+    """The catalog's primary key wins over the replica identity.
+
+    Where the log leaves the key's column out, the message is an error.
+    """
     events = feed(spark, sf_dir)
     pk = first_change(events).select(
         F.lit("public.users").alias("table"), F.array(F.lit("props")).alias("pk_columns")
     )
     messages = decode_changes(change_log(spark, sf_dir), pk=pk)
-    return messages.filter("op <> 'd' AND key <> '{\"props\":null}'").select(
-        "key", row_lsn().alias("lsn")
-    )
+    return messages.select("key", row_lsn().alias("lsn"), "error")
 
 
 @query(f"""
@@ -460,3 +464,146 @@ def published_relations_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = published_only(log, published).filter("kind <> 'R'")
     op = F.when(F.col("kind") == "I", "c").when(F.col("kind") == "D", "d").otherwise("u")
     return kept.select(F.col("wal_pos").alias("lsn"), op.alias("op"))
+
+
+def full_identity(events: DataFrame, value) -> DataFrame:
+    """The users log under a full replica identity, with `value` as text."""
+    whole = F.array(text(F.col("user_id")), text(value), text(F.col("props"))).cast(TUPLE)
+    dead = F.col("op") == "d"
+    changes = log_rows(
+        events,
+        kind_of(F.col("op")),
+        relation_id=F.lit(USERS),
+        old_tuple=F.when(F.col("op") != "c", whole),
+        new_tuple=F.when(~dead, whole),
+    )
+    known = log_rows(
+        first_change(events),
+        "R",
+        relation_id=F.lit(USERS),
+        relation=relation("public", "users", [("user_id", 20, 1), ("value", 701, 1), ("props", 25, 1)]),
+    )
+    return changes.unionByName(known)
+
+
+def users_pk(events: DataFrame) -> DataFrame:
+    return first_change(events).select(
+        F.lit("public.users").alias("table"), F.array(F.lit("user_id")).alias("pk_columns")
+    )
+
+
+@query(f"""
+    WITH {FEED_SQL}
+    SELECT lsn, op, {USER_KEY_SQL} AS key,
+      CASE WHEN op <> 'd' AND event_type = 'click' THEN 'unencodable_float' END AS error FROM feed""")
+def delete_full_identity_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A delete needs its key alone: a NaN elsewhere in the old row does not matter."""
+    events = feed(spark, sf_dir)
+    odd = F.when(F.col("event_type").isin("click", "error"), "NaN").otherwise(F.col("value").cast("string"))
+    messages = decode_changes(full_identity(events, odd), pk=users_pk(events))
+    return messages.select(row_lsn().alias("lsn"), "op", "key", "error")
+
+
+@query(f"""
+    WITH {FEED_SQL}
+    SELECT lsn, op, CASE WHEN event_type = 'purchase' THEN '{{"user_id":null}}' ELSE {USER_KEY_SQL} END AS key,
+      CASE WHEN event_type = 'purchase' THEN 'key_not_sent' END AS error FROM feed WHERE op <> 'd'""")
+def key_not_sent_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A key column that was not sent comes from the old tuple, else the change is set aside."""
+    events = feed(spark, sf_dir).filter("op <> 'd'")
+    own, lost = F.col("event_type") == "signup", F.col("event_type") == "purchase"
+    new = F.array(F.when(own, text(F.col("user_id"))).otherwise(marked("u")), text(F.col("value")), text(F.col("props")))
+    old = F.array(text(F.col("user_id")), marked("n"), marked("n")).cast(TUPLE)
+    changes = log_rows(
+        events,
+        kind_of(F.col("op")),
+        relation_id=F.lit(USERS),
+        old_tuple=F.when(~own & ~lost, old),
+        new_tuple=new.cast(TUPLE),
+    )
+    messages = decode_changes(changes.unionByName(session_relations(events)))
+    return messages.select(row_lsn().alias("lsn"), "op", "key", "error")
+
+
+# Sixty column lists: a relation for each, told apart by a column's name.
+SHAPES = 60
+
+
+@query(f"""
+    WITH {FEED_SQL}
+    SELECT lsn, 'public.t' || (event_id % {SHAPES}) AS "table", op, {USER_KEY_SQL} AS key,
+      CASE WHEN op <> 'd' THEN props END AS props FROM feed""")
+def decode_many_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More column lists than are written out: one expression gives the same messages."""
+    events = feed(spark, sf_dir)
+    shape = F.col("event_id") % SHAPES
+    whole = F.array(text(F.col("user_id")), text(F.col("props"))).cast(TUPLE)
+    dead = F.col("op") == "d"
+    changes = log_rows(
+        events,
+        kind_of(F.col("op")),
+        relation_id=shape,
+        old_tuple=F.when(dead, whole),
+        new_tuple=F.when(~dead, whole),
+    )
+    first = events.groupBy(shape.alias("shape")).agg(
+        F.min("xid").alias("xid"), F.min(F.struct("commit_pos", "ord")).alias("first")
+    )
+    label = F.concat(F.lit("t"), F.col("shape"))
+    columns = F.array(
+        F.struct(F.lit("user_id").alias("name"), F.lit(20).cast("bigint").alias("type_oid"), F.lit(1).alias("flags")),
+        F.struct(F.concat(F.lit("props_"), label).alias("name"), F.lit(25).cast("bigint").alias("type_oid"), F.lit(0).alias("flags")),
+    )
+    known = log_rows(
+        first.select("shape", "xid", "first.*"),
+        "R",
+        relation_id=F.col("shape"),
+        relation=F.struct(F.lit("public").alias("namespace"), label.alias("name"), columns.alias("columns")),
+    )
+    messages = decode_changes(changes.unionByName(known))
+    pair = F.from_json("value", "map<string,string>")
+    name = F.concat(F.lit("props_"), F.split_part("table", F.lit("."), F.lit(2)))
+    return messages.select(
+        row_lsn().alias("lsn"), "table", "op", "key", F.try_element_at(pair, name).alias("props")
+    )
+
+
+# A relation for each user; one holds a new version at every event of it.
+@query(f"""
+    WITH {FEED_SQL}, placed AS (
+      SELECT *, commit_pos * 8 + ord AS pos,
+        CASE WHEN event_type = 'view' THEN 0 ELSE user_id + 1 END AS rel FROM feed),
+    versions AS (SELECT rel, pos, event_id AS "version" FROM placed WHERE rel = 0 OR event_id % 3 = 0)
+    SELECT p.lsn, v."version" FROM placed p ASOF LEFT JOIN versions v ON p.rel = v.rel AND p.pos >= v.pos""")
+def relation_as_of_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Very many relations, and one with very many versions."""
+    events = feed(spark, sf_dir)
+    hot = F.col("event_type") == "view"
+    placed = events.withColumn("relation_id", F.when(hot, 0).otherwise(F.col("user_id") + 1).cast("bigint"))
+    versions = placed.filter((F.col("relation_id") == 0) | (F.col("event_id") % 3 == 0)).select(
+        "relation_id",
+        F.struct("commit_pos", F.col("ord").cast("bigint").alias("ord")).alias("valid_from"),
+        F.col("event_id").alias("version"),
+    )
+    changes = placed.select("relation_id", "commit_pos", "ord", "lsn")
+    return relation_asof(changes, versions).select("lsn", "version")
+
+
+@query("""
+    SELECT 'd' || doc_id AS id, to_json([text, NULL, doc_id::VARCHAR])::VARCHAR AS json, true AS same_bytes FROM documents
+    UNION ALL SELECT 'c' || conv_id || '.' || turn, to_json([text, NULL, conv_id::VARCHAR])::VARCHAR, true FROM conversations""")
+def decode_array_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrays of quoted and escaped text: the same JSON as from a typed column."""
+    docs = table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("d"), "doc_id").alias("id"), "text", F.col("doc_id").cast("string").alias("n")
+    )
+    turns = table(spark, sf_dir, "conversations").select(
+        F.concat(F.lit("c"), "conv_id", F.lit("."), "turn").alias("id"), "text", F.col("conv_id").cast("string").alias("n")
+    )
+    rows = docs.unionByName(turns)
+    escaped = F.replace(F.replace("text", F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    raw = F.concat(F.lit('{"'), escaped, F.lit('",NULL,'), "n", F.lit("}"))
+    typed = F.array("text", F.lit(None).cast("string"), "n")
+    made = rows.select("id", json_text(raw, F.lit(1009)).alias("json"), typed.alias("typed"))
+    same = json_scalar(F.col("typed"), made.schema["typed"].dataType) == F.col("json")
+    return made.select("id", "json", same.alias("same_bytes"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from rowtide.functions.keyset import last_cursor, read_cursor
@@ -20,7 +22,10 @@ from rowtide.operators.snapshot import (
     snapshot_table,
     snapshot_view,
 )
+from rowtide.plans.snapshot import SourceObject, read_state, run_snapshot
 from rowtide.queries.registry import query, table
+from rowtide.session import shared_dir
+from rowtide.sources.tables import pin_files, read_pinned
 
 YEARS = range(1995, 2001)
 
@@ -310,3 +315,51 @@ def empty_partitioned_root(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select(
         "unit", (F.coalesce("n", F.lit(0)) > 0).alias("has_rows"), F.lit(True).alias("done")
     )
+
+
+@query("""
+    SELECT 'public.nation' AS unit, TRUE AS done, count(*) AS "rows" FROM nation
+    UNION ALL SELECT 'public.empty', TRUE, 0 FROM (SELECT count(*) FROM nation)""")
+def snapshot_empty_root(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A root without children is finished at once, without rows; a table beside it is read."""
+    folder = f"{shared_dir(spark)}/rowtide-{uuid4().hex}"
+    objects = [
+        SourceObject("public.empty", "part_root", ("n_nationkey",)),
+        SourceObject("public.nation", "table", ("n_nationkey",)),
+    ]
+    run_snapshot(
+        spark, objects, lambda _: table(spark, sf_dir, "nation"), f"{folder}/out", f"{folder}/state", point=1
+    )
+    messages = spark.read.parquet(f"{folder}/out").groupBy(F.col("table").alias("unit")).agg(
+        F.count("*").alias("rows")
+    )
+    state = read_state(spark, f"{folder}/state").select("unit", "done")
+    return state.join(messages, "unit", "left").select(
+        "unit", "done", F.coalesce("rows", F.lit(0).cast("bigint")).alias("rows")
+    )
+
+
+@query("""
+    SELECT conv_id, turn FROM conversations""")
+def keyset_resume_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A binary key: a first page and the resumed rest are the whole table, once."""
+    conv = table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", F.unhex(F.md5(F.concat_ws(".", "conv_id", "turn"))).alias("id")
+    )
+    page = keyset_page(conv, ["id"], None, 40)
+    saved = last_cursor(keyset_page(conv, ["id"], None, 40), ["id"]).first()["last_pk"]
+    rest = between(conv, ["id"], read_cursor(saved, conv, ["id"]), None)
+    return page.unionByName(rest).select("conv_id", "turn")
+
+
+@query("""
+    SELECT o_orderkey, o_orderpriority FROM orders""")
+def pinned_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A pinned table keeps its partition columns and does not see later rows."""
+    folder = f"{shared_dir(spark)}/rowtide-{uuid4().hex}"
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    path = f"{folder}/or ders"
+    orders.write.partitionBy("o_orderpriority").parquet(path)
+    pin_files(spark, path, f"{folder}/manifest")
+    orders.write.mode("append").partitionBy("o_orderpriority").parquet(path)
+    return read_pinned(spark, f"{folder}/manifest").select("o_orderkey", "o_orderpriority")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowtide.operators.decode import decode_changes, truncate_audit, typed_rows
+from rowtide.operators.messages import MESSAGE_COLUMNS, row_messages
 from rowtide.operators.state import current_table, fill_omitted, table_as_of
 from rowtide.queries.feed import (
     FEED_SQL,
@@ -12,10 +13,14 @@ from rowtide.queries.feed import (
     USERS,
     change_log,
     feed,
+    kind_of,
     log_rows,
+    marked,
     session_relations,
+    text,
 )
 from rowtide.queries.registry import query
+from rowtide.schemas import TUPLE
 
 NEWEST = "row_number() OVER (PARTITION BY user_id ORDER BY commit_pos DESC, ord DESC) = 1"
 
@@ -84,3 +89,44 @@ def state_after_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     audit = truncate_audit(truncates.unionByName(session_relations(events)))
     messages = decode_changes(change_log(spark, sf_dir)).select("table", "key", "op", "commit_pos", "ord")
     return current_table(messages, truncates=audit).drop("table")
+
+
+@query(f"""
+    WITH {FEED_SQL}, point AS (SELECT (min(commit_pos) + max(commit_pos)) // 2 AS p FROM feed),
+    changed AS (SELECT user_id, op FROM feed, point WHERE commit_pos <= p QUALIFY {NEWEST})
+    SELECT '{{"user_id":' || u.user_id || '}}' AS key, coalesce(c.op, 'r') AS op
+    FROM (SELECT DISTINCT user_id FROM events) u LEFT JOIN changed c USING (user_id)
+    WHERE c.op IS NULL OR c.op <> 'd'""")
+def state_as_of_unpinned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a snapshot without a position come before every change."""
+    events = feed(spark, sf_dir)
+    point = events.agg(F.expr("(min(commit_pos) + max(commit_pos)) div 2").alias("p")).first()["p"]
+    changes = decode_changes(change_log(spark, sf_dir)).select(*MESSAGE_COLUMNS)
+    rows = row_messages(events.select("user_id").distinct(), "public.users", ["user_id"])
+    both = changes.unionByName(rows.select(*MESSAGE_COLUMNS))
+    return table_as_of(both, point).select("key", "op")
+
+
+@query(f"""
+    WITH {FEED_SQL}, messages AS (
+      SELECT user_id + 1 AS key, op, commit_pos, ord, 1 AS turn, value FROM feed WHERE op <> 'd'
+      UNION ALL SELECT user_id, 'd', commit_pos, ord, 0, NULL FROM feed WHERE op = 'd' OR event_type = 'purchase')
+    SELECT '{{"user_id":' || key || '}}' AS key, op, value FROM messages
+    QUALIFY row_number() OVER (PARTITION BY key ORDER BY commit_pos DESC, ord DESC) = 1 AND op <> 'd'""")
+def moved_key_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row that moved to another key is live under the new one alone."""
+    events = feed(spark, sf_dir)
+    moved = F.col("event_type") == "purchase"
+    old = F.array(text(F.col("user_id")), marked("n"), marked("n")).cast(TUPLE)
+    new = F.array(text(F.col("user_id") + 1), text(F.col("value")), text(F.col("props"))).cast(TUPLE)
+    dead = F.col("op") == "d"
+    changes = log_rows(
+        events,
+        kind_of(F.col("op")),
+        relation_id=F.lit(USERS),
+        old_tuple=F.when(dead | moved, old),
+        new_tuple=F.when(~dead, new),
+    )
+    live = current_table(decode_changes(changes.unionByName(session_relations(events))))
+    value = F.get_json_object("value", "$.value").cast("double")
+    return live.select("key", "op", value.alias("value"))

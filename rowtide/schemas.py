@@ -58,6 +58,8 @@ MESSAGE = (
 OBJECT = "schema string, name string, kind string, pk_columns array<string>"
 
 STATE_LOG = "unit string, done boolean, last_pk string, saved_at timestamp"
+# As stored, with the order in which states were saved.
+STORED_STATE = f"{STATE_LOG}, seq bigint"
 
 # One record of the compacted checkpoint topic, in the layout of a Kafka source.
 TOPIC_RECORD = "partition int, offset bigint, key string, value string"

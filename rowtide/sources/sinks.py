@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowtide.operators.messages import in_wave, kafka_columns, ordered_by_key, position_waves
-from rowtide.schemas import MESSAGE
+from rowtide.schemas import MESSAGE, STORED_STATE
+from rowtide.sources.tables import read_if_there
 
 # Producer settings of the message topic.
 PRODUCER = {
@@ -78,9 +79,15 @@ def write_message_topic(
 
 
 def append_state(states: DataFrame, path: str) -> None:
-    """Append unit states `unit, done, last_pk` to the state log."""
+    """Append unit states `unit, done, last_pk` to the state log, numbered in order."""
+    log = read_if_there(states.sparkSession, path, STORED_STATE)
+    seq = log.agg(F.coalesce(F.max("seq"), F.lit(-1)) + 1).first()[0]
     states.select(
-        "unit", "done", "last_pk", F.current_timestamp().alias("saved_at")
+        "unit",
+        "done",
+        "last_pk",
+        F.current_timestamp().alias("saved_at"),
+        F.lit(seq).cast("bigint").alias("seq"),
     ).coalesce(1).write.mode("append").parquet(path)
 
 

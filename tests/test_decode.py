@@ -131,8 +131,8 @@ def test_old_key_tombstone(spark, encoder):
         message("U", 2, 0, old=tuple_(2, None, None), new=tuple_(2, "b", 1)),
         message("U", 3, 0, new=tuple_(2, "c", 1)),
     ]
-    assert len(decoded(spark, log)) == 3
-    with_old = decoded(spark, log, old_key_tombstones=True)
+    assert len(decoded(spark, log, old_key_tombstones=False)) == 3
+    with_old = decoded(spark, log)
     assert [r for r in with_old if r[1] == "d"] == [("public.t", "d", '{"id":1}', None, None)]
     assert len(with_old) == 4
 

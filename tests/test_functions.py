@@ -96,8 +96,17 @@ DECODED = [
     (1007, "{1,NULL,3}", "[1,null,3]"),
     (1007, "{}", "[]"),
     (1007, "{1,x}", '"{1,x}"'),
-    (1007, "{{1},{2}}", '"{{1},{2}}"'),
+    (1007, "{{1},{2}}", "[[1],[2]]"),
     (1009, "{a,b}", '["a","b"]'),
+    (1009, '{"a b",c,"NULL",NULL,"q\\"\\\\,{}"}', '["a b","c","NULL",null,"q\\"\\\\,{}"]'),
+    (1015, '{"{x}",""}', '["{x}",""]'),
+    (1231, "{1.500,NULL,12345678901234567890.10}", "[1.5,null,12345678901234567890.1]"),
+    (1182, "{2026-01-15}", '["2026-01-15T00:00:00Z"]'),
+    (1115, '{"2026-01-15 10:00:00.5"}', '["2026-01-15T10:00:00.5Z"]'),
+    (1185, '{"2026-01-15 10:00:00+00"}', '["2026-01-15T10:00:00Z"]'),
+    (2951, "{00000000-0000-0000-0000-000000000001}", '["00000000-0000-0000-0000-000000000001"]'),
+    (1009, "{{a},{b}", '"{{a},{b}"'),
+    (1022, "{1.5,NaN}", '"{1.5,NaN}"'),
 ]
 
 
