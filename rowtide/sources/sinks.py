@@ -57,19 +57,25 @@ def write_message_topic(
     topic: str,
     partitions: int | None = None,
     rows_per_wave: int | None = None,
+    topic_partitions: int | None = None,
     **options: str,
 ) -> None:
     """Messages to Kafka, in log order per key; the key picks the partition.
 
     A large log is best published in waves of `rows_per_wave`, see
-    `position_waves`.
+    `position_waves`. View rows all have the key `{}`: given the number of
+    partitions of the topic they are spread over all of them by content.
     """
+    spread = []
+    if topic_partitions:
+        place = F.pmod(F.xxhash64("value"), F.lit(topic_partitions)).cast("int")
+        spread = [F.when(F.col("key") == "{}", place).alias("partition")]
     waves = [(None, None)] if rows_per_wave is None else position_waves(messages, rows_per_wave)
     for wave in waves:
         part = with_topic(messages.filter(in_wave(wave)), topic)
         (
             ordered_by_key(part, partitions)
-            .select("topic", *kafka_columns())
+            .select("topic", *kafka_columns(), *spread)
             .write.format("kafka")
             .option("kafka.bootstrap.servers", servers)
             .option("includeHeaders", "true")

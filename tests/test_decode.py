@@ -247,3 +247,33 @@ def test_wide_projection_is_not_fused(spark):
     assert "exists(" in plan
 
 
+
+
+def test_versions_are_not_multiplied(spark):
+    """Many relations and one with many versions: what is broadcast stays in proportion."""
+    from rowtide.operators.relations import History
+
+    versions = [(i, f"t{i}", (1, 0)) for i in range(400)] + [(0, f"v{i}", (10 + i, 0)) for i in range(300)]
+    ddl = "relation_id bigint, table string, valid_from struct<commit_pos:bigint,ord:bigint>"
+    known = History(spark.createDataFrame(versions, ddl))
+    assert known.frame.count() <= 2 * len(versions)
+    changes = spark.createDataFrame([(0, p, 0) for p in (1, 9, 10, 155, 400)] + [(7, 0, 0), (7, 1, 0)], "relation_id bigint, commit_pos bigint, ord bigint")
+    got = rows(known.attach(changes), "relation_id", "commit_pos", "table")
+    assert got == [(0, 1, "t0"), (0, 10, "v0"), (0, 155, "v145"), (0, 400, "v299"), (0, 9, "t0"), (7, 0, None), (7, 1, "t7")]
+
+
+def test_a_delete_needs_its_key_alone(spark, encoder):
+    full = [("id", 20, 1), ("name", 25, 1), ("score", 701, 1)]
+    pk = spark.createDataFrame([("public.t", ["id"])], "table string, pk_columns array<string>")
+    log = [
+        announce(columns=full),
+        message("D", 1, 0, old=tuple_(1, "a", "NaN")),
+        message("D", 2, 0, old=tuple_(..., "a", 1)),
+        message("U", 3, 0, old=tuple_(3, "a", 1), new=tuple_(..., "b", 1)),
+    ]
+    got = decoded(spark, log, pk=pk)
+    assert [(r[2], r[4]) for r in got] == [
+        ('{"id":1}', None),
+        ('{"id":null}', "key_not_sent"),
+        ('{"id":3}', None),
+    ]
