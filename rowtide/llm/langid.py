@@ -63,30 +63,37 @@ def _letters() -> np.ndarray:
 _LETTERS = _letters()
 
 
-def normal(text: str) -> np.ndarray:
-    """Code points of the lower-cased text, one space between words and at both ends."""
+def letters(text: str) -> np.ndarray:
+    """Code points of the lower-cased text, a space for each that is no letter."""
     points = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
-    points = np.where(points < 1 << 16, _LETTERS[points & 0xFFFF], points)
-    points = np.concatenate([[32], points, [32]]).astype(np.uint32)
-    space = points == 32
-    return points[~(space & np.concatenate([[False], space[:-1]]))]
+    return np.where(points < 1 << 16, _LETTERS[points & 0xFFFF], points).astype(np.uint32)
 
 
 def gram_buckets(text: str) -> Iterator[np.ndarray]:
-    """Buckets of a text's n-grams, a piece of the text at a time."""
-    points = normal(text)
-    for begin in range(0, len(points), PIECE):
-        here = points[begin : begin + PIECE + max(GRAMS) - 1]
-        n = min(PIECE, len(points) - begin)
+    """Buckets of a text's n-grams, a piece of the text at a time.
+
+    The text counts as one space, its words with one space between, and one
+    space. N-grams that cross into the next piece are made with that piece.
+    """
+    longest = max(GRAMS)
+    space = np.array([32], np.uint32)
+    rest = space
+    for begin in range(0, len(text), PIECE):
+        last = begin + PIECE >= len(text)
+        points = np.concatenate([rest, letters(text[begin : begin + PIECE]), space[: int(last)]])
+        gap = points == 32
+        points = points[~(gap & np.concatenate([[False], gap[:-1]]))]
+        starts = len(points) if last else max(0, len(points) - longest + 1)
         out = []
-        rolled = np.zeros(len(here), np.uint32)
-        for size in range(1, max(GRAMS) + 1):
-            tail = here[size - 1 :] * np.uint32(_MULTIPLIERS[size - 1])
+        rolled = np.zeros(len(points), np.uint32)
+        for size in range(1, longest + 1):
+            tail = points[size - 1 :] * np.uint32(_MULTIPLIERS[size - 1])
             rolled = (rolled[: len(tail)] ^ tail) * np.uint32(0x27D4EB2F) + np.uint32(size)
             if size in GRAMS:
-                hashed = rolled[:n]
+                hashed = rolled[:starts]
                 out.append((hashed ^ (hashed >> np.uint32(15))) & np.uint32(BUCKETS - 1))
         yield np.concatenate(out)
+        rest = points[starts:]
 
 
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:

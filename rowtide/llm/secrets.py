@@ -183,15 +183,19 @@ class TrigramIndex:
 
     def build(self, data: np.ndarray, ends: np.ndarray) -> dict[int, np.ndarray]:
         """For each trigram present, by number, the texts that contain it."""
-        if len(data) < 3:
-            return {}
-        low = LOWER[data].astype(np.uint32)
-        seen = self.place[low[:-2] << 16 | low[1:-1] << 8 | low[2:]]
-        at = np.flatnonzero(seen)
-        text = np.searchsorted(ends, at, "right") - 1
-        inside = at + 3 <= ends[text + 1]
         n = len(ends)
-        both = np.unique(seen[at[inside]].astype(np.int64) * n + text[inside])
+        pairs = [np.empty(0, np.int64)]
+        # Windows overlap by the two bytes that a trigram may reach into the next.
+        for begin in range(0, max(0, len(data) - 2), BLOCK):
+            low = LOWER[data[begin : begin + BLOCK + 2]].astype(np.uint32)
+            seen = self.place[low[:-2] << 16 | low[1:-1] << 8 | low[2:]]
+            at = np.flatnonzero(seen)
+            text = np.searchsorted(ends, at + begin, "right") - 1
+            inside = at + begin + 3 <= ends[text + 1]
+            pairs.append(np.unique(seen[at[inside]].astype(np.int64) * n + text[inside]))
+        both = np.unique(np.concatenate(pairs))
+        if not len(both):
+            return {}
         number, text = np.divmod(both, n)
         cuts = np.flatnonzero(np.diff(number)) + 1
         return {int(k[0]): t for k, t in zip(np.split(number, cuts), np.split(text, cuts)) if len(k)}

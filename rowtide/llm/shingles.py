@@ -135,14 +135,19 @@ def shingle_hashes(words: np.ndarray, ends: np.ndarray, k: int = WORDS) -> tuple
     size = np.where(counts >= k, counts - k + 1, np.minimum(counts, 1))
     begins = np.concatenate([[0], np.cumsum(size)])
     total = int(begins[-1])
-    # The word at which each shingle begins.
-    at = np.arange(total) + np.repeat(ends[:-1] - begins[:-1], size)
     padded = np.concatenate([words, np.zeros(k, np.uint64)])
-    out = np.zeros(total, np.uint64)
-    length = np.repeat(np.minimum(counts, k), size)
-    for i in range(k):
-        out += np.where(length > i, padded[at + i] * _ODD[i], np.uint64(0))
-    return mixed(out + length.astype(np.uint64)), begins
+    out = np.empty(total, np.uint64)
+    for low in range(0, total, WINDOW):
+        i = np.arange(low, min(total, low + WINDOW))
+        text = np.searchsorted(begins, i, "right") - 1
+        # The word at which each shingle begins, and its number of words.
+        at = i + (ends[:-1] - begins[:-1])[text]
+        length = np.minimum(counts, k)[text]
+        summed = length.astype(np.uint64)
+        for j in range(k):
+            summed += np.where(length > j, padded[at + j] * _ODD[j], np.uint64(0))
+        out[low : low + WINDOW] = mixed(summed)
+    return out, begins
 
 
 def text_shingles(texts: pa.Array, table: np.ndarray, k: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
