@@ -122,6 +122,20 @@ def snapshot_in_progress(units: DataFrame, state: DataFrame, by: str = "pipeline
     )
 
 
+def snapshot_run_in_progress(units: DataFrame, state: DataFrame, by: str = "pipeline") -> DataFrame:
+    """1 for a pipeline from its first begun unit until all are done, else 0.
+
+    Between two units of a run it stays 1, unlike `snapshot_in_progress`.
+    """
+    begun, done = F.count("done"), F.count_if(F.coalesce("done", F.lit(False)))
+    running = (begun > 0) & (done < F.count("*"))
+    return (
+        units.join(state, "unit", "left")
+        .groupBy(by)
+        .agg(F.when(running, 1.0).otherwise(0.0).alias("snapshot_in_progress"))
+    )
+
+
 def table_topic_parity(table_keys: DataFrame, topic: DataFrame) -> DataFrame:
     """Rows per table against live keys per table in the topic.
 

@@ -14,6 +14,7 @@ from rowtide.operators.monitor import (
     rows_by_table,
     slot_health,
     snapshot_in_progress,
+    snapshot_run_in_progress,
     table_topic_parity,
 )
 from rowtide.operators.progress import latest_units
@@ -121,6 +122,19 @@ def snapshots_in_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot_in_progress(named, latest_units(log))
 
 
+@query(f"""
+    WITH {UNIT_STATE_SQL}
+    SELECT substr(unit, 8, 4) AS pipeline,
+      CAST(CASE WHEN count(done) > 0 AND count(*) FILTER (done) < count(*) THEN 1 ELSE 0 END AS DOUBLE)
+        AS snapshot_in_progress
+    FROM units LEFT JOIN state USING (unit) GROUP BY 1""")
+def snapshot_runs_in_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pipelines whose snapshot has begun and is not finished, between units too."""
+    units, log = month_units(spark, sf_dir)
+    named = units.withColumn("pipeline", F.substring("unit", 8, 4))
+    return snapshot_run_in_progress(named, latest_units(log))
+
+
 @query("""
     SELECT 'public.orders' AS "table", count(*) AS table_rows,
       count(*) FILTER (o_orderstatus <> 'F') AS topic_rows,
