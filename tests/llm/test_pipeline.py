@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import brute
+from llm import brute
 import corpus_pipeline
 import __spark_entry__ as driver
 from rowtide.llm import pii

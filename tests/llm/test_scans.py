@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import brute
+from llm import brute
 import pyarrow as pa
 import pytest
-from conftest import same
+from llm.samples import same
 from rowtide.llm import licenses, pii, secrets
 from rowtide.llm.queries import QUERIES
 from rowtide.llm.shingles import ALNUM, text_shingles

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import brute
+from llm import brute
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import prose, same, with_clashes
+from llm.samples import prose, same, with_clashes
 from pyspark.sql import functions as F
 from rowtide.llm import chat, decontam, fingerprints, jaccard, langid
 from rowtide.llm.components import components

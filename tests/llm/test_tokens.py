@@ -5,8 +5,8 @@ from __future__ import annotations
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import same
-from brute import crc
+from llm.samples import same
+from llm.brute import crc
 from pyspark.sql import functions as F
 from rowtide.llm import packing, token_files
 from rowtide.llm.folders import new_path
