@@ -15,11 +15,18 @@ from pyspark.sql import SparkSession
 
 PACKAGE = Path(__file__).resolve().parents[1]
 
+#: Rows of an Arrow batch, where the session keeps Spark's default of 10,000:
+#: batches of whole texts are held several times over, in the JVM and in Python.
+BATCH_ROWS = 2_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _sent: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send the package once per application."""
+    """Send the package once per application, and keep batches of texts small."""
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     context = spark.sparkContext
     if context.applicationId in _sent:
         return
