@@ -29,7 +29,7 @@ from rowtide.llm.shingles import ALNUM, slices, text_shingles
 from rowtide.llm.workers import ship
 
 BANDS, ROWS = 16, 1
-#: Of a template's shingles, five fifths and more than this many must be there.
+#: Fifths of a template's shingles that a window must contain.
 FIFTHS = 4
 #: Shingles that are hashed at once, unless one text has more.
 BLOCK = 1 << 18
