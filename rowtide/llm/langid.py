@@ -36,8 +36,9 @@ PIECE = 1 << 18
 SCORED = 1 << 20
 #: N-grams that count as independent evidence in a score.
 EVIDENCE = 200
-#: Score below which a text's language counts as unknown.
-LEAST_SCORE = 0.5
+#: Score below which a text's language counts as unknown. At 0 a short text
+#: between two languages is kept, and only one without letters is rejected.
+LEAST_SCORE = 0.0
 #: Languages that a model may have; more are refused, so that it stays small.
 MOST_LANGUAGES = 500
 
