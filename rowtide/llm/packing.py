@@ -4,8 +4,9 @@ A configuration is a multiset of piece lengths that fits in one sequence. The
 linear program "cover every length's count with as few configurations as
 possible" is solved by multiplicative weights: each length has a weight that
 falls as it is covered, and a knapsack over the weights prices the next
-configuration. The solution is rounded down and what it leaves over is placed
-best fit. The program sees the histogram of lengths alone, at most `CAPACITY`
+configuration, until every length is covered and the number of sequences is
+within `GAP` of a lower bound. Best fit places the pieces of sequences with room
+anew when that takes fewer sequences. The program sees the histogram of lengths alone, at most `CAPACITY`
 numbers however many documents there are; Spark counts the histogram and gives
 every piece its place.
 
@@ -32,8 +33,10 @@ from rowtide.llm.tokens import ids_with_end
 from rowtide.llm.workers import ship
 
 CAPACITY = 4096
-#: Configurations that the program prices; best fit places what they leave.
-ROUNDS = 32
+#: Share by which the program's sequences may exceed the lower bound before it goes on.
+GAP = 0.02
+#: Lengths among which a round prices its configuration.
+PRICED = 96
 #: Power of the length in a starting weight: short pieces are kept to fill gaps.
 LONG_FIRST = 1.05
 #: Pieces whose rank is settled by one sort.
@@ -81,49 +84,117 @@ class Run:
     times: int
 
 
-def plan_runs(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[Run]:
-    """Sequences for a histogram of lengths."""
+def plan_runs(histogram: dict[int, int], capacity: int = CAPACITY, gap: float = GAP) -> list[Run]:
+    """Sequences for a histogram of lengths: the program's, which cover all pieces.
+
+    Best fit places the pieces of sequences with room, or all pieces, anew when
+    that takes fewer sequences.
+    """
     demand = np.zeros(capacity + 1, np.int64)
     for length, count in histogram.items():
         demand[length] = count
+    runs = [Run(lengths, times) for lengths, times in configurations(demand, capacity, gap)]
+    full = [r for r in runs if sum(n * k for n, k in r.lengths) == capacity]
     left = demand.copy()
-    runs = []
-    for lengths, share in configurations(demand, capacity, rounds):
-        times = min([int(share), *(int(left[n]) // k for n, k in lengths)])
-        if times > 0:
-            runs.append(Run(lengths, times))
-            for n, k in lengths:
-                left[n] -= k * times
-    return runs + best_fit(left, capacity)
+    for run in full:
+        for n, k in run.lengths:
+            left[n] -= k * run.times
+    others = (full + best_fit(left, capacity), best_fit(demand.copy(), capacity))
+    return min(runs, *others, key=lambda x: sum(r.times for r in x))
 
 
 def configurations(
-    demand: np.ndarray, capacity: int, rounds: int
-) -> list[tuple[tuple[tuple[int, int], ...], float]]:
-    """Configurations and how often the linear program uses each.
-
-    Covering by multiplicative weights: each round prices one configuration,
-    uses it for at most half of any of its lengths' counts (or once), and lets
-    the weights of these lengths fall exponentially with their covered part. A
-    configuration that does not fill its sequence ends the
-    program: what is left combines no better, and best fit places it.
+    demand: np.ndarray, capacity: int, gap: float = GAP
+) -> list[tuple[tuple[tuple[int, int], ...], int]]:
+    """Configurations and how often each is used: together they cover the demand.
+
+    Passes of multiplicative weights. A pass prices one configuration a round,
+    uses it for at most the share `step` of any of its lengths' counts (or
+    once), lets these lengths' weights fall exponentially with their covered
+    part, and ends when every length is covered. Uses are whole numbers, so that
+    rounding leaves nothing. The pass with the fewest sequences stands. The next
+    begins with prices that are raised for lengths in sequences with room. Steps
+    halve until it is within `gap` (or one sequence) of the greatest lower bound
+    known, or until a step is less than `gap`; a pass has at most the number of
+    lengths divided by its step rounds.
     """
     sizes = np.flatnonzero(demand)
-    counts = demand[sizes].astype(float)
-    covered = np.zeros(len(sizes))
-    use: dict[tuple[tuple[int, int], ...], float] = defaultdict(float)
-    rate = 2 * math.log(len(sizes) + 1)
-    for _ in range(rounds):
-        left = np.maximum(np.floor(counts - covered), 0).astype(np.int64)
-        lengths = priced(sizes, sizes**LONG_FIRST * np.exp(-rate * covered / counts), capacity, left)
-        if sum(n * k for n, k in lengths) < capacity:
+    if not len(sizes):
+        return []
+    least = lower_bound(demand, capacity)
+    found: list[tuple[tuple[tuple[int, int], ...], int]] = []
+    total = math.inf
+    step, start = 1.0, sizes**LONG_FIRST
+    while step >= gap:
+        use, weight = cover(sizes, demand[sizes], capacity, step, start)
+        if sum(use.values()) < total:
+            found, total = list(use.items()), sum(use.values())
+        if total > max(least * (1 + gap), least + 1):
+            # The weights are prices: no cover costs less than the demand at these.
+            most = np.minimum(demand[sizes], capacity // sizes)
+            value = dict(zip(sizes.tolist(), weight.tolist()))
+            dearest = sum(value[n] * k for n, k in priced(sizes, weight, capacity, most))
+            least = max(least, math.ceil(float(demand[sizes] @ weight) / dearest - 1e-6))
+        if total <= max(least * (1 + gap), least + 1):
             break
-        at = np.searchsorted(sizes, [n for n, _ in lengths])
+        step /= 2
+        paid = np.zeros(capacity + 1)
+        for lengths, times in use.items():
+            share = capacity * times / sum(n * k for n, k in lengths)
+            for n, k in lengths:
+                paid[n] += share * k
+        start = start * paid[sizes] / demand[sizes]
+    return sorted(found, key=lambda x: -x[1])
+
+
+def cover(
+    sizes: np.ndarray, counts: np.ndarray, capacity: int, step: float, start: np.ndarray
+) -> tuple[dict[tuple[tuple[int, int], ...], int], np.ndarray]:
+    """One pass: uses of configurations that cover all counts, and the mean weights."""
+    use: dict[tuple[tuple[int, int], ...], int] = defaultdict(int)
+    left = counts.copy()
+    rate = math.log(len(sizes) + 1) / math.sqrt(step)
+    prices = np.zeros(len(sizes))
+    while left.any():
+        weight = start * np.exp(-rate * (1 - left / counts))
+        at = candidates(left, weight / sizes)
+        lengths = priced(sizes[at], weight[at], capacity, left[at])
+        own = np.searchsorted(sizes, [n for n, _ in lengths])
         per = np.array([k for _, k in lengths])
-        step = min((left[at] / per).min(), max(1.0, (counts[at] / per).min() / 2))
-        use[lengths] += step
-        covered[at] += per * step
-    return sorted(use.items(), key=lambda x: -x[1])
+        times = max(1, int(min((left[own] // per).min(), step * (counts[own] / per).min())))
+        use[lengths] += times
+        left[own] -= per * times
+        prices += weight * (times / float(weight[own] @ per))
+    return use, prices
+
+
+def candidates(left: np.ndarray, density: np.ndarray) -> np.ndarray:
+    """Lengths that a round prices: all that are left, or `PRICED` of them.
+
+    Half are those of the greatest weight a token, half are spread over all
+    sizes. Other rounds see others, as weights fall and lengths are used up.
+    """
+    at = np.flatnonzero(left)
+    if len(at) <= PRICED:
+        return at
+    dense = at[np.argpartition(-density[at], PRICED // 2)[: PRICED // 2]]
+    spread = at[np.linspace(0, len(at) - 1, PRICED // 2).astype(int)]
+    return np.union1d(dense, spread)
+
+
+def lower_bound(demand: np.ndarray, capacity: int) -> int:
+    """Sequences that any packing needs.
+
+    For each k: pieces longer than `capacity` - k have a sequence each, in which
+    no piece of k or longer fits; the pieces from k up need room beside them.
+    """
+    counts = demand.astype(np.int64)
+    tokens = np.cumsum(counts * np.arange(capacity + 1))
+    pieces = np.cumsum(counts)
+    k = np.arange(1, capacity // 2 + 1)
+    alone = pieces[capacity] - pieces[capacity - k]
+    between = tokens[capacity - k] - tokens[k - 1]
+    return int(max(-(-tokens[capacity] // capacity), (alone - (-between // capacity)).max(initial=0)))
 
 
 def priced(

@@ -149,3 +149,37 @@ def test_priced_is_the_best(plain):
     )
     chosen = dict(packing.priced(sizes, weight, 17, most))
     assert sum(chosen.get(n, 0) * w for n, w in zip(sizes.tolist(), weight)) == pytest.approx(best[0])
+
+
+@pytest.mark.parametrize(
+    "histogram, least",
+    [
+        # Best fit pairs the longest with the wrong ones and takes 11,000 sequences.
+        ({2055: 6000, 1038: 6000, 1031: 6000, 1010: 12000}, 9000),
+        # The same where no configuration fills its sequence.
+        ({2055: 6000, 1037: 6000, 1031: 6000, 1009: 12000}, 9000),
+        ({2055: 6007, 1037: 6100, 1031: 5900, 1009: 11800, 900: 300}, 9016),
+    ],
+)
+def test_program_covers_skewed_histograms(histogram, least):
+    demand = np.zeros(4097, np.int64)
+    demand[list(histogram)] = list(histogram.values())
+    assert packing.lower_bound(demand, 4096) <= least
+    found = packing.configurations(demand, 4096)
+    placed = np.zeros(4097, np.int64)
+    for lengths, times in found:
+        assert sum(n * k for n, k in lengths) <= 4096
+        for n, k in lengths:
+            placed[n] += k * times
+    assert placed.tolist() == demand.tolist()
+    assert sum(times for _, times in found) <= least * (1 + packing.GAP)
+    assert sum(r.times for r in packing.plan_runs(histogram)) <= sum(times for _, times in found)
+    assert sum(r.times for r in packing.best_fit(demand.copy(), 4096)) > least * 1.2
+
+
+def test_lower_bound():
+    pick = np.random.default_rng(1)
+    for _ in range(50):
+        lengths = pick.integers(1, 21, 12)
+        demand = np.bincount(lengths, minlength=21)
+        assert -(-lengths.sum() // 20) <= packing.lower_bound(demand, 20) <= sum(r.times for r in packing.plan_runs(dict(enumerate(demand[1:].tolist(), 1)), 20))
