@@ -1,7 +1,9 @@
 """Exact Jaccard self-join of documents' shingle sets, and its components.
 
-Two sets link when their Jaccard similarity is at least 4/5. Every link between
-different sets is found, or its two ends are already known to be connected.
+Two sets link when their Jaccard similarity is at least 4/5. `link_components`,
+`class_links` and `link_counts` find every link between different sets: steps 1,
+2, 4 and 5. `one_of_each` needs the components alone and takes step 3 too: a link
+is found, or its two ends are already known to be connected.
 
 1. Equal sets are one class; a class is known by a 64-bit hash of its set.
 2. Shingles are ordered by how many sets have them, as counted in `CELLS` hash
@@ -12,8 +14,9 @@ different sets is found, or its two ends are already known to be connected.
    which connects groups of near copies with as many comparisons as members.
 4. What is not connected then meets in tiles: a group's members by bands of size,
    as only sizes within 4/5 can link, a large band in blocks. A tile holds a
-   bounded number of sets. Its pairs of different components are bounded from
-   above by size, by place in the prefix, and by bitmaps.
+   bounded number of sets. Its pairs (after step 3, those of different
+   components) are bounded from above by size, by place in the prefix, and by
+   bitmaps. A pair that is known to meet at an earlier shingle is left to it.
 5. Pairs that remain are decided by intersecting the sorted arrays of shingles.
 
 A bitmap keeps, for each of its bits, whether an odd number of the set's shingles
@@ -29,6 +32,7 @@ equal sets. An empty table gives no rows. Other columns are left out by
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,6 +54,10 @@ SMALL_GROUP = 64
 TEXT_BYTES = 1 << 21
 #: Sets whose texts' hashes are broadcast to find them again; more are joined by shuffling.
 BROADCAST_SETS = 1_000_000
+#: Neighbouring sets of a tile whose pairs are decided together.
+CELL = 64
+#: Earlier shingles that a prefix row knows of its set.
+AHEAD = 8
 #: Pairs of one set that are decided in one place.
 HUB_PAIRS = 256
 #: Rows to be left out whose keys are broadcast; more are joined by shuffling.
@@ -335,7 +343,13 @@ def tiled(members: DataFrame) -> DataFrame:
 
 
 def tile_pairs(members: DataFrame, bits: DataFrame) -> DataFrame:
-    """Pairs of a tile, of different roots, that no bound rules out."""
+    """Pairs of a tile that no bound rules out.
+
+    With a column `root` those of different roots; with `ahead`, earlier shingles
+    of the set's prefix, those that share none of these. `cell` says with which
+    other pairs of a tile a pair is decided.
+    """
+    known = "ahead" if "ahead" in members.columns else "root"
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -349,9 +363,10 @@ def tile_pairs(members: DataFrame, bits: DataFrame) -> DataFrame:
         if held:
             yield from _compared(held)
 
-    rows = tiled(members).join(bits, "sid").select("token", "tile", "n", "sid", "place", "root", "side", "bits")
+    rows = tiled(members).join(bits, "sid").select("token", "tile", "n", "sid", "place", known, "side", "bits")
     dealt = rows.repartition("token", "tile").sortWithinPartitions("token", "tile", "n", "sid")
-    return dealt.mapInArrow(compare, "a bigint, b bigint, na int, nb int").distinct()
+    pairs = dealt.mapInArrow(compare, "a bigint, b bigint, na int, nb int, cell bigint")
+    return pairs.dropDuplicates(["a", "b"])
 
 
 def _compared(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
@@ -361,7 +376,14 @@ def _compared(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
     n = np.array([r[2] for r in rows], np.int64)
     sid = np.array([r[3] for r in rows], np.int64)
     rest = n - np.array([r[4] for r in rows], np.int64)
-    root = np.array([r[5] for r in rows], np.int64)
+    whole = isinstance(rows[0][5], list)
+    if whole:
+        ahead = np.zeros((len(rows), AHEAD), np.int64)
+        has = np.zeros((len(rows), AHEAD), bool)
+        for i, r in enumerate(rows):
+            ahead[i, : len(r[5])], has[i, : len(r[5])] = r[5], True
+    else:
+        root = np.array([r[5] for r in rows], np.int64)
     side = np.array([r[6] for r in rows])
     widths = np.array([len(r[7]) for r in rows])
     folded = {w: _folded(rows, widths, w) for w in np.unique(widths).tolist()}
@@ -372,7 +394,11 @@ def _compared(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         if not len(j):
             continue
         least = needed(n[i], n[j])
-        good = (root[j] != root[i]) & (np.minimum(rest[i], rest[j]) >= least)
+        good = np.minimum(rest[i], rest[j]) >= least
+        if not whole:
+            good &= root[j] != root[i]
+        elif has[i].any():
+            good &= ~(np.isin(ahead[j], ahead[i][has[i]]) & has[j]).any(axis=1)
         if side[i]:
             good &= side[j] != side[i]
         j, least = j[good], least[good]
@@ -385,10 +411,13 @@ def _compared(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         found_b.append(j)
     if found_a:
         a, b = np.concatenate(found_a), np.concatenate(found_b)
+        tile = hashlib.blake2b(f"{rows[0][0]} {rows[0][1]}".encode(), digest_size=8).digest()
+        blocks = (a // CELL).astype(np.uint64) << np.uint64(32) | (b // CELL).astype(np.uint64)
+        cell = mixed(blocks + np.frombuffer(tile, np.uint64)).view(np.int64)
         swap = sid[a] > sid[b]
         a, b = np.where(swap, b, a), np.where(swap, a, b)
-        columns = [pa.array(sid[a]), pa.array(sid[b]), pa.array(n[a].astype(np.int32)), pa.array(n[b].astype(np.int32))]
-        yield pa.RecordBatch.from_arrays(columns, ["a", "b", "na", "nb"])
+        columns = [pa.array(sid[a]), pa.array(sid[b]), pa.array(n[a].astype(np.int32)), pa.array(n[b].astype(np.int32)), pa.array(cell)]
+        yield pa.RecordBatch.from_arrays(columns, ["a", "b", "na", "nb", "cell"])
 
 
 def _folded(rows: list[tuple], widths: np.ndarray, width: int) -> tuple[int, np.ndarray]:
@@ -403,11 +432,54 @@ def _folded(rows: list[tuple], widths: np.ndarray, width: int) -> tuple[int, np.
 
 
 def linked(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs that link, by intersecting their sets.
+    """The pairs that link, by intersecting their sets; each set goes to its pairs."""
 
-    The texts of the sets in question are found again by their hash, and each
-    set goes to its pairs.
-    """
+    def intersect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                left, right = (np.frombuffer(v.as_py(), np.uint64) for v in (x, y))
+                keep.append(_link(left, right))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    met = _with_arrays(pairs.select("a", "b"), _arrays(docs, sets, pairs))
+    return met.mapInArrow(intersect, "a bigint, b bigint").distinct()
+
+
+def linked_in_cells(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """`linked` for many pairs of the same sets: a set goes once to each cell of pairs."""
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell: int | None = None
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            a, b = [], []
+            for own, left, right, shingles in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if own != cell:
+                    cell, held = own, {}
+                if right is None:
+                    held[left] = np.frombuffer(shingles, np.uint64)
+                elif _link(held[left], held[right]):
+                    a.append(left)
+                    b.append(right)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    wanted = pairs.select("cell", F.explode(F.array("a", "b")).alias("a")).distinct()
+    arrays = _arrays(docs, sets, pairs).withColumnRenamed("sid", "a")
+    sent = wanted.join(arrays, "a").select("cell", "a", F.lit(None).cast("bigint").alias("b"), "shingles")
+    asked = pairs.select("cell", "a", "b", F.lit(None).cast("binary").alias("shingles"))
+    dealt = sent.unionByName(asked).repartition("cell")
+    ordered = dealt.sortWithinPartitions("cell", F.col("b").asc_nulls_first())
+    return ordered.mapInArrow(decide, "a bigint, b bigint")
+
+
+def _link(left: np.ndarray, right: np.ndarray) -> bool:
+    common = len(np.intersect1d(left, right, assume_unique=True))
+    return 9 * common >= 4 * (len(left) + len(right))
+
+
+def _arrays(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """`sid`, `shingles` of the sets in pairs. Their texts are found again by their hash."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
     hashes = sets.join(wanted, "sid").select("text_hash").distinct()
     small = hashes.limit(BROADCAST_SETS + 1).count() <= BROADCAST_SETS
@@ -426,24 +498,13 @@ def linked(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
                 [pa.array(sids, pa.int64()), pa.array(arrays, pa.binary())], ["sid", "shingles"]
             )
 
-    def intersect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                left, right = (np.frombuffer(v.as_py(), np.uint64) for v in (x, y))
-                common = len(np.intersect1d(left, right, assume_unique=True))
-                keep.append(9 * common >= 4 * (len(left) + len(right)))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
     # Tasks may each have sent a set; one is kept.
-    arrays = (
+    return (
         texts.select("text")
         .mapInArrow(listed, "sid bigint, shingles binary")
         .groupBy("sid")
         .agg(F.first("shingles").alias("shingles"))
     )
-    met = _with_arrays(pairs.select("a", "b"), arrays)
-    return met.mapInArrow(intersect, "a bigint, b bigint").distinct()
 
 
 def _with_arrays(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
@@ -478,9 +539,8 @@ def _copies(degree: Column) -> Column:
     return F.ceil(degree / HUB_PAIRS)
 
 
-def set_links(docs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """`sid`, `root` of the sets that have links, and the sets themselves."""
-    spark = docs.sparkSession
+def indexed(docs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The sets (`sid`, `text_hash`, `bits`) and their shared prefix rows."""
     counts = np.zeros(CELLS, np.int64)
     cells = rows.filter("kind = 1").groupBy("sid").agg(F.sum("n").alias("n"))
     for cell, n in cells.collect():
@@ -490,7 +550,24 @@ def set_links(docs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         .groupBy("sid")
         .agg(F.min("text_hash").alias("text_hash"), F.min("bits").alias("bits"))
     )
-    tokens = stored(shared_tokens(prefixes(docs, counts)), "tokens")
+    return sets, stored(shared_tokens(prefixes(docs, counts)), "tokens")
+
+
+def all_links(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """`a`, `b`: every pair of different sets that link, once, the smaller hash first."""
+    sets, tokens = indexed(docs, rows)
+    # The shingles of all sets are in one order, so a pair meets at its first common one.
+    first = F.slice(F.array_sort(F.collect_list(F.struct("place", "token"))), 1, AHEAD)
+    heads = tokens.groupBy("sid").agg(first.alias("first"))
+    earlier = F.filter("first", lambda t: t["place"] < F.col("place"))
+    members = tokens.join(heads, "sid").withColumn("ahead", F.transform(earlier, lambda t: t["token"])).drop("first")
+    pairs = stored(tile_pairs(stored(members, "members"), sets.select("sid", "bits")), "tile-pairs")
+    return stored(linked_in_cells(docs, sets, pairs), "all-links")
+
+
+def set_links(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """`node`, `root` of the sets that have links."""
+    sets, tokens = indexed(docs, rows)
     stars = stored(bounded(star_pairs(tokens), sets), "stars")
     first = stored(linked(docs, sets, stars), "star-links")
     roots = components(first)
@@ -509,18 +586,47 @@ def set_links(docs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     rest = stored(new, "tile-pairs")
     second = linked(docs, sets, rest)
     both = first.unionByName(second)
-    return components(both), sets
+    return components(both)
 
 
 def link_components(docs: DataFrame) -> DataFrame:
     """`doc_id`, `n_shingles`, `component_id` of each row."""
     rows = stored(described(docs), "sets")
-    roots, _ = set_links(docs, rows)
+    roots = components(all_links(docs, rows))
     return _with_component(rows.filter("kind = 0"), roots).select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id"
     )
 
 
+def class_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All links, between classes of equal sets, and the rows of each class.
+
+    `a`, `b`: pairs of `class_id`, a class's hash. `doc_id`, `n_shingles`,
+    `class_id` of each row; a row without words has no class.
+    """
+    rows = stored(described(docs), "sets")
+    members = rows.filter("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("sid").alias("class_id"))
+    return all_links(docs, rows), members
+
+
+def link_counts(docs: DataFrame) -> DataFrame:
+    """`doc_id`, `n_shingles`, `class_id` and `n_links`, the other rows that each row links with."""
+    links, members = class_links(docs)
+    copies = members.groupBy("class_id").agg(F.count("*").alias("copies")).filter("class_id IS NOT NULL")
+    ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = (
+        ends.join(copies.select(F.col("class_id").alias("b"), "copies"), "b")
+        .groupBy(F.col("a").alias("class_id"))
+        .agg(F.sum("copies").alias("others"))
+    )
+    n_links = F.coalesce("others", F.lit(0)) + F.coalesce(F.col("copies") - 1, F.lit(0))
+    return (
+        members.join(copies, "class_id", "left")
+        .join(others, "class_id", "left")
+        .select("doc_id", "n_shingles", "class_id", n_links.alias("n_links"))
+    )
+
+
 def _with_component(rows: DataFrame, roots: DataFrame) -> DataFrame:
     rooted = rows.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn(
         "root", F.coalesce("root", "sid")
@@ -538,7 +644,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     Rows without words all stay.
     """
     rows = stored(described(docs), "sets")
-    roots, _ = set_links(docs, rows)
+    roots = set_links(docs, rows)
     rooted = _with_component(rows.filter("kind = 0 AND sid IS NOT NULL"), roots)
     key = F.struct("doc_id", "text_hash")
     counted = stored(

@@ -216,6 +216,27 @@ def test_jaccard_small_tiles(spark, monkeypatch):
     same(got, ("doc_id", "n_shingles", "component_id"), brute.components(rows))
 
 
+def test_jaccard_links(spark, monkeypatch):
+    """Every pair of classes and every row's number of links, in one tile and in several."""
+    rows = list(enumerate(copies(4, 40, 100, 7) + copies(6, 30, 300, 4)))
+    rows += [(100, rows[0][1]), (101, rows[0][1]), (101, rows[50][1]), (102, ""), (103, None)]
+    sets = [brute.shingle_set(t) for _, t in rows]
+    alike = lambda x, y: x and y and 100 * len(x & y) >= 80 * len(x | y)
+    counts = [(d, len(x), sum(i != j and bool(alike(x, y)) for j, y in enumerate(sets))) for i, ((d, _), x) in enumerate(zip(rows, sets))]
+    classes = sorted(set(sets) - {frozenset()}, key=sorted)
+    pairs = sum(bool(alike(x, y)) for i, x in enumerate(classes) for y in classes[:i])
+    assert pairs > 2 * len(classes)
+    docs = with_clashes(spark, rows)
+    for block, cell in ((jaccard.BLOCK, jaccard.CELL), (4, 2)):
+        monkeypatch.setattr(jaccard, "BLOCK", block)
+        monkeypatch.setattr(jaccard, "CELL", cell)
+        same(jaccard.link_counts(docs), ("doc_id", "n_shingles", "n_links"), counts)
+        links, members = jaccard.class_links(docs)
+        by_id = {r.class_id: r.n_shingles for r in members.collect()}
+        got = [(r.a, r.b) for r in links.collect()]
+        assert len(got) == len(set(got)) == pairs and all(a < b and {a, b} <= set(by_id) for a, b in got)
+
+
 def test_one_of_each(spark, edge):
     docs = with_clashes(spark, edge)
     kept = jaccard.one_of_each(docs)
