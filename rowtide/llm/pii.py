@@ -80,6 +80,11 @@ def _card(match: Column) -> Column:
     return F.when(F.length(number).between(13, 19), luhn(number)).otherwise(F.lit(False))
 
 
+def _iban(match: Column) -> Column:
+    account = F.translate(match, " ", "")
+    return F.when(F.length(account).between(15, 34), mod97(account)).otherwise(F.lit(False))
+
+
 # The kinds in the order in which spans are listed.
 BASE = (
     Kind(
@@ -119,9 +124,10 @@ BASE = (
 MORE = (
     Kind(
         "iban",
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
-        r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11}",
-        mod97,
+        # In one piece, or as printed: groups of four and a last one of up to four.
+        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,4})?)(?![A-Za-z0-9])",
+        r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11}|(?:\x20[A-Z0-9]{4}){2})",
+        _iban,
         0.8,
         "iban|bank|account|konto|compte|cuenta",
     ),
