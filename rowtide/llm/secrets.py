@@ -69,12 +69,13 @@ BASE = (
 )
 MORE = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
+    Rule("github_pat", r"github_pat_[A-Za-z0-9_]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("stripe", r"[rs]k_live_[A-Za-z0-9]{16,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
     Rule("private_key", r"-----BEGIN (?:[A-Z]+ ){0,2}PRIVATE KEY-----"),
-    Rule("url_password", r"[a-z]{2,10}://[^\s:/@]{1,64}:[^\s:/@]{3,64}@"),
+    Rule("url_password", r"[a-z]{2,10}://[^\s:/@]{1,4096}+:[^\s:/@]{3,4096}+@"),
 )
 
 #: AND over the list, OR over each tuple, AND over the trigrams of each set.

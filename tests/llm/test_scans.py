@@ -25,6 +25,16 @@ def test_secret_edges(edge_docs, edge, no_docs):
     assert secrets.scan(no_docs).count() == 0
 
 
+def test_long_credentials(spark):
+    token = "github_pat_" + "a1B2_" * 16 + "cd"
+    texts = [(1, f"https://x:{token}@host"), (2, f"key {token}"), (3, f"https://{'u' * 90}:{'p' * 900}@host")]
+    found = secrets.digest(secrets.scan(spark.createDataFrame(texts, "doc_id bigint, text string")))
+    spans = {r.doc_id: r.spans for r in found.collect()}
+    assert "github_pat:10:103" in spans[1] and "url_password:0:104" in spans[1]
+    assert "github_pat:4:97" in spans[2]
+    assert "url_password:0:1000" in spans[3]
+
+
 def test_trigram_queries():
     query = {r.kind: secrets.trigram_query(r.pattern, r.flags) for r in secrets.BASE + secrets.MORE}
     assert query["hex"] == []
