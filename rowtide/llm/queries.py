@@ -7,7 +7,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowtide.llm import chat, decontam, fingerprints, jaccard, langid, licenses, pii, secrets, sql
+from rowtide.llm import (
+    alignment,
+    chat,
+    decontam,
+    exact_dedup,
+    filter_audit,
+    fingerprints,
+    jaccard,
+    langid,
+    licenses,
+    pii,
+    secrets,
+    sql,
+)
 from rowtide.llm.folders import new_path
 from rowtide.llm.packing import pack_documents
 from rowtide.llm.token_files import token_rows, write_token_files
@@ -18,6 +31,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 TOKENIZER = "word_bpe_49k.json"
+BYTES, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def query(oracle: str | None = None) -> Callable[[Query], Query]:
@@ -94,3 +108,20 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.scan(table(spark, sf_dir, "documents")))
+
+
+@query(sql.FILTER_AUDIT)
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return filter_audit.audit(filter_audit.failures(docs, labels))
+
+
+@query()
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.align_corpus(docs, public_tokenizers.path(BYTES), public_tokenizers.path(PIECES))
+
+
+@query(sql.EXACT_DEDUP)
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.deduplicate(spark, f"{sf_dir}/documents.parquet")

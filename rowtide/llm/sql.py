@@ -90,3 +90,59 @@ SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(o.doc_id) AS compo
 FROM reached r JOIN d ON d.rid = r.rid JOIN d o ON o.rid = r.other LEFT JOIN sizes ON sizes.rid = r.rid
 GROUP BY r.rid, d.doc_id
 """
+
+FILTER_AUDIT = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+l AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+),
+f AS (
+  SELECT doc_id, part, concat(
+    CASE WHEN len(w) < 100 THEN 'A' END,
+    CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' END,
+    CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' END,
+    CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END,
+    CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' END) AS fails
+  FROM d
+),
+m AS (
+  SELECT part, fails, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+  FROM f LEFT JOIN l USING (doc_id) GROUP BY part, fails
+),
+names AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS o FROM names a, names b, names c, names d, names e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+),
+steps AS (SELECT o, s, o[s] AS x, o[1 : s - 1] AS before FROM orders, range(1, 6) r(s)),
+counted AS (
+  SELECT o, s, x, m.*, contains(fails, x) AS here, translate(fails, before, '') = fails AS reached
+  FROM steps, m
+)
+SELECT part, o AS filter_order, s::INT AS step,
+  coalesce(sum(n) FILTER (reached AND NOT here), 0)::BIGINT AS kept,
+  coalesce(sum(n) FILTER (reached AND here), 0)::BIGINT AS removed,
+  coalesce(sum(n) FILTER (here AND NOT reached), 0)::BIGINT AS redundant,
+  coalesce(sum(n) FILTER (fails = x), 0)::BIGINT AS unique_fails,
+  coalesce(sum(good) FILTER (reached AND here), 0)::BIGINT AS good_lost,
+  coalesce(sum(toxic) FILTER (reached AND here), 0)::BIGINT AS toxic_lost,
+  (sum(coalesce(sum(n) FILTER (reached AND here), 0)) OVER (PARTITION BY part, x))::BIGINT AS shapley
+FROM counted GROUP BY part, o, s, x
+"""
+
+EXACT_DEDUP = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t,
+    regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS body FROM documents
+),
+k AS (
+  SELECT doc_id, body, count(*) OVER (PARTITION BY body) AS n,
+    first_value(doc_id) OVER same AS keep_id, row_number() OVER same AS place
+  FROM d WINDOW same AS (PARTITION BY body ORDER BY length(t) DESC, doc_id NULLS LAST, rid)
+)
+SELECT doc_id, keep_id, n AS group_size, place = 1 AS kept, sha256(body) AS text_sha256 FROM k
+"""

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -144,3 +145,97 @@ def components(rows):
 
 def crc(ids) -> int:
     return zlib.crc32(b"".join(int(i).to_bytes(4, "little") for i in ids))
+
+
+SPACED = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def failing(rows):
+    """The filters that each row of (doc_id, text) fails."""
+    least = {}
+    for doc_id, text in rows:
+        if doc_id is not None:
+            least[text or ""] = min(least.get(text or "", doc_id), doc_id)
+    for doc_id, text in rows:
+        text = text or ""
+        w = SPACED.findall(text)
+        fails = "A" if len(w) < 100 else ""
+        fails += "B" if 100 * len(set(w)) < 80 * len(w) else ""
+        fails += "C" if 100 * len(re.findall("[A-Z]", text)) > 10 * len(text) else ""
+        fails += "D" if re.search("[#$%&*|]", text) else ""
+        fails += "E" if doc_id is not None and doc_id > least[text] else ""
+        yield fails
+
+
+def audit(rows, filters):
+    """Rows of (part, failing filters, good, toxic), filtered in every order, document by document."""
+    for part in {r[0] for r in rows}:
+        own = [r for r in rows if r[0] == part]
+        steps, ever = [], dict.fromkeys(filters, 0)
+        for order in itertools.permutations(filters):
+            left = own
+            for step, f in enumerate(order, 1):
+                gone = [r for r in left if f in r[1]]
+                left = [r for r in left if f not in r[1]]
+                ever[f] += len(gone)
+                redundant = sum(f in r[1] for r in own) - len(gone)
+                lost = (sum(r[2] for r in gone), sum(r[3] for r in gone))
+                steps.append((part, "".join(order), step, f, len(left), len(gone), redundant, *lost))
+        for part, order, step, f, kept, removed, redundant, good, toxic in steps:
+            alone = sum(r[1] == f for r in own)
+            yield (part, order, step, kept, removed, redundant, alone, good, toxic, ever[f])
+
+
+def deduplicated(rows):
+    """Rows of (doc_id, text): keep_id, group size, whether it stays, digest."""
+    groups = defaultdict(list)
+    for place, (doc_id, text) in enumerate(rows):
+        groups[re.sub(r"[\x20\x09-\x0D]", "", text or "")].append((-len(text or ""), doc_id is None, doc_id, place))
+    for body, own in groups.items():
+        own.sort(key=lambda g: (g[0], g[1], g[2] or 0, g[3]))
+        for i, g in enumerate(own):
+            yield (g[2], own[0][2], len(own), i == 0, sha(body))
+
+
+def byte_level(token: str) -> bytes:
+    """A byte-level token's bytes, by the public rule of such vocabularies."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    letters = {chr(b): b for b in own}
+    letters |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in own)}
+    return bytes(letters[c] for c in token)
+
+
+def alignment(rows, tokenizer, pieces):
+    """Rows of (doc_id, text), each text encoded as a whole and every pair of tokens looked at."""
+    def piece(i):
+        p = pieces.id_to_piece(i)
+        return bytes([int(p[3:5], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", p) else p.replace("▁", " ").encode()
+
+    found, total = [], Counter()
+    for doc_id, text in rows:
+        a = tokenizer.encode(" " + text, add_special_tokens=False).ids if text else []
+        b = pieces.encode(text) if text else []
+        x = [byte_level(tokenizer.id_to_token(i)) for i in a]
+        y = [piece(i) for i in b]
+        if not text or not b"".join(x) == b"".join(y) == (" " + text).encode():
+            a, b, x, y = [], [], [], []
+        ends_a = list(itertools.accumulate(map(len, x)))
+        ends_b = list(itertools.accumulate(map(len, y)))
+        place = defaultdict(list)
+        for i, e in zip(b, ends_b):
+            place[e].append(i)
+        links = [(i, j) for i, e in zip(a, ends_a) for j in place[e]]
+        groups, p, q = [], 0, 0
+        for cut in sorted(set(ends_a) & set(ends_b)):
+            i, j = ends_a.index(cut, p) + 1, ends_b.index(cut, q) + 1
+            groups.append(",".join(map(str, a[p:i])) + "|" + ",".join(map(str, b[q:j])))
+            p, q = i, j
+        total.update(links)
+        found.append((doc_id, len(a), len(b), links, groups))
+    top = defaultdict(int)
+    for (_, j), n in total.items():
+        top[j] = max(top[j], n)
+    for doc_id, n_a, n_b, links, groups in found:
+        best = sum(total[p] == top[p[1]] for p in links)
+        digest = sha(";".join(groups)) if groups else ""
+        yield (doc_id, n_a, n_b, len(groups), len(links), best, sum(total[p] for p in links), digest)
