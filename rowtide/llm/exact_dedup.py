@@ -40,6 +40,8 @@ SETTINGS = {
     f"{_STATE}providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     f"{_STATE}rocksdb.changelogCheckpointing.enabled": "true",
     f"{_STATE}rocksdb.boundedMemoryUsage": "true",
+    # Files are not allocated ahead: 4 MB for each partition of the state, however small.
+    f"{_STATE}rocksdb.allowFAllocate": "false",
 }
 
 Digest = Callable[[Column], Column]
