@@ -16,8 +16,12 @@ is found, or its two ends are already known to be connected.
    as only sizes within 4/5 can link, a large band in blocks. A tile holds a
    bounded number of sets. Its pairs (after step 3, those of different
    components) are bounded from above by size, by place in the prefix, and by
-   bitmaps. A pair that is known to meet at an earlier shingle is left to it.
+   bitmaps.
 5. Pairs that remain are decided by intersecting the sorted arrays of shingles.
+   Without step 3 this happens inside the tiles: members with a possible partner
+   get their arrays, and a link counts in the group of the first shingle that its
+   sets share, so each once. A tile sends a row for each linked member, with its
+   number of links and the smallest set that it reaches there, never its pairs.
 
 A bitmap keeps, for each of its bits, whether an odd number of the set's shingles
 falls on it; the bits in which two bitmaps differ bound from below how many
@@ -32,7 +36,6 @@ equal sets. An empty table gives no rows. Other columns are left out by
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,16 +49,15 @@ from rowtide.llm.workers import ship
 
 #: Hash cells in which shingles are counted; the table of counts is broadcast.
 CELLS = 1 << 16
-#: Sets in a block of a tile; a tile has at most two blocks.
-BLOCK = 2_048
+#: Sets in a block of a tile, and bytes of their shingles; a tile has at most two blocks.
+BLOCK = 1_024
+BLOCK_BYTES = 32 << 20
 #: Sets of a group that are compared by size and place as they stream by.
 SMALL_GROUP = 64
 #: Bytes of text that are made into shingles at once, unless one text is longer.
 TEXT_BYTES = 1 << 21
 #: Sets whose texts' hashes are broadcast to find them again; more are joined by shuffling.
 BROADCAST_SETS = 1_000_000
-#: Neighbouring sets of a tile whose pairs are decided together.
-CELL = 64
 #: Earlier shingles that a prefix row knows of its set.
 AHEAD = 8
 #: Pairs of one set that are decided in one place.
@@ -304,18 +306,19 @@ def _pairs(met: DataFrame, a: str, b: str, na: str, nb: str) -> DataFrame:
 def tiled(members: DataFrame) -> DataFrame:
     """Members with the tiles they are in: `token`, `tile`, `side`.
 
-    A group of up to `BLOCK` members is one tile. A larger one is cut by bands
+    A group of one block is one tile. A larger one is cut by bands
     of size, a large band into blocks; blocks of the same or of neighbouring
     bands share a tile.
     """
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))).cast("int")
-    sizes = members.groupBy("token").agg(F.count("*").alias("size"))
+    parts = F.greatest(F.count("*") / BLOCK, F.sum(F.col("n").cast("bigint")) * 8 / BLOCK_BYTES)
+    sizes = members.groupBy("token").agg(parts.alias("parts"))
     rows = members.join(sizes, "token")
-    small = rows.filter(F.col("size") <= BLOCK).select(
+    small = rows.filter(F.col("parts") <= 1).select(
         *members.columns, F.lit("").alias("tile"), F.lit(0).alias("side")
     )
-    large = rows.filter(F.col("size") > BLOCK).withColumn("band", band)
-    blocks = large.groupBy("token", "band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("k"))
+    large = rows.filter(F.col("parts") > 1).withColumn("band", band)
+    blocks = large.groupBy("token", "band").agg(F.ceil(parts).cast("int").alias("k"))
 
     def beside(step: int, name: str) -> DataFrame:
         return blocks.select("token", (F.col("band") - step).alias("band"), F.col("k").alias(name))
@@ -342,39 +345,51 @@ def tiled(members: DataFrame) -> DataFrame:
     return small.unionByName(spread.select(*members.columns, name.alias("tile"), side.alias("side")))
 
 
-def tile_pairs(members: DataFrame, bits: DataFrame) -> DataFrame:
-    """Pairs of a tile that no bound rules out.
+def by_tile(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The rows of each tile, of batches sorted by their first two columns, token and tile."""
+    held: list[tuple] = []
+    for batch in batches:
+        columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
+        for row in zip(*columns):
+            if held and held[-1][:2] != row[:2]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
 
-    With a column `root` those of different roots; with `ahead`, earlier shingles
-    of the set's prefix, those that share none of these. `cell` says with which
-    other pairs of a tile a pair is decided.
-    """
-    known = "ahead" if "ahead" in members.columns else "root"
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    return rows.repartition("token", "tile").sortWithinPartitions("token", "tile", "n", "sid")
+
+
+def tile_pairs(members: DataFrame, bits: DataFrame) -> DataFrame:
+    """Pairs of a tile, of different `root`, that no bound rules out."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
-            for row in zip(*columns):
-                if held and held[-1][:2] != row[:2]:
-                    yield from _compared(held)
-                    held = []
-                held.append(row)
-        if held:
-            yield from _compared(held)
-
-    rows = tiled(members).join(bits, "sid").select("token", "tile", "n", "sid", "place", known, "side", "bits")
-    dealt = rows.repartition("token", "tile").sortWithinPartitions("token", "tile", "n", "sid")
-    pairs = dealt.mapInArrow(compare, "a bigint, b bigint, na int, nb int, cell bigint")
+        for rows in by_tile(batches):
+            n, sid = (np.array([r[k] for r in rows], np.int64) for k in (2, 3))
+            for i, j in survivors(rows):
+                low = np.where(sid[j] < sid[i], j, i)
+                high = np.where(sid[j] < sid[i], i, j)
+                columns = [sid[low], sid[high], n[low].astype(np.int32), n[high].astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "na", "nb"])
+
+    rows = tiled(members).join(bits, "sid").select("token", "tile", "n", "sid", "place", "root", "side", "bits")
+    pairs = _dealt(rows).mapInArrow(compare, "a bigint, b bigint, na int, nb int")
     return pairs.dropDuplicates(["a", "b"])
 
 
-def _compared(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-    """Pairs within a tile, whose rows are sorted by size."""
+def survivors(rows: list[tuple]) -> Iterator[tuple[int, np.ndarray]]:
+    """For the rows of a tile, sorted by size: a row, and later rows that may link with it.
+
+    Columns: token, tile, n, sid, place, known, side, bits. `known` is a root, and
+    pairs of one root are left out; or a list of earlier shingles of the set's
+    prefix, and pairs that share one of these are left to its group.
+    """
     if len(rows) < 2:
         return
     n = np.array([r[2] for r in rows], np.int64)
-    sid = np.array([r[3] for r in rows], np.int64)
     rest = n - np.array([r[4] for r in rows], np.int64)
     whole = isinstance(rows[0][5], list)
     if whole:
@@ -387,7 +402,6 @@ def _compared(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
     side = np.array([r[6] for r in rows])
     widths = np.array([len(r[7]) for r in rows])
     folded = {w: _folded(rows, widths, w) for w in np.unique(widths).tolist()}
-    found_a, found_b = [], []
     ends = np.searchsorted(n, n * 5 // 4, "right")
     for i in range(len(rows) - 1):
         j = np.arange(i + 1, ends[i])
@@ -407,17 +421,106 @@ def _compared(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         first, words = folded[int(widths[i])]
         differ = np.bitwise_count(words[j - first] ^ words[i - first]).sum(axis=1, dtype=np.int64)
         j = j[differ <= n[i] + n[j] - 2 * least]
-        found_a.append(np.full(len(j), i))
-        found_b.append(j)
-    if found_a:
-        a, b = np.concatenate(found_a), np.concatenate(found_b)
-        tile = hashlib.blake2b(f"{rows[0][0]} {rows[0][1]}".encode(), digest_size=8).digest()
-        blocks = (a // CELL).astype(np.uint64) << np.uint64(32) | (b // CELL).astype(np.uint64)
-        cell = mixed(blocks + np.frombuffer(tile, np.uint64)).view(np.int64)
-        swap = sid[a] > sid[b]
-        a, b = np.where(swap, b, a), np.where(swap, a, b)
-        columns = [pa.array(sid[a]), pa.array(sid[b]), pa.array(n[a].astype(np.int32)), pa.array(n[b].astype(np.int32)), pa.array(cell)]
-        yield pa.RecordBatch.from_arrays(columns, ["a", "b", "na", "nb", "cell"])
+        if len(j):
+            yield i, j
+
+
+_TILED = "token bigint, tile string, n int, sid bigint, place int, ahead array<bigint>, side int"
+
+
+def candidates(members: DataFrame, bits: DataFrame) -> DataFrame:
+    """Members of tiles, with their tile, that some other member of it may link with."""
+    names = [c.split()[0] for c in _TILED.split(", ")]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in by_tile(batches):
+            met = np.zeros(len(rows), bool)
+            for i, j in survivors(rows):
+                met[i] = True
+                met[j] = True
+            if met.any():
+                columns = zip(*(rows[i][:7] for i in np.flatnonzero(met).tolist()))
+                kinds = [pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.int32()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+    rows = tiled(members).join(bits, "sid").select(*names, "bits")
+    return _dealt(rows).mapInArrow(compare, _TILED)
+
+
+def decided(docs: DataFrame, sets: DataFrame, met: DataFrame, counts: np.ndarray, pairs: bool) -> DataFrame:
+    """Links within tiles, by intersecting sorted arrays; a set goes once to each of its tiles.
+
+    A link belongs to the group of the first shingle, in the order of all, that
+    its sets share, and is counted there alone. Each linked member of a tile gives
+    one row: `sid`, `others` (rows that it links with) and `root`, the smallest set
+    that it reaches inside the tile. With `pairs` the links themselves, `a`, `b`.
+    """
+    order = docs.sparkSession.sparkContext.broadcast(counts)
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in by_tile(batches):
+            arrays = [np.frombuffer(r[7], np.uint64) for r in rows]
+            rows = [(*r[:7], bitmap(array), r[8]) for r, array in zip(rows, arrays)]
+            token = np.array([rows[0][0]], np.int64).view(np.uint64)[0]
+            links = [
+                (i, j) for i, later in survivors(rows) for j in later.tolist()
+                if _meet_first(arrays[i], arrays[j], token, order.value)
+            ]
+            sid = [r[3] for r in rows]
+            if pairs:
+                ends = [sorted((sid[i], sid[j])) for i, j in links]
+                columns = [pa.array([e[k] for e in ends], pa.int64()) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
+            elif links:
+                others = [0] * len(rows)
+                for i, j in links:
+                    others[i] += rows[j][8]
+                    others[j] += rows[i][8]
+                roots = _roots(sid, links)
+                linked_ = sorted({i for link in links for i in link})
+                columns = [pa.array([x[i] for i in linked_], pa.int64()) for x in (sid, others, roots)]
+                yield pa.RecordBatch.from_arrays(columns, ["sid", "others", "root"])
+
+    known = sets.select("sid", "copies")
+    arrays = _arrays(docs, sets, met.select("sid").distinct())
+    names = [c.split()[0] for c in _TILED.split(", ")]
+    rows = met.join(known, "sid").join(arrays, "sid").select(*names, "shingles", "copies")
+    return _dealt(rows).mapInArrow(decide, "a bigint, b bigint" if pairs else "sid bigint, others bigint, root bigint")
+
+
+def _meet_first(left: np.ndarray, right: np.ndarray, token: np.uint64, counts: np.ndarray) -> bool:
+    """Whether two sets link, and this is the first shingle that they share."""
+    common = _common(left, right)
+    if 9 * len(common) < 4 * (len(left) + len(right)):
+        return False
+    of = counts[_cell(common)]
+    return common[of == of.min()].min() == token
+
+
+def _common(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    if len(left) > len(right):
+        left, right = right, left
+    at = np.minimum(np.searchsorted(right, left), len(right) - 1)
+    return left[right[at] == left]
+
+
+def _roots(sid: list[int], links: list[tuple[int, int]]) -> list[int]:
+    """The smallest set that each row reaches by links of its tile."""
+    up = list(range(len(sid)))
+
+    def find(x: int) -> int:
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    for i, j in links:
+        a, b = find(i), find(j)
+        if sid[a] <= sid[b]:
+            up[b] = a
+        else:
+            up[a] = b
+    return [sid[find(i)] for i in range(len(sid))]
 
 
 def _folded(rows: list[tuple], widths: np.ndarray, width: int) -> tuple[int, np.ndarray]:
@@ -442,45 +545,17 @@ def linked(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
                 keep.append(_link(left, right))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    met = _with_arrays(pairs.select("a", "b"), _arrays(docs, sets, pairs))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+    met = _with_arrays(pairs.select("a", "b"), _arrays(docs, sets, wanted))
     return met.mapInArrow(intersect, "a bigint, b bigint").distinct()
 
 
-def linked_in_cells(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """`linked` for many pairs of the same sets: a set goes once to each cell of pairs."""
-
-    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell: int | None = None
-        held: dict[int, np.ndarray] = {}
-        for batch in batches:
-            a, b = [], []
-            for own, left, right, shingles in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                if own != cell:
-                    cell, held = own, {}
-                if right is None:
-                    held[left] = np.frombuffer(shingles, np.uint64)
-                elif _link(held[left], held[right]):
-                    a.append(left)
-                    b.append(right)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-    wanted = pairs.select("cell", F.explode(F.array("a", "b")).alias("a")).distinct()
-    arrays = _arrays(docs, sets, pairs).withColumnRenamed("sid", "a")
-    sent = wanted.join(arrays, "a").select("cell", "a", F.lit(None).cast("bigint").alias("b"), "shingles")
-    asked = pairs.select("cell", "a", "b", F.lit(None).cast("binary").alias("shingles"))
-    dealt = sent.unionByName(asked).repartition("cell")
-    ordered = dealt.sortWithinPartitions("cell", F.col("b").asc_nulls_first())
-    return ordered.mapInArrow(decide, "a bigint, b bigint")
-
-
 def _link(left: np.ndarray, right: np.ndarray) -> bool:
-    common = len(np.intersect1d(left, right, assume_unique=True))
-    return 9 * common >= 4 * (len(left) + len(right))
+    return 9 * len(_common(left, right)) >= 4 * (len(left) + len(right))
 
 
-def _arrays(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """`sid`, `shingles` of the sets in pairs. Their texts are found again by their hash."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+def _arrays(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """`sid`, `shingles` of wanted sets. Their texts are found again by their hash."""
     hashes = sets.join(wanted, "sid").select("text_hash").distinct()
     small = hashes.limit(BROADCAST_SETS + 1).count() <= BROADCAST_SETS
     texts = _named(docs).join(F.broadcast(hashes) if small else hashes, "text_hash", "left_semi")
@@ -539,8 +614,8 @@ def _copies(degree: Column) -> Column:
     return F.ceil(degree / HUB_PAIRS)
 
 
-def indexed(docs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The sets (`sid`, `text_hash`, `bits`) and their shared prefix rows."""
+def indexed(docs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame, np.ndarray]:
+    """The sets (`sid`, `text_hash`, `bits`, `copies`), their shared prefix rows, the counts of cells."""
     counts = np.zeros(CELLS, np.int64)
     cells = rows.filter("kind = 1").groupBy("sid").agg(F.sum("n").alias("n"))
     for cell, n in cells.collect():
@@ -548,26 +623,29 @@ def indexed(docs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     sets = (
         rows.filter("kind = 0 AND n > 0")
         .groupBy("sid")
-        .agg(F.min("text_hash").alias("text_hash"), F.min("bits").alias("bits"))
+        .agg(F.min("text_hash").alias("text_hash"), F.min("bits").alias("bits"), F.count("*").alias("copies"))
     )
-    return sets, stored(shared_tokens(prefixes(docs, counts)), "tokens")
+    return sets, stored(shared_tokens(prefixes(docs, counts)), "tokens"), counts
+
 
+def tile_links(docs: DataFrame, rows: DataFrame, pairs: bool = False) -> DataFrame:
+    """Every link between different sets: a row for each linked member of a tile, or the `pairs`.
 
-def all_links(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """`a`, `b`: every pair of different sets that link, once, the smaller hash first."""
-    sets, tokens = indexed(docs, rows)
-    # The shingles of all sets are in one order, so a pair meets at its first common one.
+    The shingles of all sets are in one order, so a pair meets at its first common
+    one. The rows grow with the members of tiles, pairs with their square.
+    """
+    sets, tokens, counts = indexed(docs, rows)
     first = F.slice(F.array_sort(F.collect_list(F.struct("place", "token"))), 1, AHEAD)
     heads = tokens.groupBy("sid").agg(first.alias("first"))
     earlier = F.filter("first", lambda t: t["place"] < F.col("place"))
     members = tokens.join(heads, "sid").withColumn("ahead", F.transform(earlier, lambda t: t["token"])).drop("first")
-    pairs = stored(tile_pairs(stored(members, "members"), sets.select("sid", "bits")), "tile-pairs")
-    return stored(linked_in_cells(docs, sets, pairs), "all-links")
+    met = stored(candidates(stored(members, "members"), sets.select("sid", "bits")), "candidates")
+    return stored(decided(docs, sets, met, counts, pairs), "links")
 
 
 def set_links(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """`node`, `root` of the sets that have links."""
-    sets, tokens = indexed(docs, rows)
+    sets, tokens, _ = indexed(docs, rows)
     stars = stored(bounded(star_pairs(tokens), sets), "stars")
     first = stored(linked(docs, sets, stars), "star-links")
     roots = components(first)
@@ -592,7 +670,8 @@ def set_links(docs: DataFrame, rows: DataFrame) -> DataFrame:
 def link_components(docs: DataFrame) -> DataFrame:
     """`doc_id`, `n_shingles`, `component_id` of each row."""
     rows = stored(described(docs), "sets")
-    roots = components(all_links(docs, rows))
+    links = tile_links(docs, rows)
+    roots = components(links.select(F.col("sid").alias("a"), F.col("root").alias("b")))
     return _with_component(rows.filter("kind = 0"), roots).select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id"
     )
@@ -601,24 +680,22 @@ def link_components(docs: DataFrame) -> DataFrame:
 def class_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All links, between classes of equal sets, and the rows of each class.
 
-    `a`, `b`: pairs of `class_id`, a class's hash. `doc_id`, `n_shingles`,
+    `a`, `b`: pairs of `class_id`, a class's hash, as many as there are links:
+    they grow with the square of a group of near copies. `doc_id`, `n_shingles`,
     `class_id` of each row; a row without words has no class.
     """
     rows = stored(described(docs), "sets")
     members = rows.filter("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("sid").alias("class_id"))
-    return all_links(docs, rows), members
+    return tile_links(docs, rows, pairs=True), members
 
 
 def link_counts(docs: DataFrame) -> DataFrame:
     """`doc_id`, `n_shingles`, `class_id` and `n_links`, the other rows that each row links with."""
-    links, members = class_links(docs)
+    rows = stored(described(docs), "sets")
+    members = rows.filter("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("sid").alias("class_id"))
     copies = members.groupBy("class_id").agg(F.count("*").alias("copies")).filter("class_id IS NOT NULL")
-    ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    others = (
-        ends.join(copies.select(F.col("class_id").alias("b"), "copies"), "b")
-        .groupBy(F.col("a").alias("class_id"))
-        .agg(F.sum("copies").alias("others"))
-    )
+    links = tile_links(docs, rows).withColumnRenamed("sid", "class_id")
+    others = links.groupBy("class_id").agg(F.sum("others").alias("others"))
     n_links = F.coalesce("others", F.lit(0)) + F.coalesce(F.col("copies") - 1, F.lit(0))
     return (
         members.join(copies, "class_id", "left")

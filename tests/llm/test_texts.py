@@ -227,9 +227,9 @@ def test_jaccard_links(spark, monkeypatch):
     pairs = sum(bool(alike(x, y)) for i, x in enumerate(classes) for y in classes[:i])
     assert pairs > 2 * len(classes)
     docs = with_clashes(spark, rows)
-    for block, cell in ((jaccard.BLOCK, jaccard.CELL), (4, 2)):
+    for block, size in ((jaccard.BLOCK, jaccard.BLOCK_BYTES), (4, jaccard.BLOCK_BYTES), (1_000, 2_000)):
         monkeypatch.setattr(jaccard, "BLOCK", block)
-        monkeypatch.setattr(jaccard, "CELL", cell)
+        monkeypatch.setattr(jaccard, "BLOCK_BYTES", size)
         same(jaccard.link_counts(docs), ("doc_id", "n_shingles", "n_links"), counts)
         links, members = jaccard.class_links(docs)
         by_id = {r.class_id: r.n_shingles for r in members.collect()}
