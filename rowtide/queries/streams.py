@@ -24,6 +24,7 @@ from rowtide.sources.change_log import (
     quarantined_rows,
     read_change_log,
     stream_change_log,
+    write_landing,
 )
 from rowtide.streaming.capture import (
     captured_messages,
@@ -84,6 +85,39 @@ def captured_in_parts(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
+def captured_after_loss(spark: SparkSession, sf_dir: str) -> str:
+    """Capture a landing that ended before its summary, then the whole log landed in its place.
+
+    The lost attempt held the first half of the log. The files of the repeated
+    one are captured three at a time.
+    """
+    folder = new_folder(spark)
+    log = change_log(spark, sf_dir)
+    bounds = feed(spark, sf_dir).agg(F.min("xid").alias("low"), F.max("xid").alias("high")).first()
+    path = f"{folder}/log"
+
+    def capture() -> None:
+        start_capture(
+            stream_change_log(spark, path, files_per_batch=3),
+            folder,
+            "users",
+            relations=lambda: landed_relations(spark, path),
+            path=path,
+        ).awaitTermination()
+
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(merge)
+    write_landing(log.filter(F.col("arrival") < (bounds.low + bounds.high) // 2 * 8), path, 0)
+    capture()
+    spark.conf.set(merge, "false")
+    try:
+        land_change_log(log, path)
+    finally:
+        spark.conf.set(merge, before)
+    capture()
+    return folder
+
+
 def confirmed_by_batch(spark: SparkSession, folder: str) -> DataFrame:
     """For each batch its confirmed position and the lowest commit not yet published.
 
@@ -137,6 +171,34 @@ def streamed_checkpoint_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"""
+    WITH {FEED_SQL}, log AS (
+      SELECT xid * 8 + 1 + ord AS arrival, lsn AS seen, NULL AS commit_pos FROM feed
+      UNION ALL SELECT xid * 8 + 6, commit_pos + 2, commit_pos FROM feed WHERE ord = 0
+      UNION ALL SELECT xid * 8 + 7, commit_pos + 400, NULL FROM feed WHERE ord = 0),
+    top AS (SELECT max(commit_pos) AS c, arg_max(arrival, commit_pos) AS a FROM log),
+    safe AS (SELECT greatest(max(c), coalesce(max(seen) FILTER (arrival > a), 0)) AS lsn FROM log, top)
+    SELECT 0::BIGINT AS ahead, (SELECT lsn FROM safe) AS confirmed, count(*) AS changes,
+      (SELECT count(*) FROM feed) AS landed FROM feed""")
+def streamed_checkpoint_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landing that was lost and repeated: no batch confirms a commit still to come.
+
+    What the lost attempt published comes again, and is read once from the log.
+    """
+    folder = captured_after_loss(spark, sf_dir)
+    batches = confirmed_by_batch(spark, folder).agg(
+        F.count_if(F.col("safe_pos") > F.col("unpublished")).alias("ahead"),
+        F.max("safe_pos").alias("confirmed"),
+    )
+    messages = captured_messages(spark, folder).select("commit_pos", "ord").distinct()
+    landed = _landed_rows(spark, f"{folder}/log")
+    counts = messages.agg(F.count("*").alias("changes")), landed.agg(F.count("*").alias("landed"))
+    # Three single rows, side by side.
+    one = F.lit(1).alias("one")
+    first, second, third = (df.select("*", one) for df in (batches, *counts))
+    return first.join(second, "one").join(third, "one").drop("one")
+
+
 @query(f"""
     WITH {FEED_SQL}, point AS (SELECT (min(commit_pos) + 99 * max(commit_pos)) // 100 AS p FROM feed)
     SELECT lsn, op FROM feed, point WHERE commit_pos >= p""")

@@ -12,14 +12,14 @@ from rowtide.operators.messages import MESSAGE_COLUMNS
 from rowtide.operators.progress import checkpoint_record, safe_position
 from rowtide.operators.relations import relation_versions
 from rowtide.plans.snapshot import read_state
-from rowtide.schemas import MESSAGE, POSITIONED_LOG, RELATION
+from rowtide.schemas import MESSAGE, RELATION
 from rowtide.sources.change_log import landings, published_only
 from rowtide.sources.sinks import append_checkpoint, write_message_log
 from rowtide.sources.tables import read_if_there
 
 _HISTORY = f"relation_id bigint, relation {RELATION}, valid_from struct<commit_pos:bigint,ord:bigint>"
 _PROGRESS = (
-    "slot_name string, safe_pos bigint, last_commit bigint, landings bigint, part map<bigint,bigint>"
+    "slot_name string, safe_pos bigint, last_commit bigint, landings bigint, pieces map<bigint,array<string>>"
 )
 
 
@@ -107,7 +107,7 @@ def _save_progress(
     path: str | None,
 ) -> None:
     """Safe position after the batch, and the checkpoint record with it."""
-    begin = Row(slot_name=slot, safe_pos=start, last_commit=start, landings=-1, part={})
+    begin = Row(slot_name=slot, safe_pos=start, last_commit=start, landings=-1, pieces={})
     if batch_id > 0:
         begin = spark.read.schema(_PROGRESS).parquet(f"{folder}/progress/batch={batch_id - 1}").first()
     if path is None:
@@ -132,20 +132,23 @@ def _save_progress(
 def _over_landings(spark: SparkSession, rows: DataFrame, path: str, begin: Row, start: int) -> tuple:
     """Progress after a batch of a landed log.
 
-    `part` counts the changes read of the landings that are not yet whole; these
-    are few, as files are taken about in the order they were landed. A reader
-    that starts at a position counts only changes from there on.
+    `pieces` holds the files published of landings that are not yet whole; these
+    are few, as files are taken about in the order they were landed. Files of an
+    attempt that was given up are in no summary, so the repeated landing counts
+    as whole with its own files alone. A reader that starts at a position needs
+    only the files that reach it.
     """
-    part = dict(begin.part)
-    for row in rows.groupBy("landing").count().collect():
-        part[row["landing"]] = part.get(row["landing"], 0) + row["count"]
+    read = {landing: set(files) for landing, files in begin.pieces.items()}
+    # A batch has a bounded number of files.
+    for landing, piece in rows.select("landing", "piece").distinct().collect():
+        read.setdefault(landing, set()).add(piece)
     safe, last, done = begin.safe_pos, begin.last_commit, begin.landings
     waiting = landings(spark, path).filter(F.col("landing") > done).orderBy("landing")
     low = None
     for landing in waiting.toLocalIterator():
-        whole = landing.landing == done + 1 and low is None
-        if whole and part.get(landing.landing, 0) >= _expected(spark, path, landing, start):
-            part.pop(landing.landing, None)
+        wanted = {p.piece for p in landing.pieces if p.high >= start}
+        if landing.landing == done + 1 and low is None and wanted <= read.get(landing.landing, set()):
+            read.pop(landing.landing, None)
             done = landing.landing
             if landing.top_commit is not None and landing.top_commit > last:
                 safe, last = landing.top_commit, landing.top_commit
@@ -157,15 +160,9 @@ def _over_landings(spark: SparkSession, rows: DataFrame, path: str, begin: Row,
     # What is confirmed never passes a commit that is still to be published,
     # nor falls behind what was confirmed before.
     confirmed = safe if low is None else max(begin.safe_pos, min(safe, low))
-    return (begin.slot_name, confirmed, last, done, part)
-
-
-def _expected(spark: SparkSession, path: str, landing: Row, start: int) -> int:
-    """Changes of a landing that a reader from `start` gets."""
-    if landing.low_commit is None or landing.low_commit >= start:
-        return landing.changes
-    log = spark.read.schema(f"{POSITIONED_LOG}, landing bigint").parquet(f"{path}/changes")
-    return log.filter((F.col("landing") == landing.landing) & (F.col("commit_pos") >= start)).count()
+    # Files of a landing that is whole come again only where an attempt was given up.
+    waiting_files = {landing: sorted(files) for landing, files in read.items() if landing > done}
+    return (begin.slot_name, confirmed, last, done, waiting_files)
 
 
 def captured_messages(spark: SparkSession, folder: str, topic: str = "messages") -> DataFrame:

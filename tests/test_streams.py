@@ -13,6 +13,7 @@ from rowtide.operators.state import current_table, newest_per_key
 from rowtide.plans.bootstrap import bootstrap, pipeline_messages
 from rowtide.plans.snapshot import SourceObject, read_state
 from rowtide.schemas import MESSAGE
+from rowtide.sources import change_log
 from rowtide.sources.change_log import (
     land_change_log,
     landed_relations,
@@ -276,3 +277,54 @@ def test_strict_stops_before_progress(spark, tmp_path):
     with pytest.raises(Exception, match="unknown relation"):
         capture(spark, folder, strict=True)
     assert not (tmp_path / "progress").exists()
+
+
+def test_landing_lost_at_each_write(spark, tmp_path, monkeypatch):
+    """A landing that ends after any of its writes is captured, repeated, and never confirmed early."""
+    folder, log = str(tmp_path), commits(workload(24))
+    path = f"{folder}/log"
+    half = len(log) // 2
+    write = change_log._write
+    for kept in (1, 2, 3, 4):
+        done = []
+
+        def dies(rows, folder, *rest, **more):
+            if len(done) == kept:
+                raise RuntimeError("lost")
+            done.append(folder)
+            write(rows, folder, *rest, **more)
+
+        monkeypatch.setattr(change_log, "_write", dies)
+        with pytest.raises(RuntimeError, match="lost"):
+            land_change_log(frame(spark, log[: half + kept]), path)
+        monkeypatch.setattr(change_log, "_write", write)
+    assert change_log.landings(spark, path).isEmpty() and read_change_log(spark, path).filter("kind = 'I'").isEmpty()
+    capture(spark, folder)
+    progress = spark.read.parquet(f"{folder}/progress")
+    assert {r.safe_pos for r in progress.collect()} == {0}
+    assert land_change_log(frame(spark, log).repartition(3), path) == 0
+    capture(spark, folder)
+    from rowtide.queries.streams import confirmed_by_batch
+
+    batches = confirmed_by_batch(spark, folder)
+    assert batches.filter("safe_pos > unpublished").isEmpty() and batches.count() >= 2
+    whole = read_change_log(spark, path)
+    assert rows(current_table(captured_messages(spark, folder)), *COLUMNS) == rows(
+        current_table(decode_changes(whole)), *COLUMNS
+    )
+    assert whole.filter("kind IN ('I', 'U', 'D')").count() == sum(m[1] in "IUD" for m in log)
+
+
+def test_start_opens_only_the_pieces_it_needs(spark, tmp_path):
+    path = f"{tmp_path}/log"
+    log = commits(workload(24))
+    for i in range(0, len(log), 16):
+        land_change_log(frame(spark, log[i : i + 16]), path)
+    changes = [m for m in log if m[1] != "R"]
+    start = changes[-4][3]
+    opened = [f for f in read_change_log(spark, path, start).inputFiles() if "/changes/" in f]
+    stored = spark.read.parquet(f"{path}/changes").inputFiles()
+    assert 0 < len(opened) < len(stored)
+    got = read_change_log(spark, path, start).filter("kind NOT IN ('R', 'K')").count()
+    assert got == sum(m[3] >= start for m in changes)
+    assert read_change_log(spark, path, 2**62).filter("kind != 'R'").isEmpty()
