@@ -9,12 +9,14 @@ gathered and added up by text.
 Texts are lower-cased and runs of characters that are not letters count as one
 space. A null text, or one without a letter, is `und` with score 0; rows without
 a language or a text teach nothing. Ties go to the language that sorts first.
-Without any labelled text, every text is `und`. Repeated rows count as often as
+Without any labelled text, every text is `und`, and `with_known_language` keeps
+every text with a letter. Repeated rows count as often as
 they come; other columns are kept.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,9 +38,10 @@ PIECE = 1 << 18
 SCORED = 1 << 20
 #: N-grams that count as independent evidence in a score.
 EVIDENCE = 200
-#: Score below which a text's language counts as unknown. At 0 a short text
-#: between two languages is kept, and only one without letters is rejected.
-LEAST_SCORE = 0.0
+#: Mean log-likelihood of a text's n-grams below which no learned language explains
+#: it: that of n-grams drawn evenly from all buckets. It needs no labelled negatives,
+#: and a short text between two languages stays well above it.
+LEAST_FIT = -math.log(BUCKETS)
 #: Languages that a model may have; more are refused, so that it stays small.
 MOST_LANGUAGES = 500
 
@@ -151,27 +154,28 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
 
 
 def predicted(docs: DataFrame, model: Model, text: str = "text") -> Column:
-    """A column `struct<lang_pred, score>` for the texts of `docs`.
+    """A column `struct<lang_pred, score, fit>` for the texts of `docs`.
 
     `score` is the posterior probability of the language, with the evidence
     taken by the n-gram's mean over at most `EVIDENCE` n-grams: n-grams of one
-    text are far from independent, and a sum over them would always give 1.
+    text are far from independent, and a sum over them would always give 1. `fit`
+    is the mean log-likelihood of the text's n-grams in that language.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, fit double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known = shared.value
         for texts in batches:
             found = classify(known, texts.tolist())
-            yield pd.DataFrame(found, columns=["lang_pred", "score"])
+            yield pd.DataFrame(found, columns=["lang_pred", "score", "fit"])
 
     ship(docs.sparkSession)
     return predict(F.col(f"`{text}`"))
 
 
-def classify(model: Model, texts: list[str | None]) -> list[tuple[str, float]]:
-    """Language and score of each text of a batch."""
+def classify(model: Model, texts: list[str | None]) -> list[tuple[str, float, float]]:
+    """Language, score and fit of each text of a batch."""
     n, wide = len(texts), len(model.languages)
     totals, grams = np.zeros((n, wide)), np.zeros(n)
     held: list[tuple[int, np.ndarray]] = []
@@ -191,12 +195,12 @@ def classify(model: Model, texts: list[str | None]) -> list[tuple[str, float]]:
     out = []
     for total, count in zip(totals, grams):
         if not count:
-            out.append((UNKNOWN, 0.0))
+            out.append((UNKNOWN, 0.0, -math.inf))
             continue
         scaled = total * min(1.0, EVIDENCE / count) + model.priors
         odds = np.exp(scaled - scaled.max())
         best = int((total + model.priors).argmax())
-        out.append((model.languages[best], float(odds[best] / odds.sum())))
+        out.append((model.languages[best], float(odds[best] / odds.sum()), float(total[best] / count)))
     return out
 
 
@@ -227,11 +231,14 @@ def identify(docs: DataFrame) -> DataFrame:
     )
 
 
-def with_known_language(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
+def with_known_language(docs: DataFrame, least: float = LEAST_FIT) -> DataFrame:
     """`docs` without the rows whose language cannot be told; all columns stay.
 
-    These have no text or no letter, or no language with a score of `least`.
+    These have no text or no letter, or a `fit` below `least` in every language.
+    Where there is nothing to learn from, every text with a letter stays.
     """
     model = train(docs.filter(F.col("doc_id").isNotNull() & ~held_out()))
+    if not model.languages:
+        return docs.filter(F.col("text").rlike(r"[\p{L}]"))
     found = predicted(docs, model)
-    return docs.filter((found["lang_pred"] != UNKNOWN) & (found["score"] >= least))
+    return docs.filter((found["lang_pred"] != UNKNOWN) & (found["fit"] >= least))

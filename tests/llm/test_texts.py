@@ -38,6 +38,27 @@ def test_language_edges(spark, edge_docs, edge, no_docs):
     assert kept.columns == edge_docs.columns and kept.filter("doc_id IN (1, 2, 12)").isEmpty()
 
 
+def test_language_stage_decides(spark):
+    """Texts that no learned language explains go; short, clean and ambiguous ones stay."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    noise = ["xkq wvzzt qqj xxz bkq zvk", "Это русский текст", "日本語テキスト", "12 ...", None, ""]
+    clean = ["the", "Dans la", "und der", "the house is big", "o"]
+    planted = [(-1 - i, t, "en" if i % 2 else None) for i, t in enumerate(noise + clean)]
+    both = docs.filter("doc_id >= 0").unionByName(spark.createDataFrame(planted, docs.schema))
+    gone = {r.doc_id for r in both.join(langid.with_known_language(both), "doc_id", "left_anti").collect()}
+    assert gone == {-1 - i for i in range(len(noise))}
+
+
+def test_language_stage_without_labels(spark, edge_docs, no_docs):
+    """Nothing can be learned: whatever has a letter stays."""
+    unlabelled = edge_docs.withColumn("lang", F.lit(None).cast("string"))
+    kept = langid.with_known_language(unlabelled)
+    assert kept.columns == unlabelled.columns
+    letters = [r for r in edge_docs.collect() if any(c.isalpha() for c in r.text or "")]
+    assert kept.count() == len(letters)
+    assert langid.with_known_language(no_docs).isEmpty()
+
+
 def test_held_out_by_crc(spark):
     import zlib
 
