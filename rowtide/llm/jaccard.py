@@ -82,7 +82,7 @@ def set_hash(shingles: np.ndarray) -> int:
 
 
 def bitmap(shingles: np.ndarray) -> bytes:
-    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (2 * len(shingles) - 1).bit_length()))
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (len(shingles) - 1).bit_length()))
     counts = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -428,8 +428,11 @@ def survivors(rows: list[tuple]) -> Iterator[tuple[int, np.ndarray]]:
 _TILED = "token bigint, tile string, n int, sid bigint, place int, ahead array<bigint>, side int"
 
 
-def candidates(members: DataFrame, bits: DataFrame) -> DataFrame:
-    """Members of tiles, with their tile, that some other member of it may link with."""
+def candidates(members: DataFrame, known: DataFrame) -> DataFrame:
+    """Members of tiles, with their tile, that some other member of it may link with.
+
+    `known` has each set's `bits`, and `first`, the earliest shingles of its prefix.
+    """
     names = [c.split()[0] for c in _TILED.split(", ")]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -443,8 +446,9 @@ def candidates(members: DataFrame, bits: DataFrame) -> DataFrame:
                 kinds = [pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.int32()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    rows = tiled(members).join(bits, "sid").select(*names, "bits")
-    return _dealt(rows).mapInArrow(compare, _TILED)
+    earlier = F.filter("first", lambda t: t["place"] < F.col("place"))
+    rows = tiled(members).join(known, "sid").withColumn("ahead", F.transform(earlier, lambda t: t["token"]))
+    return _dealt(rows.select(*names, "bits")).mapInArrow(compare, _TILED)
 
 
 def decided(docs: DataFrame, sets: DataFrame, met: DataFrame, counts: np.ndarray, pairs: bool) -> DataFrame:
@@ -637,9 +641,7 @@ def tile_links(docs: DataFrame, rows: DataFrame, pairs: bool = False) -> DataFra
     sets, tokens, counts = indexed(docs, rows)
     first = F.slice(F.array_sort(F.collect_list(F.struct("place", "token"))), 1, AHEAD)
     heads = tokens.groupBy("sid").agg(first.alias("first"))
-    earlier = F.filter("first", lambda t: t["place"] < F.col("place"))
-    members = tokens.join(heads, "sid").withColumn("ahead", F.transform(earlier, lambda t: t["token"])).drop("first")
-    met = stored(candidates(stored(members, "members"), sets.select("sid", "bits")), "candidates")
+    met = stored(candidates(tokens, sets.select("sid", "bits").join(heads, "sid")), "candidates")
     return stored(decided(docs, sets, met, counts, pairs), "links")
 
 
