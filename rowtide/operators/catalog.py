@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rowtide.functions.names import name_of, schema_of
 from rowtide.schemas import CDC_KINDS, MATVIEW, PART_ROOT, TABLE, VIEW
+from rowtide.session import use_checkpoints
 from rowtide.sources.catalog import Catalog
 
 # Relation kinds of the system catalog.
@@ -187,18 +188,47 @@ def existing(names: DataFrame, present: DataFrame, name: str) -> DataFrame:
     return names.join(present.select(name), name, "left_semi")
 
 
+def topmost(edges: DataFrame) -> DataFrame:
+    """`child, parent` of every edge, with the topmost ancestor as the parent.
+
+    Each round puts a parent's own parent in its place, which doubles the levels
+    that are climbed: the rounds are the logarithm of the deepest level. A cycle
+    has no top and is an error.
+    """
+    climbed = edges.select("child", "parent").distinct()
+    if _nested(climbed).isEmpty():
+        return climbed
+    use_checkpoints(edges.sparkSession)
+    climbed = climbed.checkpoint()
+    for _ in range(climbed.count().bit_length()):
+        above = climbed.select(F.col("child").alias("parent"), F.col("parent").alias("above"))
+        climbed = climbed.join(above, "parent", "left").select(
+            "child", F.coalesce("above", "parent").alias("parent")
+        )
+        climbed = climbed.checkpoint()
+        if _nested(climbed).isEmpty():
+            return climbed
+    raise CatalogError("partitions that are their own ancestors")
+
+
+def _nested(edges: DataFrame) -> DataFrame:
+    """Edges whose parent has a parent."""
+    return edges.join(edges.select(F.col("child").alias("parent")), "parent", "left_semi")
+
+
 def leaf_to_root(catalog: Catalog) -> DataFrame:
-    """`table, root`: qualified leaf names and the root they are published as."""
+    """`table, root`: qualified names of partitions and the root they are published as.
+
+    The root is the topmost partitioned table, above any partitions that are
+    partitioned themselves.
+    """
     classes = relations(catalog)
     qualified = F.concat_ws(".", "schema", "name")
+    partitioned = classes.filter("relkind = 'p'").select(F.col("oid").alias("inhparent"))
+    edges = catalog["pg_inherits"].join(partitioned, "inhparent", "left_semi")
+    tops = topmost(edges.select(F.col("inhrelid").alias("child"), F.col("inhparent").alias("parent")))
     return (
-        catalog["pg_inherits"]
-        .join(classes.select(F.col("oid").alias("inhrelid"), qualified.alias("table")), "inhrelid")
-        .join(
-            classes.filter("relkind = 'p'").select(
-                F.col("oid").alias("inhparent"), qualified.alias("root")
-            ),
-            "inhparent",
-        )
+        tops.join(classes.select(F.col("oid").alias("child"), qualified.alias("table")), "child")
+        .join(classes.select(F.col("oid").alias("parent"), qualified.alias("root")), "parent")
         .select("table", "root")
     )

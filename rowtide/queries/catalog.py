@@ -8,6 +8,8 @@ orders is a root with many partitions.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowtide.operators.catalog import (
@@ -199,6 +201,45 @@ def leaf_root_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaf_to_root(derived_catalog(spark, sf_dir))
 
 
+TREE_OID = 2 * 10**9
+
+
+def tree_catalog(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Regions as roots, nations and customers as partitions that are partitioned, orders as leaves."""
+    levels = [
+        ("region", "r_regionkey", TREE_OID + 1000, None, None, "p"),
+        ("nation", "n_nationkey", TREE_OID, "n_regionkey", TREE_OID + 1000, "p"),
+        ("customer", "c_custkey", 0, "c_nationkey", TREE_OID, "p"),
+        ("orders", "o_orderkey", ORDER_OID, "o_custkey", 0, "r"),
+    ]
+    classes, edges = [], []
+    for name, key, base, up, up_base, relkind in levels:
+        rows = table(spark, sf_dir, name)
+        oid = (F.col(key).cast("bigint") + base).alias("oid")
+        relname = F.concat(F.lit(f"{name}_"), key).alias("relname")
+        classes.append(rows.select(oid, F.lit(0).alias("relnamespace"), relname, F.lit(relkind).alias("relkind")))
+        if up is not None:
+            parent = (F.col(up).cast("bigint") + up_base).alias("inhparent")
+            edges.append(rows.select(oid.alias("inhrelid"), parent))
+    return {
+        "pg_namespace": spark.range(1).select(F.col("id").alias("oid"), F.lit("public").alias("nspname")),
+        "pg_class": reduce(DataFrame.unionByName, classes),
+        "pg_inherits": reduce(DataFrame.unionByName, edges),
+    }
+
+
+@query("""
+    WITH c AS (
+      SELECT c_custkey, c_nationkey, 'public.region_' || n_regionkey AS root
+      FROM customer JOIN nation ON n_nationkey = c_nationkey)
+    SELECT 'public.orders_' || o_orderkey AS "table", root FROM orders JOIN c ON c_custkey = o_custkey
+    UNION ALL SELECT 'public.customer_' || c_custkey, root FROM c
+    UNION ALL SELECT 'public.nation_' || n_nationkey, 'public.region_' || n_regionkey FROM nation""")
+def nested_root_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The topmost root of every partition, three levels below it at most."""
+    return leaf_to_root(tree_catalog(spark, sf_dir))
+
+
 @query(f"""
     WITH {CONFIGURED_SQL}
     SELECT oid, publication, "schema" || '.' || name AS requested FROM configured WHERE member""")
@@ -248,14 +289,11 @@ def capable_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     SELECT 'slot_' || user_id AS slot_name FROM events
-    WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')
+    WHERE user_id IN (SELECT c_custkey FROM customer)
     GROUP BY user_id""")
 def existing_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wanted slots that exist."""
-    wanted = (
-        table(spark, sf_dir, "customer")
-        .filter("c_mktsegment = 'BUILDING'")
-        .select(F.concat(F.lit("slot_"), "c_custkey").alias("slot_name"))
-    )
+    """Wanted slots that exist, one for every customer."""
+    customers = table(spark, sf_dir, "customer")
+    wanted = customers.select(F.concat(F.lit("slot_"), "c_custkey").alias("slot_name"))
     slots = table(spark, sf_dir, "events").select(F.concat(F.lit("slot_"), "user_id").alias("slot_name"))
     return existing(wanted, slots, "slot_name")

@@ -4,6 +4,7 @@ import pytest
 
 from conftest import rows
 from rowtide.operators.catalog import (
+    CatalogError,
     child_partitions,
     existing,
     leaf_to_root,
@@ -12,6 +13,7 @@ from rowtide.operators.catalog import (
     published,
     resolve_objects,
     split_views,
+    topmost,
 )
 from rowtide.schemas import CATALOG
 from rowtide.sources.catalog import read_catalog
@@ -130,6 +132,19 @@ def test_leaf_map_and_existence(spark, catalog):
     assert rows(existing(wanted, catalog["pg_replication_slots"], "slot_name")) == [("slot",)]
 
 
+def test_topmost(spark):
+    """A deep chain, two trees, repeated edges; a cycle is an error."""
+    chain = [(i, i + 1) for i in range(20)]
+    trees = [(100, 200), (101, 200), (200, 300), (102, 300), (100, 200), (400, 401)]
+    edges = spark.createDataFrame(chain + trees, "child bigint, parent bigint")
+    want = [(i, 20) for i in range(20)] + [(100, 300), (101, 300), (102, 300), (200, 300), (400, 401)]
+    assert rows(topmost(edges), "child", "parent") == sorted(want, key=repr)
+    assert topmost(edges.limit(0)).isEmpty()
+    for cycle in ([(1, 1)], [(1, 2), (2, 3), (3, 1), (4, 1)]):
+        with pytest.raises(CatalogError, match="ancestors"):
+            topmost(spark.createDataFrame(cycle, "child bigint, parent bigint"))
+
+
 def test_catalog_dump(spark, catalog, tmp_path):
     for table, df in catalog.items():
         df.write.parquet(f"{tmp_path}/{table}")
