@@ -197,12 +197,14 @@ def deduplicated(rows):
             yield (g[2], own[0][2], len(own), i == 0, sha(body))
 
 
+_OWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+_REST = [b for b in range(256) if b not in _OWN]
+_LETTERS = {chr(b): b for b in _OWN} | {chr(256 + i): b for i, b in enumerate(_REST)}
+
+
 def byte_level(token: str) -> bytes:
     """A byte-level token's bytes, by the public rule of such vocabularies."""
-    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-    letters = {chr(b): b for b in own}
-    letters |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in own)}
-    return bytes(letters[c] for c in token)
+    return bytes(_LETTERS[c] for c in token)
 
 
 def alignment(rows, tokenizer, pieces):
