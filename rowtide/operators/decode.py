@@ -130,12 +130,16 @@ def _with_old_keys(encoded: DataFrame) -> DataFrame:
 
 
 def typed_rows(
-    log: DataFrame, columns: Sequence[tuple[str, int]], relation_id: int | None = None
+    log: DataFrame,
+    columns: Sequence[tuple[str, int]],
+    relation_id: int | None = None,
+    old: Sequence[str] = (),
 ) -> DataFrame:
     """Row changes of one known relation with typed columns.
 
     Beside each column `c` stands `c__sent`: false when the log omitted the
     value because it did not change. Text that does not parse is NULL here.
+    Columns named in `old` also give `c__old`, from the old tuple, if it has them.
     """
     changes = log.filter(F.col("kind").isin(*ROW_MSGS))
     if relation_id is not None:
@@ -151,6 +155,10 @@ def typed_rows(
             value.alias(name),
             F.coalesce(field["status"] != "u", F.lit(False)).alias(f"{name}__sent"),
         ]
+        if name in old:
+            before = F.get("old_tuple", F.lit(i))
+            known = F.when(before["status"] == "t", decode_text(before["data"], dtype))
+            projected.append(known.alias(f"{name}__old"))
     op = F.when(is_delete, DELETE).when(F.col("kind") == INSERT_MSG, INSERT).otherwise(UPDATE)
     return changes.withColumn("_sent", sent).select(
         op.alias("op"), "commit_pos", "ord", *projected

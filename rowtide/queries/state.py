@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowtide.operators.decode import decode_changes, truncate_audit, typed_rows
+from rowtide.operators.lineage import fill_moved
 from rowtide.operators.messages import MESSAGE_COLUMNS, row_messages
 from rowtide.operators.state import current_table, fill_omitted, table_as_of
 from rowtide.queries.feed import (
@@ -130,3 +131,52 @@ def moved_key_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     live = current_table(decode_changes(changes.unionByName(session_relations(events))))
     value = F.get_json_object("value", "$.value").cast("double")
     return live.select("key", "op", value.alias("value"))
+
+
+@query(f"""
+    WITH RECURSIVE {FEED_SQL},
+    events_of_key AS (
+      SELECT user_id + CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS key,
+        commit_pos * 8 + ord AS pos, commit_pos, op, value, CASE WHEN event_type IN ('click', 'signup') THEN props END AS props,
+        op = 'd' OR event_type = 'purchase' AS cut, CAST(NULL AS BIGINT) AS went FROM feed
+      UNION ALL SELECT user_id, commit_pos * 8 + ord, commit_pos, 'd', NULL, NULL, TRUE, user_id + 1
+      FROM feed WHERE event_type = 'purchase'),
+    placed AS (
+      SELECT *, coalesce(max(CASE WHEN cut THEN pos END) OVER (
+        PARTITION BY key ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS before
+      FROM events_of_key),
+    lives AS (
+      SELECT key, CASE WHEN cut THEN pos ELSE before END AS began, max(commit_pos) AS commit_pos,
+        arg_max(op, pos) AS op, arg_max(value, pos) AS value,
+        arg_max(props, CASE WHEN props IS NOT NULL THEN pos END) AS props
+      FROM placed GROUP BY 1, 2),
+    parents AS (SELECT went AS key, pos AS began, key AS up_key, before AS up FROM placed WHERE went IS NOT NULL),
+    live AS (SELECT * FROM lives QUALIFY row_number() OVER (PARTITION BY key ORDER BY began DESC) = 1 AND op <> 'd'),
+    walk AS (
+      SELECT key, key AS at_key, began AS at, props, 0 AS moves FROM live
+      UNION ALL
+      SELECT w.key, p.up_key, p.up, l.props, w.moves + 1 FROM walk w
+      JOIN parents p ON p.key = w.at_key AND p.began = w.at
+      LEFT JOIN lives l ON l.key = p.up_key AND l.began = p.up
+      WHERE w.props IS NULL)
+    SELECT key AS user_id, live.op, live.commit_pos, live.value, found.props
+    FROM live JOIN (SELECT key, max(props) AS props FROM walk GROUP BY 1) found USING (key)""")
+def moved_key_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live rows whose omitted values follow them through chains of moved keys."""
+    events = feed(spark, sf_dir)
+    moved = F.col("event_type") == "purchase"
+    key_only = F.array(text(F.col("user_id")), marked("n"), marked("n")).cast(TUPLE)
+    sent = F.when(F.col("event_type").isin("click", "signup"), text(F.col("props"))).otherwise(marked("u"))
+    user = F.col("user_id") + F.when(moved, 1).otherwise(0)
+    dead = F.col("op") == "d"
+    changes = log_rows(
+        events,
+        kind_of(F.col("op")),
+        relation_id=F.lit(USERS),
+        old_tuple=F.when(dead | moved, key_only),
+        new_tuple=F.when(~dead, F.array(text(user), text(F.col("value")), sent).cast(TUPLE)),
+    )
+    rows = typed_rows(changes, USER_COLUMNS, USERS, old=["user_id"])
+    return fill_moved(rows, ["user_id"], ["value", "props"]).select(
+        "user_id", "op", "commit_pos", "value", "props"
+    )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from logs import COLUMNS, announce, frame, message, tuple_, workload
 from rowtide.operators.decode import decode_changes, truncate_audit, typed_rows
+from rowtide.operators.lineage import fill_moved
 from rowtide.operators.messages import compact
 from rowtide.operators.progress import with_boundary
 from rowtide.operators.snapshot import snapshot_table
@@ -134,3 +135,66 @@ def test_a_hot_key_is_combined_before_the_shuffle(spark):
 def test_dead_letters_are_not_rows(spark):
     log = [announce(), message("I", 1, 0, 9, new=tuple_(1, "a", 1)), message("I", 2, 0, new=tuple_(1, "a", 1))]
     assert rows(current_table(decode_changes(frame(spark, log))), "key") == [('{"id":1}',)]
+
+
+def replayed(log):
+    """Rows after a log is applied change by change: key to its values."""
+    table = {}
+    for m in log:
+        kind, old, new = m[1], m[10], m[11]
+        if kind not in "IUD":
+            continue
+        if kind == "D":
+            table.pop(old[0][1], None)
+            continue
+        key = new[0][1]
+        row = table.pop(old[0][1], {}) if old and old[0][1] != key else dict(table.get(key, {}))
+        row |= {i: data for i, (status, data) in enumerate(new) if i and status != "u"}
+        table[key] = row
+    return table
+
+
+def random_moves(seed, n, keys, hot):
+    """A log in which most changes fall on one key, and rows move and come back."""
+    rng = random.Random(seed)
+    log = [announce()]
+    for pos in range(1, n + 1):
+        key = 1 if rng.random() < hot else rng.randrange(1, keys)
+        kind = rng.choice("IUUUUMMMD")
+        name = rng.choice([..., ..., f"n{pos}", None])
+        score = rng.choice([..., float(pos)])
+        if kind == "I":
+            log.append(message("I", pos // 3, pos % 3, new=tuple_(key, f"i{pos}", float(pos))))
+        elif kind == "D":
+            log.append(message("D", pos // 3, pos % 3, old=tuple_(key, None, None)))
+        else:
+            to = rng.randrange(1, keys) if kind == "M" else key
+            old = tuple_(key, None, None) if kind == "M" else None
+            log.append(message("U", pos // 3, pos % 3, old=old, new=tuple_(to, name, score)))
+    return log
+
+
+@pytest.mark.parametrize("seed,keys,hot", [(1, 6, 0.0), (2, 40, 0.0), (3, 12, 0.6), (4, 3, 0.9)])
+def test_values_follow_moved_rows(spark, seed, keys, hot):
+    log = random_moves(seed, 400, keys, hot)
+    shuffled = log[:1] + random.Random(seed).sample(log[1:], len(log) - 1)
+    typed = typed_rows(frame(spark, shuffled), TYPED, 1, old=["id"])
+    got = {r.id: (r.name, r.score) for r in fill_moved(typed, ["id"], ["name", "score"]).collect()}
+    want = {
+        int(k): (v.get(1), None if v.get(2) is None else float(v[2])) for k, v in replayed(log).items()
+    }
+    assert got == want
+
+
+def test_a_long_chain_of_moves(spark):
+    log = [announce(), message("I", 1, 0, new=tuple_(1, "far", 1.0))]
+    for i in range(1, 70):
+        log.append(message("U", 1 + i, 0, old=tuple_(i, None, None), new=tuple_(i + 1, ..., ...)))
+    typed = typed_rows(frame(spark, log), TYPED, 1, old=["id"])
+    filled = fill_moved(typed, ["id"], ["name", "score"])
+    assert rows(filled, "id", "name", "score") == [(70, "far", 1.0)]
+
+
+def test_moves_of_an_empty_log(spark):
+    typed = typed_rows(frame(spark, [announce()]), TYPED, 1, old=["id"])
+    assert fill_moved(typed, ["id"], ["name", "score"]).count() == 0
