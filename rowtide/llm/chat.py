@@ -23,6 +23,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rowtide.llm.arrays import cut, let, running, text_blocks
+
+SPAN = "struct<start:bigint,length:bigint>"
 # The marks.
 START, SEPARATOR, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>\n"
 LEARNED = "assistant"
@@ -98,25 +101,23 @@ def _piece(block: Column, learned: str) -> Column:
 
 def loss_mask(pieces: Column) -> Column:
     """Spans of the learned texts, from the lengths of what stands before them."""
-    span = "array<struct<start:bigint,length:bigint>>"
 
-    def next_text(acc: Column, length: Column) -> Column:
-        here = F.struct(acc["at"].alias("start"), length.cast("bigint").alias("length"))
-        return F.struct(
-            (acc["at"] + length + len(SEPARATOR)).alias("at"),
-            F.concat(acc["spans"], F.array(here)).alias("spans"),
+    def texts(piece: Column, at: Column) -> Column:
+        steps = F.transform(piece["lengths"], lambda n: (n + len(SEPARATOR)).cast("bigint"))
+        spans = F.zip_with(
+            piece["lengths"],
+            running(steps),
+            lambda n, before: F.struct(
+                (at + piece["head"] + before).alias("start"), n.cast("bigint").alias("length")
+            ),
         )
+        return F.when(piece["learned"], spans).otherwise(F.array().cast(f"array<{SPAN}>"))
 
-    def next_piece(acc: Column, piece: Column) -> Column:
-        first = F.struct((acc["at"] + piece["head"]).alias("at"), acc["spans"].alias("spans"))
-        texts = F.aggregate(piece["lengths"], first, next_text)
-        return F.struct(
-            (acc["at"] + F.length(piece["text"])).alias("at"),
-            F.when(piece["learned"], texts["spans"]).otherwise(acc["spans"]).alias("spans"),
-        )
+    def spans(pieces: Column) -> Column:
+        lengths = F.transform(pieces, lambda p: F.length(p["text"]).cast("bigint"))
+        return F.flatten(F.zip_with(pieces, running(lengths), texts))
 
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(span).alias("spans"))
-    return F.aggregate(pieces, start, next_piece, lambda acc: acc["spans"])
+    return let(pieces, spans)
 
 
 def read_turns(formatted: Column) -> Column:
@@ -136,13 +137,12 @@ def read_turns(formatted: Column) -> Column:
 
 def read_loss(formatted: Column, mask: Column) -> Column:
     """The text under the mask, unescaped, nothing between its spans."""
-    return F.array_join(
-        F.transform(
-            mask,
-            lambda s: unescaped(F.substring(formatted, (s["start"] + 1).cast("int"), s["length"].cast("int"))),
-        ),
-        "",
-    )
+
+    def learned(blocks: Column) -> Column:
+        texts = F.transform(mask, lambda s: unescaped(cut(blocks, s["start"], s["start"] + s["length"])))
+        return F.array_join(texts, "")
+
+    return let(text_blocks(formatted), learned)
 
 
 def digest(formatted: DataFrame) -> DataFrame:

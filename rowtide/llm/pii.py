@@ -10,7 +10,7 @@ A pattern runs only on texts that pass its quick test, a necessary condition.
 Patterns use possessive repeats: they match what the greedy ones would, without
 going back, so long texts take linear time and no deep stack.
 
-Null texts are empty. Every input row gives one output row, repeated rows equal
+Null texts are empty, an empty table gives an empty one. Every input row gives one output row, repeated rows equal
 ones. `scan` leaves other columns out, `redact` keeps all. DataFrame functions
 only.
 """
@@ -22,6 +22,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rowtide.llm.arrays import cut, greater, let, running, text_blocks
+
 SPAN = "struct<kind:string,start:bigint,end:bigint,score:double>"
 #: Characters before and after a match that are searched for context words.
 CONTEXT = 40
@@ -121,11 +123,36 @@ BASE = (
         "phone|call|mobile|tel|fax",
     ),
 )
+# Characters of an account number by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC",
+}
+
+
+def _iban_pattern() -> str:
+    """Account numbers in one piece, or as printed, in groups of four and a last shorter one.
+
+    A country's own length comes first, so that a word after a printed number is
+    not taken for its last group.
+    """
+    forms = []
+    for length, countries in IBAN_LENGTHS.items():
+        groups, rest = divmod(length - 4, 4)
+        last = rf"\x20[A-Z0-9]{{{rest}}}" if rest else ""
+        printed = rf"(?:\x20[A-Z0-9]{{4}}){{{groups}}}{last}"
+        forms.append(rf"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:[A-Z0-9]{{{length - 4}}}|{printed})")
+    forms.append(r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,4})?)")
+    ended = [form + r"(?![A-Za-z0-9])" for form in forms]
+    return rf"(?<![A-Za-z0-9])(?:{'|'.join(ended)})"
+
+
 MORE = (
     Kind(
         "iban",
-        # In one piece, or as printed: groups of four and a last one of up to four.
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,4})?)(?![A-Za-z0-9])",
+        _iban_pattern(),
         r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11}|(?:\x20[A-Z0-9]{4}){2})",
         _iban,
         0.8,
@@ -139,32 +166,34 @@ def found(text: Column, kind: Kind) -> Column:
     matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     pieces = F.split(text, kind.pattern, -1)
     rows = F.arrays_zip(pieces.alias("before"), matches.alias("match"), F.slice(pieces, 2, 1 << 30).alias("after"))
-    empty = F.array().cast(f"array<{SPAN}>")
 
     def near(row: Column) -> Column:
         before = F.substring(row["before"], -CONTEXT, CONTEXT)
         after = F.substring(row["after"], 1, CONTEXT)
         return F.lower(F.concat_ws(" ", before, after)).rlike(kind.context)
 
-    def step(acc: Column, row: Column) -> Column:
-        start = acc["at"] + F.length(row["before"])
-        end = start + F.coalesce(F.length(row["match"]), F.lit(0))
+    def span(row: Column, at: Column) -> Column:
+        start = at + F.length(row["before"])
         gain = F.when(near(row), CONTEXT_GAIN).otherwise(0.0)
-        span = F.struct(
-            F.lit(kind.name).alias("kind"),
-            start.cast("bigint").alias("start"),
-            end.cast("bigint").alias("end"),
-            (F.lit(kind.score) + gain).alias("score"),
-        )
         good = row["match"].isNotNull() & kind.check(row["match"])
-        return F.struct(
-            end.cast("bigint").alias("at"),
-            F.when(good, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"),
+        return F.when(
+            good,
+            F.struct(
+                F.lit(kind.name).alias("kind"),
+                start.cast("bigint").alias("start"),
+                (start + F.length(row["match"])).cast("bigint").alias("end"),
+                (F.lit(kind.score) + gain).alias("score"),
+            ),
         )
 
-    begin = F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("spans"))
-    spans = F.aggregate(rows, begin, step, lambda acc: acc["spans"])
-    return F.when(text.rlike(kind.quick), spans).otherwise(empty)
+    def placed(rows: Column) -> Column:
+        lengths = F.transform(
+            rows, lambda r: (F.length(r["before"]) + F.coalesce(F.length(r["match"]), F.lit(0))).cast("bigint")
+        )
+        return F.filter(F.zip_with(rows, running(lengths), span), lambda s: s.isNotNull())
+
+    empty = F.array().cast(f"array<{SPAN}>")
+    return F.when(text.rlike(kind.quick), let(rows, placed)).otherwise(empty)
 
 
 def scan(docs: DataFrame, kinds: Sequence[Kind] = BASE + MORE) -> DataFrame:
@@ -203,26 +232,22 @@ def redacted(text: Column, spans: Column) -> Column:
         F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("last"), s["kind"].alias("kind")))
     )
 
-    def step(acc: Column, s: Column) -> Column:
-        free = s["start"] >= acc["at"]
-        kept = F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        mark = F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        return F.struct(
-            F.greatest(acc["at"], -s["last"]).alias("at"),
-            F.when(free, F.concat(acc["parts"], F.array(kept, mark))).otherwise(acc["parts"]).alias("parts"),
-        )
+    def marked(spans: Column) -> Column:
+        ends = F.transform(spans, lambda s: -s["last"])
+        reached = running(ends, greater)
 
-    begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("parts"))
-    whole = F.aggregate(
-        ordered,
-        begin,
-        step,
-        lambda acc: F.concat(
-            F.array_join(acc["parts"], ""),
-            F.substring(text, (acc["at"] + 1).cast("int"), F.length(text)),
-        ),
-    )
-    return F.when(F.size(spans) > 0, whole).otherwise(text)
+        def part(blocks: Column, s: Column, at: Column) -> Column:
+            mark = F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
+            return F.when(s["start"] >= at, F.concat(cut(blocks, at, s["start"]), mark)).otherwise("")
+
+        def whole(blocks: Column) -> Column:
+            parts = F.zip_with(spans, reached, lambda s, at: part(blocks, s, at))
+            rest = cut(blocks, F.array_max(ends), F.length(text).cast("bigint"))
+            return F.concat(F.array_join(parts, ""), rest)
+
+        return let(text_blocks(text), whole)
+
+    return F.when(F.size(spans) > 0, let(ordered, marked)).otherwise(text)
 
 
 def redact(docs: DataFrame, kinds: Sequence[Kind] = BASE + MORE) -> DataFrame:
