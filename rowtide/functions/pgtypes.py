@@ -7,7 +7,7 @@ from pyspark.sql import Column, functions as F, types as T
 from rowtide.functions.json_text import json_scalar, plain_decimal, quote
 
 # Public type oids and the Spark type each decodes to. Types not
-# listed (uuid, inet, enum, interval, composite ...) stay text.
+# listed (uuid, inet, enum, composite ...) stay text.
 SPARK_TYPES = {
     16: T.BooleanType(),
     17: T.BinaryType(),
@@ -45,6 +45,10 @@ ELEMENTS = {
     2951: 2950,
 }
 SPARK_TYPES |= {oid: T.ArrayType(SPARK_TYPES.get(of, T.StringType())) for oid, of in ELEMENTS.items()}
+# Range and multirange types and the types of their bounds.
+RANGES = {3904: 23, 3906: 1700, 3908: 1114, 3910: 1184, 3912: 1082, 3926: 20}
+MULTIRANGES = {4451: 23, 4532: 1700, 4533: 1114, 4534: 1184, 4535: 1082, 4536: 20}
+INTERVAL = 1186
 TEXT_OIDS = (25, 1042, 1043)
 FLOAT_OIDS = (700, 701, 1021, 1022)
 NUMERIC = 1700
@@ -53,6 +57,15 @@ _NUMBER = r"^-?[0-9]+(\.[0-9]+)?$"
 # A quoted element, a mark, or a bare element.
 _ARRAY_PART = r'"(?:[^"\\]|\\[\s\S])*+"|[{},]|[^{},"]++'
 _ARRAY = r"^\{[\s\S]*\}$"
+# A range's text: brackets and two bounds, each bare, quoted or left out.
+_BOUND = r'("(?:[^"\\]|\\[\s\S]|"")*+"|[^,"()\[\]{}]*+)'
+_RANGE = rf"([\[(]){_BOUND},{_BOUND}([\])])"
+_MULTIRANGE = rf"^\{{(?:{_RANGE}(?:,{_RANGE})*+)?\}}$"
+# Years, months, days, and a signed time of day, each left out where it is zero.
+_INTERVAL = (
+    r"^(?=.)(?:([+-]?\d+) years?)?(?:(?:^| )([+-]?\d+) mons?)?(?:(?:^| )([+-]?\d+) days?)?"
+    r"(?:(?:^| )([+-]?)(\d+):(\d\d):(\d\d)(?:\.(\d{1,6}))?)?$"
+)
 _HEX_BYTES = r"^\\x([0-9A-Fa-f]{2})*$"
 
 
@@ -132,6 +145,66 @@ def _element_json(raw: Column, oid: Column) -> Column:
     return result.otherwise(quote(raw))
 
 
+def _bound_json(bound: Column, element: Column) -> Column:
+    """JSON of one bound, the word null where it is left out, NULL where it does not parse."""
+    inner = F.replace(F.substring(bound, F.lit(2), F.length(bound) - 2), F.lit('""'), F.lit('"'))
+    plain = F.regexp_replace(inner, r"\\([\s\S])", "$1")
+    value = _element_json(F.when(bound.startswith('"'), plain).otherwise(bound), element)
+    return F.when(bound == "", "null").otherwise(value)
+
+
+def _one_range(raw: Column, element: Column) -> Column:
+    """JSON of one range, NULL where it does not parse.
+
+    Kinds of bounds are the codes of the letters i(nclusive), e(xclusive),
+    U(nbounded) and E(mpty).
+    """
+    opening, lower, upper, closing = (F.regexp_extract(raw, f"^{_RANGE}$", i) for i in range(1, 5))
+
+    def kind(bound: Column, bracket: Column, inclusive: str) -> Column:
+        return F.when(bound == "", str(ord("U"))).when(bracket == inclusive, str(ord("i"))).otherwise(str(ord("e")))
+
+    def made(low: Column, high: Column, low_kind: Column, high_kind: Column) -> Column:
+        return F.concat(
+            F.lit('{"Lower":'), low, F.lit(',"Upper":'), high, F.lit(',"LowerType":'), low_kind,
+            F.lit(',"UpperType":'), high_kind, F.lit(',"Valid":true}'),
+        )
+
+    null, empty = F.lit("null"), F.lit(str(ord("E")))
+    whole = made(
+        _bound_json(lower, element), _bound_json(upper, element), kind(lower, opening, "["), kind(upper, closing, "]")
+    )
+    return F.when(raw == "empty", made(null, null, empty, empty)).when(opening != "", whole)
+
+
+def _ranges_json(raw: Column, element: Column) -> Column:
+    """JSON of a multirange: an array of its ranges."""
+    texts = F.transform(F.regexp_extract_all(raw, F.lit(_RANGE), F.lit(0)), lambda r: _one_range(r, element))
+    good = raw.rlike(_MULTIRANGE) & ~F.exists(texts, lambda t: t.isNull())
+    return F.when(good, F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]")))
+
+
+def _interval_json(raw: Column) -> Column:
+    """JSON of an interval: microseconds, days and months, which do not convert into each other."""
+
+    def number(group: int) -> Column:
+        text = F.regexp_extract(raw, _INTERVAL, group)
+        return F.when(text == "", F.lit(0)).otherwise(text.try_cast("bigint")).cast("bigint")
+
+    seconds = (number(5) * 60 + number(6)) * 60 + number(7)
+    fraction = F.rpad(F.regexp_extract(raw, _INTERVAL, 8), 6, "0").cast("bigint")
+    sign = F.when(F.regexp_extract(raw, _INTERVAL, 4) == "-", -1).otherwise(1)
+    parts = {
+        "Microseconds": (seconds * 1_000_000 + fraction) * sign,
+        "Days": number(3),
+        "Months": number(1) * 12 + number(2),
+    }
+    members = [F.concat(F.lit(f'"{name}":'), value.cast("string")) for name, value in parts.items()]
+    return F.when(
+        raw.rlike(_INTERVAL), F.concat(F.lit("{"), F.concat(*[x for m in members for x in (m, F.lit(","))]), F.lit('"Valid":true}'))
+    )
+
+
 def json_text(raw: Column, oid: int | Column) -> Column:
     """JSON text of a column's log text by its declared type.
 
@@ -150,11 +223,22 @@ def json_text(raw: Column, oid: int | Column) -> Column:
             result = result.when(oid == kind, _json_text(raw, kind))
     elements = F.create_map(*[F.lit(x) for pair in ELEMENTS.items() for x in pair])
     result = result.when(oid.isin(*ELEMENTS), _array_json(raw, F.element_at(elements, oid.cast("int"))))
+    for family, text in ((RANGES, _one_range), (MULTIRANGES, _ranges_json)):
+        bounds = F.create_map(*[F.lit(x) for pair in family.items() for x in pair])
+        element = F.element_at(bounds, oid.cast("int"))
+        result = result.when(oid.isin(*family), F.coalesce(text(raw, element), quote(raw)))
+    result = result.when(oid == INTERVAL, F.coalesce(_interval_json(raw), quote(raw)))
     return result.otherwise(quote(raw))
 
 
 def _json_text(raw: Column, oid: int) -> Column:
     dtype = spark_type(oid)
+    if oid in RANGES:
+        return F.coalesce(_one_range(raw, F.lit(RANGES[oid])), quote(raw))
+    if oid in MULTIRANGES:
+        return F.coalesce(_ranges_json(raw, F.lit(MULTIRANGES[oid])), quote(raw))
+    if oid == INTERVAL:
+        return F.coalesce(_interval_json(raw), quote(raw))
     if isinstance(dtype, T.StringType):
         return quote(raw)
     if oid == NUMERIC:

@@ -607,3 +607,32 @@ def decode_array_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = rows.select("id", json_text(raw, F.lit(1009)).alias("json"), typed.alias("typed"))
     same = json_scalar(F.col("typed"), made.schema["typed"].dataType) == F.col("json")
     return made.select("id", "json", same.alias("same_bytes"))
+
+
+@query("""
+    SELECT o_orderkey,
+      '{"Lower":' || o_orderkey || ',"Upper":' || o_orderkey + o_custkey || ',"LowerType":105,"UpperType":101,"Valid":true}' AS keys,
+      '{"Lower":"' || strftime(o_orderdate, '%Y-%m-%dT00:00:00Z') || '","Upper":null,"LowerType":105,"UpperType":85,"Valid":true}' AS days,
+      '[{"Lower":null,"Upper":0,"LowerType":85,"UpperType":105,"Valid":true},{"Lower":' || o_custkey
+        || ',"Upper":' || o_custkey + 1 || ',"LowerType":101,"UpperType":101,"Valid":true}]' AS customers,
+      '{"Microseconds":' || -(o_custkey % 100 * 3600000000 + 1500000) || ',"Days":' || o_orderkey % 30
+        || ',"Months":' || 12 + o_custkey % 12 || ',"Valid":true}' AS term
+    FROM orders""")
+def decode_range_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges, multiranges and intervals in text form as JSON."""
+    orders = table(spark, sf_dir, "orders")
+    day = F.col("o_orderdate").cast("date").cast("string")
+    customer = F.col("o_custkey")
+    hours = F.lpad((customer % 100).cast("string"), 2, "0")
+    raw = {
+        "keys": (3926, F.concat(F.lit("["), "o_orderkey", F.lit(","), F.col("o_orderkey") + customer, F.lit(")"))),
+        "days": (3912, F.concat(F.lit("["), day, F.lit(",)"))),
+        "customers": (4536, F.concat(F.lit("{(,0],("), customer, F.lit(","), customer + 1, F.lit(")}"))),
+        "term": (
+            1186,
+            F.concat(
+                F.lit("1 year "), customer % 12, F.lit(" mons "), F.col("o_orderkey") % 30, F.lit(" days -"), hours, F.lit(":00:01.5")
+            ),
+        ),
+    }
+    return orders.select("o_orderkey", *[json_text(text, oid).alias(name) for name, (oid, text) in raw.items()])

@@ -107,6 +107,30 @@ DECODED = [
     (2951, "{00000000-0000-0000-0000-000000000001}", '["00000000-0000-0000-0000-000000000001"]'),
     (1009, "{{a},{b}", '"{{a},{b}"'),
     (1022, "{1.5,NaN}", '"{1.5,NaN}"'),
+    (3904, "[1,10)", '{"Lower":1,"Upper":10,"LowerType":105,"UpperType":101,"Valid":true}'),
+    (3926, "(,5]", '{"Lower":null,"Upper":5,"LowerType":85,"UpperType":105,"Valid":true}'),
+    (3906, "(-1.50,)", '{"Lower":-1.5,"Upper":null,"LowerType":101,"UpperType":85,"Valid":true}'),
+    (3904, "empty", '{"Lower":null,"Upper":null,"LowerType":69,"UpperType":69,"Valid":true}'),
+    (3904, "[1,x)", '"[1,x)"'),
+    (3904, "[1,2", '"[1,2"'),
+    (
+        3908,
+        '["2026-01-15 10:00:00","2026-01-16 00:00:00")',
+        '{"Lower":"2026-01-15T10:00:00Z","Upper":"2026-01-16T00:00:00Z","LowerType":105,"UpperType":101,"Valid":true}',
+    ),
+    (4451, "{}", "[]"),
+    (
+        4451,
+        "{[1,3),[5,)}",
+        '[{"Lower":1,"Upper":3,"LowerType":105,"UpperType":101,"Valid":true},'
+        '{"Lower":5,"Upper":null,"LowerType":105,"UpperType":85,"Valid":true}]',
+    ),
+    (4451, "{[1,3),}", '"{[1,3),}"'),
+    (1186, "1 year 2 mons -3 days 04:05:06.7", '{"Microseconds":14706700000,"Days":-3,"Months":14,"Valid":true}'),
+    (1186, "-00:00:01", '{"Microseconds":-1000000,"Days":0,"Months":0,"Valid":true}'),
+    (1186, "-1 mons", '{"Microseconds":0,"Days":0,"Months":-1,"Valid":true}'),
+    (1186, "P1Y", '"P1Y"'),
+    (1186, "", '""'),
 ]
 
 
