@@ -153,35 +153,48 @@ def _bound_json(bound: Column, element: Column) -> Column:
     return F.when(bound == "", "null").otherwise(value)
 
 
-def _one_range(raw: Column, element: Column) -> Column:
-    """JSON of one range, NULL where it does not parse.
+def _range_texts(raw: Column, element: Column) -> Column:
+    """JSON of each range in a text, NULL for one that does not parse.
 
-    Kinds of bounds are the codes of the letters i(nclusive), e(xclusive),
-    U(nbounded) and E(mpty).
+    Kinds of bounds are the codes of the letters i(nclusive), e(xclusive) and
+    U(nbounded).
     """
-    opening, lower, upper, closing = (F.regexp_extract(raw, f"^{_RANGE}$", i) for i in range(1, 5))
 
     def kind(bound: Column, bracket: Column, inclusive: str) -> Column:
-        return F.when(bound == "", str(ord("U"))).when(bracket == inclusive, str(ord("i"))).otherwise(str(ord("e")))
+        return F.when(bound == "null", str(ord("U"))).when(bracket == inclusive, str(ord("i"))).otherwise(str(ord("e")))
 
-    def made(low: Column, high: Column, low_kind: Column, high_kind: Column) -> Column:
+    def made(text: Column, bounds: Column) -> Column:
+        low, high = F.get(bounds, F.lit(0)), F.get(bounds, F.lit(1))
         return F.concat(
-            F.lit('{"Lower":'), low, F.lit(',"Upper":'), high, F.lit(',"LowerType":'), low_kind,
-            F.lit(',"UpperType":'), high_kind, F.lit(',"Valid":true}'),
+            F.lit('{"Lower":'), low,
+            F.lit(',"Upper":'), high,
+            F.lit(',"LowerType":'), kind(low, F.substring(text, 1, 1), "["),
+            F.lit(',"UpperType":'), kind(high, F.substring(text, -1, 1), "]"),
+            F.lit(',"Valid":true}'),
         )
 
-    null, empty = F.lit("null"), F.lit(str(ord("E")))
-    whole = made(
-        _bound_json(lower, element), _bound_json(upper, element), kind(lower, opening, "["), kind(upper, closing, "]")
-    )
-    return F.when(raw == "empty", made(null, null, empty, empty)).when(opening != "", whole)
+    def one(text: Column) -> Column:
+        bounds = F.array(*[F.regexp_extract(text, _RANGE, i) for i in (2, 3)])
+        values = F.transform(bounds, lambda b: _bound_json(b, element))
+        return F.get(F.transform(F.array(values), lambda v: made(text, v)), F.lit(0))
+
+    return F.transform(F.regexp_extract_all(raw, F.lit(_RANGE), F.lit(0)), one)
+
 
+def _range_json(raw: Column, element: Column, many: Column) -> Column:
+    """JSON of a range, or of a multirange as an array; NULL where it does not parse."""
+    empty = str(ord("E"))
+    nothing = f'{{"Lower":null,"Upper":null,"LowerType":{empty},"UpperType":{empty},"Valid":true}}'
+
+    def whole(texts: Column) -> Column:
+        joined = F.array_join(texts, ",")
+        good = ~F.exists(texts, lambda t: t.isNull())
+        return F.when(~many & raw.rlike(f"^{_RANGE}$") & good, joined).when(
+            many & raw.rlike(_MULTIRANGE) & good, F.concat(F.lit("["), joined, F.lit("]"))
+        )
 
-def _ranges_json(raw: Column, element: Column) -> Column:
-    """JSON of a multirange: an array of its ranges."""
-    texts = F.transform(F.regexp_extract_all(raw, F.lit(_RANGE), F.lit(0)), lambda r: _one_range(r, element))
-    good = raw.rlike(_MULTIRANGE) & ~F.exists(texts, lambda t: t.isNull())
-    return F.when(good, F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]")))
+    found = F.get(F.transform(F.array(_range_texts(raw, element)), whole), F.lit(0))
+    return F.when(~many & (raw == "empty"), nothing).otherwise(found)
 
 
 def _interval_json(raw: Column) -> Column:
@@ -223,20 +236,18 @@ def json_text(raw: Column, oid: int | Column) -> Column:
             result = result.when(oid == kind, _json_text(raw, kind))
     elements = F.create_map(*[F.lit(x) for pair in ELEMENTS.items() for x in pair])
     result = result.when(oid.isin(*ELEMENTS), _array_json(raw, F.element_at(elements, oid.cast("int"))))
-    for family, text in ((RANGES, _one_range), (MULTIRANGES, _ranges_json)):
-        bounds = F.create_map(*[F.lit(x) for pair in family.items() for x in pair])
-        element = F.element_at(bounds, oid.cast("int"))
-        result = result.when(oid.isin(*family), F.coalesce(text(raw, element), quote(raw)))
+    bounds = F.create_map(*[F.lit(x) for pair in (RANGES | MULTIRANGES).items() for x in pair])
+    ranges = _range_json(raw, F.element_at(bounds, oid.cast("int")), oid.isin(*MULTIRANGES))
+    result = result.when(oid.isin(*RANGES, *MULTIRANGES), F.coalesce(ranges, quote(raw)))
     result = result.when(oid == INTERVAL, F.coalesce(_interval_json(raw), quote(raw)))
     return result.otherwise(quote(raw))
 
 
 def _json_text(raw: Column, oid: int) -> Column:
     dtype = spark_type(oid)
-    if oid in RANGES:
-        return F.coalesce(_one_range(raw, F.lit(RANGES[oid])), quote(raw))
-    if oid in MULTIRANGES:
-        return F.coalesce(_ranges_json(raw, F.lit(MULTIRANGES[oid])), quote(raw))
+    if oid in RANGES or oid in MULTIRANGES:
+        element = (RANGES | MULTIRANGES)[oid]
+        return F.coalesce(_range_json(raw, F.lit(element), F.lit(oid in MULTIRANGES)), quote(raw))
     if oid == INTERVAL:
         return F.coalesce(_interval_json(raw), quote(raw))
     if isinstance(dtype, T.StringType):
