@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
+from rowtide.operators.sizes import broadcast_if_small
 from rowtide.schemas import RELATION_MSG
 from rowtide.session import use_checkpoints
 
@@ -14,6 +16,8 @@ LOCAL_VERSIONS = 5_000
 LOCAL_BYTES = 32 * 1024 * 1024
 # Versions of one relation that a change may be compared with.
 CANDIDATES = 16
+# Relations with more than one slice that every task may hold.
+SLICED_RELATIONS = 500_000
 # Announcements of one relation that one window sorts.
 WINDOW_ROWS = 100_000
 
@@ -66,10 +70,12 @@ class History:
 
     Relations are announced again in every session, so repeats are dropped
     first. What is left is usually small: it is fetched behind a limit and
-    broadcast. A longer history stays distributed. Either way the join key is
-    the relation and a slice of its own position range, with as many slices as
-    keep the versions a change is compared with few; they also spread a hot
-    relation over many join keys. A version is copied into each slice it reaches
+    broadcast. A longer history stays distributed, and the changes are shuffled
+    to it once. Either way the join key is the relation and a slice of its own
+    position range, with as many slices as keep the versions a change is
+    compared with few; they also spread a hot relation over many join keys.
+    Only relations with more than one slice are looked up, in a broadcast of
+    checked size; the others need no lookup. A version is copied into each slice it reaches
     into: a relation's copies are at most its versions and its slices together,
     so what is broadcast is at most about twice what was checked.
     """
@@ -106,18 +112,20 @@ class History:
             # Used several times below, so it is computed once.
             use_checkpoints(versions.sparkSession)
             changed = changed.checkpoint()
-            self.slicing = _slicing(changed)
+            self.slicing = broadcast_if_small(_slicing(changed), SLICED_RELATIONS)
             self.frame = self._spread(self._intervals(changed))
         else:
             intervals = self._local_intervals(changed)
-            self.slicing = F.broadcast(
-                _slicing(
-                    intervals.select(
-                        F.col("_relation_id").alias("relation_id"),
-                        F.struct(F.col("_from_pos").alias("commit_pos")).alias("valid_from"),
+            self.slicing = None
+            if max(Counter(r.relation_id for r in rows).values(), default=0) > CANDIDATES:
+                self.slicing = F.broadcast(
+                    _slicing(
+                        intervals.select(
+                            F.col("_relation_id").alias("relation_id"),
+                            F.struct(F.col("_from_pos").alias("commit_pos")).alias("valid_from"),
+                        )
                     )
                 )
-            )
             self.frame = F.broadcast(self._spread(intervals))
 
     def attach(self, changes: DataFrame) -> DataFrame:
@@ -128,8 +136,7 @@ class History:
         )
         ended = (pos > F.col("_to_pos")) | ((pos == F.col("_to_pos")) & (place >= F.col("_to_ord")))
         return (
-            changes.join(self.slicing, F.col("relation_id") == F.col("_sliced"), "left")
-            .withColumn("_slice", _slice_of(pos))
+            self._sliced(changes, "relation_id", _slice=pos)
             .join(
                 self.frame,
                 (F.col("relation_id") == F.col("_relation_id"))
@@ -138,9 +145,16 @@ class History:
                 & ~ended,
                 "left",
             )
-            .drop("_slice", "_version_slice", "_relation_id", *_SLICING, *_BOUNDS)
+            .drop("_slice", "_version_slice", "_relation_id", *_BOUNDS)
         )
 
+    def _sliced(self, rows: DataFrame, relation: str, **places: Column) -> DataFrame:
+        """Rows with the slice that each named position falls into."""
+        if self.slicing is None:
+            return rows.withColumns({name: F.lit(0).cast("bigint") for name in places})
+        found = rows.join(self.slicing, F.col(relation) == F.col("_sliced"), "left")
+        return found.withColumns({name: _slice_of(at) for name, at in places.items()}).drop(*_SLICING)
+
     def _without_repeats(self, versions: DataFrame, most: int) -> DataFrame:
         """Versions that differ from the one before, to within one per window."""
         windows = max(1, ceil(most / WINDOW_ROWS))
@@ -180,8 +194,7 @@ class History:
         The next version is looked up inside the slice and, for the last one
         of a slice, in the relation's next occupied slice.
         """
-        sliced = changed.join(self.slicing, F.col("relation_id") == F.col("_sliced"))
-        cut = sliced.withColumn("_cut", _slice_of(F.col("valid_from.commit_pos"))).drop(*_SLICING)
+        cut = self._sliced(changed, "relation_id", _cut=F.col("valid_from.commit_pos"))
         inside = Window.partitionBy("relation_id", "_cut").orderBy("valid_from")
         across = Window.partitionBy("relation_id").orderBy("_cut")
         first = cut.groupBy("relation_id", "_cut").agg(F.min("valid_from").alias("_first"))
@@ -204,31 +217,35 @@ class History:
 
     def _spread(self, intervals: DataFrame) -> DataFrame:
         """One row per interval and slice it reaches into."""
-        sliced = intervals.join(self.slicing, F.col("_relation_id") == F.col("_sliced"))
-        reached = F.sequence(_slice_of(F.col("_from_pos")), _slice_of(F.col("_to_pos")))
-        return sliced.withColumn("_version_slice", F.explode(reached)).drop(*_SLICING)
+        sliced = self._sliced(
+            intervals, "_relation_id", _first=F.col("_from_pos"), _last=F.col("_to_pos")
+        )
+        reached = F.explode(F.sequence("_first", "_last"))
+        return sliced.withColumn("_version_slice", reached).drop("_first", "_last")
 
 
 _SLICING = ("_sliced", "_low", "_width", "_slices")
 
 
 def _slicing(versions: DataFrame) -> DataFrame:
-    """How each relation's position range is cut: one row per relation."""
+    """How the position range of each relation with more than `CANDIDATES` versions is cut."""
     place = F.col("valid_from.commit_pos")
     ranges = versions.groupBy("relation_id").agg(
         F.min(place).alias("_low"), F.max(place).alias("_high"), F.count("*").alias("_n")
     )
     slices = F.ceil(F.col("_n") / CANDIDATES)
     width = F.greatest(F.ceil((F.col("_high") - F.col("_low") + 1) / slices), F.lit(1))
-    return ranges.select(
+    return ranges.filter(F.col("_n") > CANDIDATES).select(
         F.col("relation_id").alias("_sliced"), "_low", width.alias("_width"), slices.alias("_slices")
     )
 
 
 def _slice_of(commit_pos: Column) -> Column:
+    """Slice of a position; 0 for relations that are not cut."""
     last = F.col("_low") + F.col("_width") * F.col("_slices") - 1
     inside = F.greatest(F.least(commit_pos, last), F.col("_low"))
-    return F.floor((inside - F.col("_low")) / F.col("_width")).cast("bigint")
+    found = F.floor((inside - F.col("_low")) / F.col("_width")).cast("bigint")
+    return F.when(F.col("_sliced").isNull(), F.lit(0).cast("bigint")).otherwise(found)
 
 
 def relation_asof(changes: DataFrame, versions: DataFrame) -> DataFrame:

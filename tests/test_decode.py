@@ -262,6 +262,45 @@ def test_versions_are_not_multiplied(spark):
     assert got == [(0, 1, "t0"), (0, 10, "v0"), (0, 155, "v145"), (0, 400, "v299"), (0, 9, "t0"), (7, 0, None), (7, 1, "t7")]
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_a_hot_relation_is_shuffled_once(spark, monkeypatch, tmp_path, small):
+    """One relation holds 90 % of the changes; many others have a version or two."""
+    from rowtide.operators.relations import History
+
+    monkeypatch.setattr(relations, "LOCAL_VERSIONS", 0)
+    if not small:
+        monkeypatch.setattr(relations, "SLICED_RELATIONS", 0)
+    at = F.struct(F.col("id").alias("commit_pos"), F.lit(0).cast("bigint").alias("ord"))
+    hot = spark.range(0, 20_000, 40).select(F.lit(0).cast("bigint").alias("relation_id"), at.alias("valid_from"))
+    cold = spark.range(6_000).select((F.col("id") % 3_000 + 1).alias("relation_id"), at.alias("valid_from"))
+    versions = hot.unionByName(cold).withColumn("name", F.concat_ws(".", "relation_id", "valid_from.commit_pos"))
+    rel = F.when(F.col("id") % 10 == 0, F.col("id") % 3_500 + 1).otherwise(0)
+    spark.range(20_000).select(
+        rel.alias("relation_id"), F.col("id").alias("commit_pos"), F.lit(1).cast("bigint").alias("ord")
+    ).write.parquet(str(tmp_path / "changes"))
+    changes = spark.read.parquet(str(tmp_path / "changes"))
+    known = History(versions)
+    got = {(r.relation_id, r.commit_pos): r.name for r in known.attach(changes).collect()}
+    assert len(got) == 20_000
+    for (relation, pos), name in got.items():
+        if relation == 0:
+            assert name == f"0.{pos // 40 * 40}"
+        else:
+            begun = [p for p in (relation - 1, relation + 2_999) if p <= pos and relation <= 3_000]
+            assert name == (f"{relation}.{begun[-1]}" if begun else None)
+    most = known.frame.groupBy("_relation_id", "_version_slice").count().agg({"count": "max"}).first()[0]
+    assert most <= 3 * relations.CANDIDATES
+    if small:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        try:
+            plans = [d._jdf.queryExecution().sparkPlan().toString() for d in (known.attach(changes), known.frame)]
+            joins = [p.count("SortMergeJoin") for p in plans]
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        # One join more than the versions have themselves shuffles: that with the changes.
+        assert joins[0] == joins[1] + 1
+
+
 def test_a_delete_needs_its_key_alone(spark, encoder):
     full = [("id", 20, 1), ("name", 25, 1), ("score", 701, 1)]
     pk = spark.createDataFrame([("public.t", ["id"])], "table string, pk_columns array<string>")
