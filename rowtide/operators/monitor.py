@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from math import ceil, log2
+
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from rowtide.functions.lsn import retained_bytes
+from rowtide.operators.sizes import broadcast_if_small
 from rowtide.schemas import DELETE, INSERT, SNAPSHOT, UPDATE
+from rowtide.session import use_checkpoints
 
 RETENTION_WARN_BYTES = 512 * 1024 * 1024
+# Rows that one range of keys holds on the mean.
+RANGE_ROWS = 10_000
+MOST_RANGE_BITS = 32
 
 # Name of the publishing stage of each change operation.
 STAGES = {INSERT: "insert", UPDATE: "update", DELETE: "delete"}
@@ -155,3 +162,90 @@ def table_topic_parity(table_keys: DataFrame, topic: DataFrame) -> DataFrame:
         F.count_if(F.col("t") == 0).alias("missing_keys"),
         F.count_if(F.col("s") == 0).alias("extra_keys"),
     ).withColumn("in_parity", F.expr("table_rows = topic_rows AND missing_keys = 0 AND extra_keys = 0"))
+
+
+def range_bits(rows: int, range_rows: int = RANGE_ROWS) -> int:
+    """Bits of the key's hash that make ranges of about `range_rows` rows."""
+    return min(MOST_RANGE_BITS, max(0, ceil(log2(max(1, rows) / range_rows))))
+
+
+def range_digests(rows: DataFrame, bits: int) -> DataFrame:
+    """`rows(table, key, value)` as `table, range, rows, digest`: one row a range.
+
+    A range holds the keys whose hash begins with the same `bits` bits, so both
+    sides cut alike without knowing each other, and ranges are even. The digest
+    is the sum of the rows' hashes: it does not depend on their order, counts
+    repeated rows and combines before the shuffle. A NULL key or value differs
+    from an empty one.
+    """
+    row = F.xxhash64(*[x for c in ("key", "value") for x in (F.col(c).isNull(), F.col(c))])
+    return (
+        rows.withColumn("range", _range_of(bits))
+        .groupBy("table", "range")
+        .agg(F.count("*").alias("rows"), F.sum(row.cast("decimal(20,0)")).alias("digest"))
+    )
+
+
+def differing_ranges(source: DataFrame, target: DataFrame) -> DataFrame:
+    """Ranges whose rows differ, as `table, range`; one row a range and side is shuffled.
+
+    A range without rows has no digest, so one on a single side differs.
+    """
+    sides = source.withColumn("_n", F.lit(1)).unionByName(target.withColumn("_n", F.lit(-1)))
+    signed = [F.sum(F.col(c) * F.col("_n")).alias(c) for c in ("rows", "digest")]
+    return (
+        sides.groupBy("table", "range")
+        .agg(*signed, F.sum("_n").alias("_n"))
+        .filter("rows <> 0 OR digest <> 0 OR _n <> 0")
+        .select("table", "range")
+    )
+
+
+def rows_in_ranges(rows: DataFrame, ranges: DataFrame, bits: int) -> DataFrame:
+    """The rows whose keys fall into the given ranges."""
+    return rows.withColumn("range", _range_of(bits)).join(ranges, ["table", "range"], "left_semi")
+
+
+def differing_keys(source: DataFrame, target: DataFrame, bits: int | None = None) -> DataFrame:
+    """Keys whose rows differ between two sides, as `table, key, fault`.
+
+    Both sides are `(table, key, value)`, with any number of rows a key. `fault` is
+    `missing` (in the source alone), `extra` (in the target alone) or `changed`.
+    Equal ranges send one digest a side; only keys of ranges that differ are
+    compared, by the count and sum of their rows' hashes, which combine before the
+    shuffle. Each side is read twice, the second time for the ranges that differ.
+    """
+    if bits is None:
+        bits = range_bits(source.count())
+    differing = differing_ranges(range_digests(source, bits), range_digests(target, bits))
+    # Small unless the sides have little in common; used twice.
+    use_checkpoints(source.sparkSession)
+    ranges = broadcast_if_small(differing.checkpoint())
+    row = F.xxhash64(F.col("value").isNull(), "value").cast("decimal(20,0)")
+    sides = [
+        rows_in_ranges(rows.select("table", "key", "value"), ranges, bits)
+        .groupBy("table", "key")
+        .agg(F.count("*").alias("n"), F.sum(row).alias("digest"))
+        .select("table", "key", F.lit(sign).alias("side"), "n", "digest")
+        for rows, sign in ((source, 1), (target, -1))
+    ]
+    per_key = (
+        sides[0]
+        .unionByName(sides[1])
+        .groupBy("table", "key")
+        .agg(
+            F.sum("side").alias("side"),
+            F.sum(F.col("side") * F.col("n")).alias("n"),
+            F.sum(F.col("side") * F.col("digest")).alias("digest"),
+        )
+    )
+    fault = F.when(F.col("side") == 1, "missing").when(F.col("side") == -1, "extra")
+    return per_key.filter("side <> 0 OR n <> 0 OR digest <> 0").select(
+        "table", "key", F.coalesce(fault, F.lit("changed")).alias("fault")
+    )
+
+
+def _range_of(bits: int) -> Column:
+    """The first bits of the key's hash."""
+    hashed = F.xxhash64("table", F.col("key").isNull(), "key")
+    return F.shiftrightunsigned(hashed, 64 - bits) if bits else F.lit(0).cast("bigint")

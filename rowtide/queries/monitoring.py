@@ -8,8 +8,10 @@ from rowtide.functions.lsn import format_lsn
 from rowtide.operators.decode import decode_changes
 from rowtide.operators.messages import split_quarantine
 from rowtide.operators.monitor import (
+    differing_keys,
     errors_by_stage,
     events_by_table_op,
+    range_bits,
     retention_alerts,
     rows_by_table,
     slot_health,
@@ -153,6 +155,26 @@ def table_topic_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_topic_parity(keys, current_table(published))
 
 
+@query("""
+    SELECT 'public.orders' AS "table", '{"o_orderkey":' || o_orderkey || '}' AS key,
+      CASE WHEN o_orderkey % 1009 = 0 THEN 'missing' ELSE 'changed' END AS fault
+    FROM orders WHERE o_orderkey % 1009 = 0 OR o_orderkey % 2003 = 5
+    UNION ALL
+    SELECT 'public.orders', '{"o_orderkey":' || -o_orderkey || '}', 'extra' FROM orders WHERE o_orderkey % 1511 = 7""")
+def parity_by_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table against its topic by digests of key ranges: rows missing, changed and too many."""
+    orders = table(spark, sf_dir, "orders")
+    customers = snapshot_table(table(spark, sf_dir, "customer"), "public.customer", ["c_custkey"])
+    key, price = F.col("o_orderkey"), F.col("o_totalprice")
+    changed = orders.filter(key % 1009 != 0).withColumn(
+        "o_totalprice", F.when(key % 2003 == 5, price + 1).otherwise(price)
+    )
+    extra = orders.filter(key % 1511 == 7).withColumn("o_orderkey", -key)
+    source = snapshot_table(orders, "public.orders", ["o_orderkey"]).unionByName(customers)
+    topic = snapshot_table(changed.unionByName(extra), "public.orders", ["o_orderkey"]).unionByName(customers)
+    return differing_keys(source, topic, range_bits(orders.count(), 100))
+
+
 @query(f"""
     WITH {FEED_SQL}
     SELECT count(*) AS keepalives, count(*) FILTER (event_type = 'error') AS replies,

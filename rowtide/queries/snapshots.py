@@ -26,6 +26,7 @@ from rowtide.plans.snapshot import SourceObject, read_state, run_snapshot
 from rowtide.queries.registry import query, table
 from rowtide.session import shared_dir
 from rowtide.sources.tables import pin_files, read_pinned
+from rowtide.streaming.views import pinned_views, refresh_once
 
 YEARS = range(1995, 2001)
 
@@ -363,3 +364,37 @@ def pinned_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     pin_files(spark, path, f"{folder}/manifest")
     orders.write.mode("append").partitionBy("o_orderpriority").parquet(path)
     return read_pinned(spark, f"{folder}/manifest").select("o_orderkey", "o_orderpriority")
+
+
+@query("""
+    WITH both_cycles AS (SELECT 1 AS cycle, * FROM orders WHERE o_orderkey % 2 = 0
+      UNION ALL SELECT 2, * FROM orders)
+    SELECT cycle, 'public.per_status' AS "table",
+      '{"n":' || count(*) || ',"o_orderstatus":"' || o_orderstatus || '"}' AS value
+    FROM both_cycles GROUP BY cycle, o_orderstatus
+    UNION ALL
+    SELECT cycle, 'public.per_segment', '{"c_mktsegment":"' || c_mktsegment || '","n":' || count(*) || '}'
+    FROM both_cycles JOIN customer ON o_custkey = c_custkey GROUP BY cycle, c_mktsegment""")
+def refresh_pinned_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two views of a cycle agree although rows come in between their reads."""
+    folder = f"{shared_dir(spark)}/rowtide-{uuid4().hex}"
+    orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    tables = {"orders": f"{folder}/orders", "customer": f"{folder}/customer"}
+    late = orders.filter("o_orderkey % 2 <> 0")
+    orders.filter("o_orderkey % 2 = 0").write.parquet(tables["orders"])
+    customers.write.parquet(tables["customer"])
+
+    def per_status(read):
+        found = read("orders").groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+        if cycle == 1:
+            late.write.mode("append").parquet(tables["orders"])
+        return found
+
+    def per_segment(read):
+        placed = read("orders").join(read("customer"), F.col("o_custkey") == F.col("c_custkey"))
+        return placed.groupBy("c_mktsegment").agg(F.count("*").alias("n"))
+
+    views = {"public.per_status": per_status, "public.per_segment": per_segment}
+    for cycle in (1, 2):
+        refresh_once(pinned_views(spark, tables, views, f"{folder}/points", cycle), f"{folder}/out", cycle)
+    return spark.read.parquet(f"{folder}/out").select("cycle", "table", "value")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
+# Listings after which tables that never stop growing are given up.
+MOST_LISTINGS = 100
+
 
 def read_if_there(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """A parquet folder, or no rows where the folder does not exist yet.
@@ -52,6 +55,53 @@ def read_pinned(spark: SparkSession, manifest: str) -> DataFrame:
     return spark.read.option("basePath", rows[0].base).parquet(*paths)
 
 
+def pin_cycle(spark: SparkSession, tables: Mapping[str, str], folder: str, cycle_id: int) -> None:
+    """One read point for several parquet tables, `name: path`.
+
+    The tables are listed one after the other until two rounds of listings in
+    a row agree: as files are only added, all tables then looked like this at the
+    time between the two rounds. The manifest is one file, written under
+    `folder/cycle=<id>`; it counts once its job has been committed, and a cycle
+    that has one keeps it, so that a repeated cycle reads what the first did.
+    """
+    if cycle_is_pinned(spark, folder, cycle_id):
+        return
+    before = None
+    for _ in range(MOST_LISTINGS):
+        listed = [
+            (name, path, file)
+            for name, path in sorted(tables.items())
+            for file in sorted(spark.read.parquet(path).inputFiles())
+        ]
+        if listed == before:
+            break
+        before = listed
+    else:
+        raise RuntimeError("the tables changed during every listing")
+    ddl = "table string, base string, file_path string"
+    spark.createDataFrame(listed, ddl).repartition(1).write.mode("overwrite").parquet(
+        f"{folder}/cycle={cycle_id}"
+    )
+
+
+def cycle_is_pinned(spark: SparkSession, folder: str, cycle_id: int) -> bool:
+    """Whether a cycle's manifest was written to its end."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/cycle={cycle_id}/_SUCCESS")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def read_cycle(spark: SparkSession, folder: str, cycle_id: int, table: str) -> DataFrame:
+    """A table as its cycle pinned it."""
+    if not cycle_is_pinned(spark, folder, cycle_id):
+        raise ValueError(f"cycle {cycle_id} has no read point")
+    pinned = spark.read.parquet(f"{folder}/cycle={cycle_id}").filter(F.col("table") == table)
+    rows = pinned.collect()
+    if not rows:
+        raise ValueError(f"table {table} is not in cycle {cycle_id}")
+    paths = sorted(unquote(r.file_path) for r in rows)
+    return spark.read.option("basePath", rows[0].base).parquet(*paths)
+
+
 def jdbc_options(
     url: str,
     table: str,

@@ -8,10 +8,15 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from rowtide.operators.monitor import (
+    differing_keys,
+    differing_ranges,
     errors_by_stage,
     events_by_table_op,
     observe_messages,
+    range_bits,
+    range_digests,
     retention_alerts,
+    rows_in_ranges,
     slot_health,
     snapshot_in_progress,
     table_topic_parity,
@@ -222,3 +227,37 @@ def test_parity(spark):
     topic_rows = snapshot_table(spark.range(1, 6), "t", ["id"])
     assert rows(table_topic_parity(table, topic_rows)) == [("t", 5, 5, 1, 1, False)]
     assert rows(table_topic_parity(table, table), "in_parity") == [(True,)]
+
+
+def test_rows_are_compared_in_differing_ranges_alone(spark):
+    keys = spark.range(20_000).select(F.lit("s.t").alias("table"), F.col("id").cast("string").alias("key"))
+    source = keys.withColumn("value", F.concat(F.lit("v"), "key"))
+    target = source.filter("key <> '77'").withColumn("value", F.when(F.col("key") == "500", "w").otherwise(F.col("value")))
+    target = target.unionByName(spark.createDataFrame([("s.t", "x", "1")], "table string, key string, value string"))
+    assert rows(differing_keys(source, target, 10)) == [("s.t", "500", "changed"), ("s.t", "77", "missing"), ("s.t", "x", "extra")]
+    ranges = differing_ranges(range_digests(source, 10), range_digests(target, 10))
+    assert 1 <= ranges.count() <= 3
+    assert 1 <= rows_in_ranges(source, ranges, 10).count() <= 3 * 60
+    assert range_digests(source, 10).count() <= 1024
+    assert rows(differing_keys(source, source.repartition(3), 10)) == []
+    assert (range_bits(0), range_bits(10_000), range_bits(10_001), range_bits(10**9)) == (0, 0, 1, 17)
+
+
+@pytest.mark.parametrize("bits", [None, 0, 3])
+@pytest.mark.parametrize("seed", range(2))
+def test_differing_keys_match_a_count(spark, seed, bits):
+    """Against multisets: NULL and empty keys and values, repeated rows, empty sides."""
+    rng = random.Random(seed)
+    ddl = "table string, key string, value string"
+
+    def side(n):
+        return [(rng.choice("ab"), rng.choice([None, "", *"cdefgh"]), rng.choice([None, "", "x"])) for _ in range(n)]
+
+    for left, right in ((side(12), side(12)), ([], side(5)), (side(5), []), ([], [])):
+        want = []
+        for table, key in {r[:2] for r in left + right}:
+            mine, other = (sorted((r for r in x if r[:2] == (table, key)), key=repr) for x in (left, right))
+            if mine != other:
+                want.append((table, key, "extra" if not mine else "missing" if not other else "changed"))
+        got = rows(differing_keys(spark.createDataFrame(left, ddl), spark.createDataFrame(right, ddl), bits))
+        assert got == sorted(want, key=repr)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,7 +30,8 @@ from rowtide.streaming.capture import (
     stream_messages,
 )
 from rowtide.streaming.tables import fold_table, read_table, start_table
-from rowtide.streaming.views import refresh_once, start_refresh
+from rowtide.sources.tables import pin_cycle, read_cycle
+from rowtide.streaming.views import pinned_views, refresh_once, start_pinned_refresh, start_refresh
 
 COLUMNS = ("key", "op", "value", "commit_pos")
 
@@ -209,6 +211,61 @@ def test_views_are_refreshed_at_an_interval(spark, tmp_path):
     assert counts == {2}
 
 
+def test_a_cycle_has_one_read_point(spark, tmp_path, monkeypatch):
+    """Tables that grow while they are listed, repeats of a cycle, a manifest cut short."""
+    paths = {"a": str(tmp_path / "a b"), "b": str(tmp_path / "b")}
+    points = str(tmp_path / "points")
+    for path in paths.values():
+        spark.range(2).write.parquet(path)
+
+    def add(_spark, *args):
+        # A row reaches `a` after `a` was listed in the first round, then `b`.
+        if len(grown) < 1:
+            for path in paths.values():
+                spark.range(1).write.mode("append").parquet(path)
+            grown.append(1)
+        return real(_spark, *args)
+
+    grown = []
+    real = type(spark.read).parquet
+    monkeypatch.setattr(type(spark.read), "parquet", lambda r, *p: add(r, *p) if p == (paths["b"],) else real(r, *p))
+    pin_cycle(spark, paths, points, 7)
+    monkeypatch.undo()
+    assert [read_cycle(spark, points, 7, t).count() for t in "ab"] == [3, 3]
+    spark.range(5).write.mode("append").parquet(paths["a"])
+    pin_cycle(spark, paths, points, 7)
+    assert read_cycle(spark, points, 7, "a").count() == 3
+    (tmp_path / "points" / "cycle=7" / "_SUCCESS").unlink()
+    with pytest.raises(ValueError, match="no read point"):
+        read_cycle(spark, points, 7, "a")
+    pin_cycle(spark, paths, points, 7)
+    assert read_cycle(spark, points, 7, "a").count() == 8
+    with pytest.raises(ValueError, match="not in cycle"):
+        read_cycle(spark, points, 7, "c")
+    views = {"s.a": lambda read: read("a"), "s.b": lambda read: read("b")}
+    out = str(tmp_path / "views")
+    assert refresh_once(pinned_views(spark, paths, views, points, 8), out, 8)
+    assert rows(spark.read.parquet(out).groupBy("table").count()) == [("s.a", 8), ("s.b", 3)]
+
+
+def test_pinned_views_are_refreshed_at_an_interval(spark, tmp_path):
+    path, out = str(tmp_path / "t"), str(tmp_path / "views")
+    spark.range(2).write.parquet(path)
+    views = {"s.v": lambda read: read("t"), "s.w": lambda read: read("t")}
+    points, ticks = str(tmp_path / "points"), str(tmp_path / "ticks")
+    query = start_pinned_refresh(spark, {"t": path}, views, points, out, 1, ticks)
+    try:
+        # A cycle may take longer than a tick, so there is no end to wait for.
+        deadline = time.monotonic() + 60
+        while not query.recentProgress and time.monotonic() < deadline:
+            time.sleep(0.2)
+    finally:
+        query.stop()
+    counts = spark.read.parquet(out).groupBy("cycle", "table").count()
+    assert {r["count"] for r in counts.collect()} == {2}
+    assert start_pinned_refresh(spark, {}, {}, points, out, 1, ticks) is None
+
+
 def test_a_start_position_prunes_the_scan(spark, tmp_path):
     """Of a log of 200,000 changes the last hundredth reads a twentieth at most."""
     path = str(tmp_path / "log")
