@@ -87,8 +87,8 @@ class Run:
 def plan_runs(histogram: dict[int, int], capacity: int = CAPACITY, gap: float = GAP) -> list[Run]:
     """Sequences for a histogram of lengths: the program's, which cover all pieces.
 
-    Best fit places the pieces of sequences with room, or all pieces, anew when
-    that takes fewer sequences.
+    What rounding leaves is the pieces of sequences with room: best fit places these
+    anew, beside the program's full sequences, when that takes fewer.
     """
     demand = np.zeros(capacity + 1, np.int64)
     for length, count in histogram.items():
@@ -99,8 +99,7 @@ def plan_runs(histogram: dict[int, int], capacity: int = CAPACITY, gap: float =
     for run in full:
         for n, k in run.lengths:
             left[n] -= k * run.times
-    others = (full + best_fit(left, capacity), best_fit(demand.copy(), capacity))
-    return min(runs, *others, key=lambda x: sum(r.times for r in x))
+    return min(runs, full + best_fit(left, capacity), key=lambda x: sum(r.times for r in x))
 
 
 def configurations(
