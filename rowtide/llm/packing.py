@@ -37,8 +37,8 @@ CAPACITY = 4096
 GAP = 0.02
 #: Lengths among which a round prices its configuration.
 PRICED = 96
-#: Power of the length in a starting weight: short pieces are kept to fill gaps.
-LONG_FIRST = 1.05
+#: Power of the length in a starting weight: long pieces first, short ones are kept to fill gaps.
+LONG_FIRST = 2.0
 #: Pieces whose rank is settled by one sort.
 BUCKET_ROWS = 4_000
 
