@@ -55,18 +55,21 @@ def decode_changes(
     old_key_tombstones: bool = True,
     ts: Column | None = None,
     strict: bool = False,
+    known: History | None = None,
 ) -> DataFrame:
     """Row changes of a positioned log as messages, `error` set for bad ones.
 
     One pass over the log serves every relation and every version of it, with
     names and types taken from the relation messages, so no schema is declared.
-    `versions` is the relation history when it reaches back before this log.
+    `versions` is the relation history when it reaches back before this log, `known`
+    the same when it has been prepared.
     `strict` fails the job on a change of an unknown relation. An update that
     moves a row to another key also ends the old key; without
     `old_key_tombstones` the row stays under both.
     """
-    history = relation_versions(log) if versions is None else versions
-    known = History(described_versions(history, pk, roots))
+    if known is None:
+        history = relation_versions(log) if versions is None else versions
+        known = History(described_versions(history, pk, roots))
     encoder = choose_encoder(known)
     changes = log.filter(F.col("kind").isin(*ROW_MSGS)).select(
         "kind", "relation_id", "commit_pos", "ord", "old_tuple", "new_tuple"

@@ -19,6 +19,7 @@ from rowtide.queries.state import NEWEST
 from rowtide.schemas import MESSAGE
 from rowtide.session import shared_dir
 from rowtide.sources.change_log import (
+    STORED_LOG,
     land_change_log,
     landed_relations,
     quarantined_rows,
@@ -35,10 +36,19 @@ from rowtide.streaming.capture import (
 from rowtide.streaming.tables import read_table, start_table
 
 
+# Batches that the files of a landing are split over, if there are as many.
+PARTS = 4
+
+
 def new_folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/rowtide-{uuid4().hex}"
 
 
+def landed_files(spark: SparkSession, path: str) -> int:
+    """Files of changes landed so far, those of lost attempts among them."""
+    return len(spark.read.schema(STORED_LOG).parquet(f"{path}/changes").inputFiles())
+
+
 def captured(spark: SparkSession, sf_dir: str) -> str:
     """Land the log in two stretches, capture after each, return the folder.
 
@@ -61,7 +71,11 @@ def captured(spark: SparkSession, sf_dir: str) -> str:
 
 
 def captured_in_parts(spark: SparkSession, sf_dir: str) -> str:
-    """Land the log in four stretches of four files, capture a file at a time."""
+    """Land the log in four stretches, capture a quarter of a stretch's files at a time.
+
+    A landing has as many files as the session has shuffle partitions, so a set number
+    of files at a time would be more batches on a larger cluster, of less work each.
+    """
     folder = new_folder(spark)
     log = change_log(spark, sf_dir)
     bounds = feed(spark, sf_dir).agg(F.min("xid").alias("low"), F.max("xid").alias("high")).first()
@@ -75,8 +89,9 @@ def captured_in_parts(spark: SparkSession, sf_dir: str) -> str:
             land_change_log(log.filter((xid >= i * step) & (xid < (i + 1) * step)), f"{folder}/log")
     finally:
         spark.conf.set(merge, before)
+    files = max(1, landed_files(spark, f"{folder}/log") // (4 * PARTS))
     start_capture(
-        stream_change_log(spark, f"{folder}/log", files_per_batch=1),
+        stream_change_log(spark, f"{folder}/log", files_per_batch=files),
         folder,
         "users",
         relations=lambda: landed_relations(spark, f"{folder}/log"),

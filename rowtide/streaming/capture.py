@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from rowtide.operators.decode import decode_changes
 from rowtide.operators.messages import MESSAGE_COLUMNS
 from rowtide.operators.progress import checkpoint_record, safe_position
-from rowtide.operators.relations import relation_versions
+from rowtide.operators.relations import History, described_versions, relation_versions
 from rowtide.plans.snapshot import read_state
 from rowtide.schemas import MESSAGE, RELATION
 from rowtide.sources.change_log import landings, published_only
@@ -58,6 +58,8 @@ def start_capture(
     the rows must come in the order of their arrival, as from one topic partition.
     """
 
+    prepared = _Prepared()
+
     def batch(rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
         _remember_relations(rows, folder, batch_id)
@@ -65,9 +67,8 @@ def start_capture(
         if relations is not None:
             history = history.unionByName(relation_versions(relations()))
         wanted = rows if published is None else published_only(rows, published())
-        messages = decode_changes(
-            wanted, history, pk=pk, roots=roots, old_key_tombstones=old_key_tombstones, strict=strict
-        )
+        known = prepared.of(described_versions(history, pk, roots))
+        messages = decode_changes(wanted, old_key_tombstones=old_key_tombstones, strict=strict, known=known)
         write_message_log(
             messages.select(*MESSAGE_COLUMNS, "error"), f"{folder}/messages/batch={batch_id}"
         )
@@ -82,6 +83,21 @@ def start_capture(
     return timed.start()
 
 
+class _Prepared:
+    """The relation history of the batch before, prepared again only when its rows changed."""
+
+    def __init__(self):
+        self.digest: tuple | None = None
+        self.history: History | None = None
+
+    def of(self, versions: DataFrame) -> History:
+        row = F.xxhash64(*[F.col(c) for c in versions.columns]).cast("decimal(38,0)")
+        digest = tuple(versions.agg(F.count("*"), F.sum(row)).first())
+        if self.history is None or digest != self.digest:
+            self.digest, self.history = digest, History(versions)
+        return self.history
+
+
 def _remember_relations(rows: DataFrame, folder: str, batch_id: int) -> None:
     """Later batches need the versions announced in this one."""
     announced = relation_versions(rows)

@@ -10,6 +10,7 @@ from conftest import rows
 from logs import announce, frame, message, tuple_, workload
 from rowtide.operators.decode import decode_changes
 from rowtide.operators.progress import load_checkpoint
+from rowtide.operators.relations import described_versions, relation_versions
 from rowtide.operators.state import current_table, newest_per_key
 from rowtide.plans.bootstrap import bootstrap, pipeline_messages
 from rowtide.plans.snapshot import SourceObject, read_state
@@ -24,6 +25,7 @@ from rowtide.sources.change_log import (
 )
 from rowtide.sources.sinks import kafka_available, write_message_topic
 from rowtide.streaming.capture import (
+    _Prepared,
     captured_messages,
     checkpoint_topic,
     start_capture,
@@ -385,3 +387,14 @@ def test_start_opens_only_the_pieces_it_needs(spark, tmp_path):
     got = read_change_log(spark, path, start).filter("kind NOT IN ('R', 'K')").count()
     assert got == sum(m[3] >= start for m in changes)
     assert read_change_log(spark, path, 2**62).filter("kind != 'R'").isEmpty()
+
+
+def test_relations_are_prepared_once_while_they_stay(spark):
+    prepared = _Prepared()
+    log = [announce(1, 0, 0), announce(2, 0, 1)]
+    versions = lambda n: described_versions(relation_versions(frame(spark, log[:n])))
+    first = prepared.of(versions(1))
+    assert prepared.of(versions(1)) is first
+    second = prepared.of(versions(2))
+    assert second is not first and len(second.rows) == 2
+    assert prepared.of(versions(2)) is second
