@@ -103,17 +103,17 @@ def captured_in_parts(spark: SparkSession, sf_dir: str) -> str:
 def captured_after_loss(spark: SparkSession, sf_dir: str) -> str:
     """Capture a landing that ended before its summary, then the whole log landed in its place.
 
-    The lost attempt held the first half of the log. The files of the repeated
-    one are captured three at a time.
+    The lost attempt held the first half of the log. Its files and those of the
+    repeated one are captured a quarter at a time.
     """
     folder = new_folder(spark)
     log = change_log(spark, sf_dir)
     bounds = feed(spark, sf_dir).agg(F.min("xid").alias("low"), F.max("xid").alias("high")).first()
     path = f"{folder}/log"
 
-    def capture() -> None:
+    def capture(files: int) -> None:
         start_capture(
-            stream_change_log(spark, path, files_per_batch=3),
+            stream_change_log(spark, path, files_per_batch=max(1, files // PARTS)),
             folder,
             "users",
             relations=lambda: landed_relations(spark, path),
@@ -123,13 +123,14 @@ def captured_after_loss(spark: SparkSession, sf_dir: str) -> str:
     merge = "spark.sql.adaptive.coalescePartitions.enabled"
     before = spark.conf.get(merge)
     write_landing(log.filter(F.col("arrival") < (bounds.low + bounds.high) // 2 * 8), path, 0)
-    capture()
+    lost = landed_files(spark, path)
+    capture(lost)
     spark.conf.set(merge, "false")
     try:
         land_change_log(log, path)
     finally:
         spark.conf.set(merge, before)
-    capture()
+    capture(landed_files(spark, path) - lost)
     return folder
 
 

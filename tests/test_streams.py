@@ -14,6 +14,7 @@ from rowtide.operators.relations import described_versions, relation_versions
 from rowtide.operators.state import current_table, newest_per_key
 from rowtide.plans.bootstrap import bootstrap, pipeline_messages
 from rowtide.plans.snapshot import SourceObject, read_state
+from rowtide.queries import streams
 from rowtide.schemas import MESSAGE
 from rowtide.sources import change_log
 from rowtide.sources.change_log import (
@@ -398,3 +399,19 @@ def test_relations_are_prepared_once_while_they_stay(spark):
     second = prepared.of(versions(2))
     assert second is not first and len(second.rows) == 2
     assert prepared.of(versions(2)) is second
+
+
+def test_batches_do_not_grow_with_partitions(spark, small):
+    """A landing has a file for each partition, but is captured in parts of a set number."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "24")
+    try:
+        folder = streams.captured_after_loss(spark, small)
+        assert streams.landed_files(spark, f"{folder}/log") > 24
+        batches = streams.confirmed_by_batch(spark, folder)
+        # Before, three files at a time.
+        assert streams.PARTS < batches.count() <= 2 * streams.PARTS
+        assert batches.filter("safe_pos > unpublished").isEmpty()
+    finally:
+        spark.conf.set(key, before)
