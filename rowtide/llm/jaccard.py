@@ -1,27 +1,21 @@
 """Exact Jaccard self-join of documents' shingle sets, and its components.
 
-Two sets link when their Jaccard similarity is at least 4/5. `link_components`,
-`class_links` and `link_counts` find every link between different sets: steps 1,
-2, 4 and 5. `one_of_each` needs the components alone and takes step 3 too: a link
-is found, or its two ends are already known to be connected.
+Two sets link when their Jaccard similarity is at least 4/5. Every link between
+different sets is found.
 
 1. Equal sets are one class; a class is known by a 64-bit hash of its set.
 2. Shingles are ordered by how many sets have them, as counted in `CELLS` hash
    cells over all documents, rarest first. Two sets that link share a shingle
    among the first n - ceil(4n/5) + 1 of each: the prefix. Sets meet in the
    groups of a prefix shingle.
-3. Each group's most connected member is compared with the others (a star),
-   which connects groups of near copies with as many comparisons as members.
-4. What is not connected then meets in tiles: a group's members by bands of size,
-   as only sizes within 4/5 can link, a large band in blocks. A tile holds a
-   bounded number of sets. Its pairs (after step 3, those of different
-   components) are bounded from above by size, by place in the prefix, and by
-   bitmaps.
-5. Pairs that remain are decided by intersecting the sorted arrays of shingles.
-   Without step 3 this happens inside the tiles: members with a possible partner
-   get their arrays, and a link counts in the group of the first shingle that its
-   sets share, so each once. A tile sends a row for each linked member, with its
-   number of links and the smallest set that it reaches there, never its pairs.
+3. They meet in tiles: a group's members by bands of size, as only sizes within
+   4/5 can link, a large band in blocks. A tile holds a bounded number of sets. Its
+   pairs are bounded from above by size, by place in the prefix, and by bitmaps.
+4. Pairs that remain are decided inside the tiles, by intersecting the sorted
+   arrays of shingles: members with a possible partner get their arrays, and a link
+   counts in the group of the first shingle that its sets share, so each once. A
+   tile sends a row for each linked member, with its number of links and the
+   smallest set that it reaches there, never its pairs.
 
 A bitmap keeps, for each of its bits, whether an odd number of the set's shingles
 falls on it; the bits in which two bitmaps differ bound from below how many
@@ -60,7 +54,7 @@ TEXT_BYTES = 1 << 21
 BROADCAST_SETS = 1_000_000
 #: Earlier shingles that a prefix row knows of its set.
 AHEAD = 8
-#: Pairs of one set that are decided in one place.
+#: Not used any more, as no pairs leave the tiles; a test sets it.
 HUB_PAIRS = 256
 #: Rows to be left out whose keys are broadcast; more are joined by shuffling.
 BROADCAST_ROWS = 200_000
@@ -237,26 +231,6 @@ def may_link_in_group(part: pa.Table, large: int | None) -> np.ndarray:
     return found
 
 
-def bounded(pairs: DataFrame, bits: DataFrame) -> DataFrame:
-    """Pairs (`a`, `b`, sizes `na`, `nb`) that their bitmaps do not rule out."""
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            na, nb = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (2, 3))
-            left, right = batch.column(4).to_pylist(), batch.column(5).to_pylist()
-            differ = np.array([differing(x, y) for x, y in zip(left, right)], np.int64)
-            good = differ <= na + nb - 2 * needed(na, nb)
-            yield batch.select(["a", "b", "na", "nb"]).filter(pa.array(good))
-
-    of = bits.select("sid", "bits")
-    joined = (
-        pairs.join(of.select(F.col("sid").alias("a"), F.col("bits").alias("abits")), "a")
-        .join(of.select(F.col("sid").alias("b"), F.col("bits").alias("bbits")), "b")
-        .select("a", "b", "na", "nb", "abits", "bbits")
-    )
-    return joined.mapInArrow(check, "a bigint, b bigint, na int, nb int")
-
-
 def differing(left: bytes, right: bytes) -> int:
     """Bits in which two bitmaps differ, the longer folded to the shorter."""
     if len(left) > len(right):
@@ -270,39 +244,6 @@ def differing(left: bytes, right: bytes) -> int:
     return (x ^ folded).bit_count()
 
 
-def may_link(a: str, b: str, na: str, nb: str, pa_: str, pb: str):
-    """Size and place bounds of a pair that meets at a shared token."""
-    least = F.expr(f"(4 * ({na} + {nb}) + 8) div 9")
-    return (
-        (F.col(a) != F.col(b))
-        & (F.least(na, nb) * 5 >= F.greatest(na, nb) * 4)
-        & (F.least(F.col(na) - F.col(pa_), F.col(nb) - F.col(pb)) >= least)
-    )
-
-
-def star_pairs(tokens: DataFrame) -> DataFrame:
-    """Each group's member that is in most groups, with the others."""
-    degree = tokens.groupBy("sid").agg(F.count("*").alias("degree"))
-    lead = (
-        tokens.join(degree, "sid")
-        .groupBy("token")
-        .agg(F.max(F.struct("degree", "sid", "n", "place")).alias("l"))
-        .select("token", F.col("l.sid").alias("lead"), F.col("l.n").alias("ln"), F.col("l.place").alias("lp"))
-    )
-    met = tokens.join(lead, "token").filter(may_link("sid", "lead", "n", "ln", "place", "lp"))
-    return _pairs(met, "sid", "lead", "n", "ln")
-
-
-def _pairs(met: DataFrame, a: str, b: str, na: str, nb: str) -> DataFrame:
-    swap = F.col(a) > F.col(b)
-    return met.select(
-        F.least(a, b).alias("a"),
-        F.greatest(a, b).alias("b"),
-        F.when(swap, F.col(nb)).otherwise(F.col(na)).alias("na"),
-        F.when(swap, F.col(na)).otherwise(F.col(nb)).alias("nb"),
-    ).distinct()
-
-
 def tiled(members: DataFrame) -> DataFrame:
     """Members with the tiles they are in: `token`, `tile`, `side`.
 
@@ -363,42 +304,20 @@ def _dealt(rows: DataFrame) -> DataFrame:
     return rows.repartition("token", "tile").sortWithinPartitions("token", "tile", "n", "sid")
 
 
-def tile_pairs(members: DataFrame, bits: DataFrame) -> DataFrame:
-    """Pairs of a tile, of different `root`, that no bound rules out."""
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in by_tile(batches):
-            n, sid = (np.array([r[k] for r in rows], np.int64) for k in (2, 3))
-            for i, j in survivors(rows):
-                low = np.where(sid[j] < sid[i], j, i)
-                high = np.where(sid[j] < sid[i], i, j)
-                columns = [sid[low], sid[high], n[low].astype(np.int32), n[high].astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "na", "nb"])
-
-    rows = tiled(members).join(bits, "sid").select("token", "tile", "n", "sid", "place", "root", "side", "bits")
-    pairs = _dealt(rows).mapInArrow(compare, "a bigint, b bigint, na int, nb int")
-    return pairs.dropDuplicates(["a", "b"])
-
-
 def survivors(rows: list[tuple]) -> Iterator[tuple[int, np.ndarray]]:
     """For the rows of a tile, sorted by size: a row, and later rows that may link with it.
 
-    Columns: token, tile, n, sid, place, known, side, bits. `known` is a root, and
-    pairs of one root are left out; or a list of earlier shingles of the set's
-    prefix, and pairs that share one of these are left to its group.
+    Columns: token, tile, n, sid, place, ahead, side, bits. `ahead` lists earlier
+    shingles of the set's prefix; pairs that share one of these are left to its group.
     """
     if len(rows) < 2:
         return
     n = np.array([r[2] for r in rows], np.int64)
     rest = n - np.array([r[4] for r in rows], np.int64)
-    whole = isinstance(rows[0][5], list)
-    if whole:
-        ahead = np.zeros((len(rows), AHEAD), np.int64)
-        has = np.zeros((len(rows), AHEAD), bool)
-        for i, r in enumerate(rows):
-            ahead[i, : len(r[5])], has[i, : len(r[5])] = r[5], True
-    else:
-        root = np.array([r[5] for r in rows], np.int64)
+    ahead = np.zeros((len(rows), AHEAD), np.int64)
+    has = np.zeros((len(rows), AHEAD), bool)
+    for i, r in enumerate(rows):
+        ahead[i, : len(r[5])], has[i, : len(r[5])] = r[5], True
     side = np.array([r[6] for r in rows])
     widths = np.array([len(r[7]) for r in rows])
     folded = {w: _folded(rows, widths, w) for w in np.unique(widths).tolist()}
@@ -409,9 +328,7 @@ def survivors(rows: list[tuple]) -> Iterator[tuple[int, np.ndarray]]:
             continue
         least = needed(n[i], n[j])
         good = np.minimum(rest[i], rest[j]) >= least
-        if not whole:
-            good &= root[j] != root[i]
-        elif has[i].any():
+        if has[i].any():
             good &= ~(np.isin(ahead[j], ahead[i][has[i]]) & has[j]).any(axis=1)
         if side[i]:
             good &= side[j] != side[i]
@@ -538,26 +455,6 @@ def _folded(rows: list[tuple], widths: np.ndarray, width: int) -> tuple[int, np.
     return first, out
 
 
-def linked(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs that link, by intersecting their sets; each set goes to its pairs."""
-
-    def intersect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                left, right = (np.frombuffer(v.as_py(), np.uint64) for v in (x, y))
-                keep.append(_link(left, right))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
-    met = _with_arrays(pairs.select("a", "b"), _arrays(docs, sets, wanted))
-    return met.mapInArrow(intersect, "a bigint, b bigint").distinct()
-
-
-def _link(left: np.ndarray, right: np.ndarray) -> bool:
-    return 9 * len(_common(left, right)) >= 4 * (len(left) + len(right))
-
-
 def _arrays(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
     """`sid`, `shingles` of wanted sets. Their texts are found again by their hash."""
     hashes = sets.join(wanted, "sid").select("text_hash").distinct()
@@ -586,38 +483,6 @@ def _arrays(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
     )
 
 
-def _with_arrays(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
-    """Pairs with both arrays. The end that is in more pairs is the hub.
-
-    A hub may be in a third of all pairs: its array is copied once for every
-    `HUB_PAIRS` of them, and its pairs are dealt to the copies.
-    """
-    degree = pairs.select(F.explode(F.array("a", "b")).alias("sid")).groupBy("sid").agg(F.count("*").alias("d"))
-    both = (
-        pairs.join(degree.select(F.col("sid").alias("a"), F.col("d").alias("da")), "a")
-        .join(degree.select(F.col("sid").alias("b"), F.col("d").alias("db")), "b")
-        .withColumn("swap", F.col("db") > F.col("da"))
-    )
-    dealt = both.select(
-        F.when(F.col("swap"), F.col("b")).otherwise(F.col("a")).alias("hub"),
-        F.when(F.col("swap"), F.col("a")).otherwise(F.col("b")).alias("other"),
-        _copies(F.greatest("da", "db")).alias("copies"),
-    ).withColumn("copy", F.pmod(F.xxhash64("other"), F.col("copies")).cast("int"))
-    others = dealt.join(arrays.select(F.col("sid").alias("other"), F.col("shingles").alias("right")), "other")
-    copied = arrays.join(degree, "sid").select(
-        F.col("sid").alias("hub"),
-        F.col("shingles").alias("left"),
-        F.explode(F.sequence(F.lit(0), (_copies(F.col("d")) - 1).cast("int"))).alias("copy"),
-    )
-    return others.join(copied, ["hub", "copy"]).select(
-        F.col("hub").alias("a"), F.col("other").alias("b"), "left", "right"
-    )
-
-
-def _copies(degree: Column) -> Column:
-    return F.ceil(degree / HUB_PAIRS)
-
-
 def indexed(docs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame, np.ndarray]:
     """The sets (`sid`, `text_hash`, `bits`, `copies`), their shared prefix rows, the counts of cells."""
     counts = np.zeros(CELLS, np.int64)
@@ -647,33 +512,14 @@ def tile_links(docs: DataFrame, rows: DataFrame, pairs: bool = False) -> DataFra
 
 def set_links(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """`node`, `root` of the sets that have links."""
-    sets, tokens, _ = indexed(docs, rows)
-    stars = stored(bounded(star_pairs(tokens), sets), "stars")
-    first = stored(linked(docs, sets, stars), "star-links")
-    roots = components(first)
-    rooted = tokens.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn(
-        "root", F.coalesce("root", "sid")
-    )
-    # Groups of two were settled by their star, and so were groups of one root.
-    open_ = (
-        rooted.groupBy("token")
-        .agg(F.count("*").alias("k"), F.min("root").alias("low"), F.max("root").alias("high"))
-        .filter("k > 2 AND low < high")
-        .select("token")
-    )
-    members = stored(rooted.join(open_, "token"), "members")
-    new = tile_pairs(members, sets.select("sid", "bits")).join(stars.select("a", "b"), ["a", "b"], "left_anti")
-    rest = stored(new, "tile-pairs")
-    second = linked(docs, sets, rest)
-    both = first.unionByName(second)
-    return components(both)
+    links = tile_links(docs, rows)
+    return components(links.select(F.col("sid").alias("a"), F.col("root").alias("b")))
 
 
 def link_components(docs: DataFrame) -> DataFrame:
     """`doc_id`, `n_shingles`, `component_id` of each row."""
     rows = stored(described(docs), "sets")
-    links = tile_links(docs, rows)
-    roots = components(links.select(F.col("sid").alias("a"), F.col("root").alias("b")))
+    roots = set_links(docs, rows)
     return _with_component(rows.filter("kind = 0"), roots).select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id"
     )

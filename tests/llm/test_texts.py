@@ -270,6 +270,23 @@ def test_one_of_each(spark, edge):
     assert (5, dict(edge)[5]) not in got or (-3, dict(edge)[-3]) not in got
 
 
+def test_one_of_each_sends_members_not_pairs(spark, monkeypatch):
+    """A group of near copies that are not all alike leaves its tiles as members alone."""
+    rows = list(enumerate(copies(4, 40, 100, 7) + copies(2, 120, 100, 9)))
+    sizes, stored = {}, jaccard.stored
+
+    def counted(df, name):
+        out = stored(df, name)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", counted)
+    kept = {r.doc_id for r in jaccard.one_of_each(with_clashes(spark, rows)).collect()}
+    assert kept == {w[2] for w in brute.components(rows)}
+    assert 0 < sizes["links"] <= sizes["candidates"]
+    assert not {"stars", "star-links", "tile-pairs"} & set(sizes)
+
+
 def test_bitmaps_bound_from_below():
     pick = np.random.default_rng(3)
     for n in (3, 40, 200, 700):
