@@ -10,13 +10,14 @@ its ancestors by pointer doubling.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rowtide.operators.sizes import broadcast_if_small
 from rowtide.operators.state import fill_omitted, orderable
 from rowtide.schemas import DELETE, UPDATE
-from rowtide.session import use_checkpoints
+from rowtide.session import shared_dir
 
 #: Where the life of a row begins that the log does not see begin.
 UNSEEN = "named_struct('commit_pos', -1L, 'ord', -1L)"
@@ -30,6 +31,8 @@ def fill_moved(changes: DataFrame, key: Sequence[str], columns: Sequence[str]) -
     change of the key it left begins a new row. Keys that no move touches take
     the plain aggregate of `fill_omitted`; the rest is cut into lives.
     """
+    # Read several times: decoded once, and the code generated for each pass stays small.
+    changes = _stored(changes, "moved-changes")
     new = F.struct(*[F.col(f"`{c}`") for c in key])
     old = F.struct(*[F.col(f"`{c}__old`").alias(c) for c in key])
     whole = F.lit(True)
@@ -96,11 +99,10 @@ def _lives(events: DataFrame, columns: Sequence[str]) -> DataFrame:
     in another range.
     """
     spark = events.sparkSession
-    use_checkpoints(spark)
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = events.repartitionByRange(ranges, "key", "at").withColumn("_range", F.spark_partition_id())
     # The number of a range must not change when a task is run again.
-    dealt = dealt.checkpoint()
+    dealt = _stored(dealt, "life-events")
     cut_at = F.when(F.col("cut"), F.col("at"))
     last_cuts = dealt.groupBy("_range", "key").agg(F.max(cut_at).alias("_cut"))
     earlier = Window.partitionBy("key").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -123,7 +125,15 @@ def _lives(events: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.col("at").alias("began"),
         F.struct("key", F.col("_before").alias("began")).alias("up"),
     )
-    return lives.join(parents, ["key", "began"], "left").checkpoint()
+    return _stored(lives.join(parents, ["key", "began"], "left"), "lives")
+
+
+def _stored(rows: DataFrame, name: str) -> DataFrame:
+    """Rows written once, by columns, in the folder that all executors share."""
+    spark = rows.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid4().hex}"
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def _last_sent(placed: DataFrame, column: str) -> Column:
@@ -141,20 +151,22 @@ def _climbed(lives: DataFrame, columns: Sequence[str]) -> DataFrame:
     Each round a life takes what its ancestor knows and that one's ancestor in
     its place: the rounds are the logarithm of the longest chain of moves. A
     parent began earlier than its child, so there is no cycle. Lives that know
-    every value, or have no ancestor left, wait.
+    every value, or have no ancestor left, wait; a round stores the others alone.
     """
     names = [f"_{c}" for c in columns]
     missing = F.lit(False)
     for n in names:
         missing = missing | F.col(n).isNull()
     lives = lives.withColumn("up", F.when(missing, F.col("up")))
-    while not lives.filter("up IS NOT NULL").isEmpty():
-        above = lives.select(
+    settled, climbing = lives.filter("up IS NULL"), lives.filter("up IS NOT NULL")
+    while not climbing.isEmpty():
+        above = settled.unionByName(climbing).select(
             F.struct("key", "began").alias("up"), F.col("up").alias("_next"), *[F.col(n).alias(f"_up{n}") for n in names]
         )
-        climbing = lives.filter("up IS NOT NULL").join(above, "up", "left")
-        filled = climbing.select(
+        filled = climbing.join(above, "up", "left").select(
             "key", "began", "last", *[F.coalesce(n, f"_up{n}").alias(n) for n in names], F.col("_next").alias("up")
-        ).withColumn("up", F.when(missing, F.col("up")))
-        lives = lives.filter("up IS NULL").unionByName(filled).checkpoint()
-    return lives
+        )
+        climbed = _stored(filled.withColumn("up", F.when(missing, F.col("up"))), "climbed")
+        settled = settled.unionByName(climbed.filter("up IS NULL"))
+        climbing = climbed.filter("up IS NOT NULL")
+    return settled

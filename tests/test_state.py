@@ -198,3 +198,26 @@ def test_a_long_chain_of_moves(spark):
 def test_moves_of_an_empty_log(spark):
     typed = typed_rows(frame(spark, [announce()]), TYPED, 1, old=["id"])
     assert fill_moved(typed, ["id"], ["name", "score"]).count() == 0
+
+
+def test_rounds_store_climbing_lives_alone(spark, monkeypatch):
+    """Lives that know every value are stored once, however long the other chains are."""
+    from rowtide.operators import lineage
+
+    sizes, stored = [], lineage._stored
+
+    def counted(rows, name):
+        out = stored(rows, name)
+        sizes.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(lineage, "_stored", counted)
+    ddl = "op string, commit_pos bigint, ord bigint, k bigint, k__sent boolean, k__old bigint, v bigint, v__sent boolean"
+    moves = [("u", i, 0, i + 1, True, i, None, False) for i in range(1, 9)]
+    plain = [("u", 100 + i, 0, 1000 + i % 4, True, 1000 + (i - 1) % 4, i, True) for i in range(60)]
+    log = [("c", 0, 0, 1, True, None, 7, True), *moves, *plain]
+    live = lineage.fill_moved(spark.createDataFrame(log, ddl), ["k"], ["v"])
+    assert (9, 7) in {(r.k, r.v) for r in live.select("k", "v").collect()}
+    assert [name for name, _ in sizes[:3]] == ["moved-changes", "life-events", "lives"]
+    rounds = [n for name, n in sizes if name == "climbed"]
+    assert 1 < len(rounds) <= 5 and max(rounds) < 20 < sizes[2][1]
