@@ -57,33 +57,33 @@ class Encoder:
 
     def _segment(self, text: str) -> bytes:
         words = lowered(text).split()
-        found = list(map(self.young.get, words))
-        if None in found:
-            learned = self._learn(dict.fromkeys(w for w, raw in zip(words, found) if raw is None))
-            found = [learned[w] if raw is None else raw for w, raw in zip(words, found)]
-        return b"".join(found)
-
-    def _learn(self, words: dict[str, None]) -> dict[str, bytes]:
+        known = self.young
+        missing = set(words).difference(known)
+        if missing:
+            learned = self._learn(missing)
+            if self.young is not known or not missing <= known.keys():
+                return b"".join([learned[w] if w in learned else known[w] for w in words])
+        return b"".join(map(known.__getitem__, words))
+
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
         """Ids of words that the young generation lacks, which then has them."""
-        out, plain, split, odd = {}, {}, [], []
-        for word in words:
-            raw = self.old.get(word)
-            if raw is not None:
-                out[word] = raw
-            elif word.isalpha():
-                plain[word] = None
+        fresh = words.difference(self.old)
+        again = words - fresh
+        out = dict(zip(again, map(self.old.__getitem__, again)))
+        plain = set(filter(str.isalpha, fresh))
+        split, odd = [], []
+        for word in fresh - plain:
+            # Letters followed by punctuation: the tokenizer parts them.
+            core = word.rstrip(string.punctuation)
+            if core != word and core.isalpha():
+                tail = word[len(core) :]
+                split.append((word, core, tail))
+                if core not in self.young and core not in self.old:
+                    plain.add(core)
+                if tail not in self.young:
+                    odd.append(tail)
             else:
-                # Letters followed by punctuation: the tokenizer parts them.
-                core = word.rstrip(string.punctuation)
-                if core != word and core.isalpha():
-                    tail = word[len(core) :]
-                    split.append((word, core, tail))
-                    if core not in self.young and core not in self.old:
-                        plain[core] = None
-                    if tail not in self.young:
-                        odd.append(tail)
-                else:
-                    odd.append(word)
+                odd.append(word)
         if plain:
             out.update(self._letters(list(plain)))
         if odd:
@@ -92,7 +92,10 @@ class Encoder:
             out[word] = self._known(core, out) + self._known(tail, out)
         if len(self.young) + len(out) > CACHED_WORDS:
             self.old, self.young = self.young, {}
-        self.young.update((w, raw) for w, raw in out.items() if len(w) <= LONGEST_CACHED)
+        if max(map(len, out)) > LONGEST_CACHED:
+            self.young.update((w, raw) for w, raw in out.items() if len(w) <= LONGEST_CACHED)
+        else:
+            self.young.update(out)
         return out
 
     def _known(self, word: str, fresh: dict[str, bytes]) -> bytes:

@@ -183,3 +183,18 @@ def test_lower_bound():
         lengths = pick.integers(1, 21, 12)
         demand = np.bincount(lengths, minlength=21)
         assert -(-lengths.sum() // 20) <= packing.lower_bound(demand, 20) <= sum(r.times for r in packing.plan_runs(dict(enumerate(demand[1:].tolist(), 1)), 20))
+
+
+def test_words_across_generations(monkeypatch):
+    """A text that turns the cache over, with words too long for it, has the ids of the whole."""
+    import public_tokenizers
+
+    from rowtide.llm import tokens
+
+    monkeypatch.setattr(tokens, "CACHED_WORDS", 6)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder = tokens.Encoder(path)
+    for text in ("one two three, four", "two five, six " + "x" * 80 + " one", "one three, four! seven", "six two"):
+        want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert encoder.ids(text).tolist() == want
+    assert set(encoder._learn({"nine", "two"})) >= {"nine", "two"}
