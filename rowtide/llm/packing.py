@@ -56,12 +56,12 @@ def cut_pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for doc_id, row, text in zip(*(batch.column(i) for i in range(3))):
-                ids = ids_with_end(tokenizer, text.as_py(), words_apart)
+            doc_ids, rows = (batch.column(i).to_pylist() for i in range(2))
+            for doc_id, row, ids in zip(doc_ids, rows, ids_with_end(tokenizer, batch.column(2), words_apart)):
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start : start + capacity]
                     crc = zlib.crc32(part.astype("<u4", copy=False))
-                    out.append((doc_id.as_py(), row.as_py(), piece, start, len(part), crc))
+                    out.append((doc_id, row, piece, start, len(part), crc))
             names = ("doc_id", "row", "piece", "start", "length", "ids_crc32")
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             columns = list(zip(*out)) if out else [()] * 6

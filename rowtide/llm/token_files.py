@@ -56,8 +56,8 @@ def encoded(docs: DataFrame, tokenizer: str, words_apart: bool = True) -> DataFr
         rows: list[tuple[int | None, int, np.ndarray]] = []
         held = 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = ids_with_end(tokenizer, text.as_py(), words_apart)
+            all_ids = ids_with_end(tokenizer, batch.column(1), words_apart)
+            for doc_id, ids in zip(batch.column(0).to_pylist(), all_ids):
                 rows.append((doc_id, start, ids))
                 start += len(ids)
                 held += len(ids)

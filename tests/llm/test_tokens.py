@@ -198,3 +198,52 @@ def test_words_across_generations(monkeypatch):
         want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
         assert encoder.ids(text).tolist() == want
     assert set(encoder._learn({"nine", "two"})) >= {"nine", "two"}
+
+
+def test_blocks_of_texts_have_the_ids_of_each(plain, edge, documents, monkeypatch):
+    """Texts side by side in blocks, null, empty, sliced, of both string types."""
+    import pyarrow as pa
+
+    from rowtide.llm import tokens
+
+    texts = [None, "", " \n", *[t for _, t in [*edge, *documents[1]]], "\x1c a\x85b,\x1f", None]
+    want = [plain(t)[:-1] for t in texts]
+    for block, segment, kind in ((8_000_000, 1_000_000, pa.string()), (3_000, 700, pa.large_string())):
+        monkeypatch.setattr(tokens, "BLOCK", block)
+        monkeypatch.setattr(tokens, "SEGMENT", segment)
+        for apart in (True, False):
+            encoder = Encoder(PATH, apart)
+            assert [ids.tolist() for ids in encoder.ids_of(pa.array(texts, kind).slice(1))] == want[1:]
+    assert not list(Encoder(PATH).ids_of(pa.array([], pa.string())))
+
+
+def test_a_block_encodes_its_words_together(plain):
+    """Calls of the tokenizer grow with blocks, not with texts that hold a word not seen before."""
+    import pyarrow as pa
+
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.calls = tokenizer, 0
+
+        def encode_batch_fast(self, *args, **named):
+            self.calls += 1
+            return self.tokenizer.encode_batch_fast(*args, **named)
+
+    encoder = Encoder(PATH)
+    encoder.tokenizer = counted = Counted(encoder.tokenizer)
+    texts = ["the same and " + "".join(chr(97 + int(d)) for d in str(i)) + "x, new" for i in range(300)]
+    assert [[*ids, END] for ids in encoder.ids_of(pa.array(texts))] == [plain(t) for t in texts]
+    assert counted.calls <= 4
+
+
+def test_words_before_punctuation(plain):
+    """Letters that NFC or lower case give a mark, which goes with the punctuation, and all that are cut off."""
+    import string
+
+    encoder = Encoder(PATH)
+    for text in ("\u0130,", "A\u0130!! b", "\u0958.", "\u0915\u095c, \ufb1d;", "J\u030c, \u01f0,", "'s, it's. 3.5, a1,"):
+        assert [*encoder.ids(text), END] == plain(text)
+    from rowtide.llm.tokens import LETTERS
+
+    for letter in LETTERS:
+        assert all(plain(letter + mark) == plain(letter)[:-1] + plain(mark) for mark in string.punctuation[::5])
