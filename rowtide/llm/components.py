@@ -4,14 +4,18 @@ Every round links each node to the smallest neighbour it knows of; the rounds
 end when nothing changes, after about as many as the logarithm of the longest
 path. Each round is a grouped minimum, which combines on the map side, and a
 join whose skewed keys Spark splits; a node with a third of all links stays a
-pair of rows here. Rounds are written to the shared folder.
+pair of rows here. Rounds are written to the shared folder, in as many files as
+their links ask for: no round has more links than the one before.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rowtide.llm.folders import stored
+from rowtide.llm.folders import few, stored
+
+#: Links in a file of a round.
+FILE_LINKS = 1 << 18
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -19,11 +23,12 @@ def components(links: DataFrame) -> DataFrame:
 
     `links` has the columns `a` and `b`; order, repeats and loops do not matter.
     """
-    edges = stored(_ordered(links.select("a", "b")), "links")
+    most = few(links.sparkSession)
+    edges = stored(_ordered(links.select("a", "b")).coalesce(most), "links")
     before = _state(edges)
     while before[0]:
         stars = _small_star(_large_star(edges))
-        edges = stored(stars, "links")
+        edges = stored(stars.coalesce(min(most, -(-before[0] // FILE_LINKS))), "links")
         after = _state(edges)
         if after == before:
             break

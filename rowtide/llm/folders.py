@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from rowtide.session import shared_dir
 
 
+#: Shuffle partitions whose rows share a file of a small table.
+PARTITIONS_A_FILE = 32
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid4().hex}"
 
@@ -21,3 +25,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def few(spark: SparkSession) -> int:
+    """Files for a table that is small beside what it is made of: a part of the shuffle's, one a core at least.
+
+    A file costs its task a commit and, where Hadoop has no native library, processes
+    that the executor's JVM starts to set permissions.
+    """
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(partitions, max(spark.sparkContext.defaultParallelism, partitions // PARTITIONS_A_FILE)))

@@ -15,7 +15,7 @@ different sets is found.
    arrays of shingles: members with a possible partner get their arrays, and a link
    counts in the group of the first shingle that its sets share, so each once. A
    tile sends a row for each linked member, with its number of links and the
-   smallest set that it reaches there, never its pairs.
+   smallest set that it reaches there, never its pairs, and holds no list of them.
 
 A bitmap keeps, for each of its bits, whether an odd number of the set's shingles
 falls on it; the bits in which two bitmaps differ bound from below how many
@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rowtide.llm.components import components
-from rowtide.llm.folders import stored
+from rowtide.llm.folders import few, stored
 from rowtide.llm.shingles import SPACED, mixed, slices, text_shingles
 from rowtide.llm.workers import ship
 
@@ -383,23 +383,21 @@ def decided(docs: DataFrame, sets: DataFrame, met: DataFrame, counts: np.ndarray
             arrays = [np.frombuffer(r[7], np.uint64) for r in rows]
             rows = [(*r[:7], bitmap(array), r[8]) for r, array in zip(rows, arrays)]
             token = np.array([rows[0][0]], np.int64).view(np.uint64)[0]
-            links = [
-                (i, j) for i, later in survivors(rows) for j in later.tolist()
-                if _meet_first(arrays[i], arrays[j], token, order.value)
-            ]
+            links = (
+                (i, [j for j in later.tolist() if _meet_first(arrays[i], arrays[j], token, order.value)])
+                for i, later in survivors(rows)
+            )
             sid = [r[3] for r in rows]
             if pairs:
-                ends = [sorted((sid[i], sid[j])) for i, j in links]
-                columns = [pa.array([e[k] for e in ends], pa.int64()) for k in (0, 1)]
-                yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
-            elif links:
-                others = [0] * len(rows)
-                for i, j in links:
-                    others[i] += rows[j][8]
-                    others[j] += rows[i][8]
-                roots = _roots(sid, links)
-                linked_ = sorted({i for link in links for i in link})
-                columns = [pa.array([x[i] for i in linked_], pa.int64()) for x in (sid, others, roots)]
+                for i, later in filter(lambda link: link[1], links):
+                    ends = [sorted((sid[i], sid[j])) for j in later]
+                    columns = [pa.array([e[k] for e in ends], pa.int64()) for k in (0, 1)]
+                    yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
+                continue
+            others, roots = _linked(sid, [r[8] for r in rows], links)
+            if any(others):
+                linked = [i for i, n in enumerate(others) if n]
+                columns = [pa.array([x[i] for i in linked], pa.int64()) for x in (sid, others, roots)]
                 yield pa.RecordBatch.from_arrays(columns, ["sid", "others", "root"])
 
     known = sets.select("sid", "copies")
@@ -425,9 +423,12 @@ def _common(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return left[right[at] == left]
 
 
-def _roots(sid: list[int], links: list[tuple[int, int]]) -> list[int]:
-    """The smallest set that each row reaches by links of its tile."""
-    up = list(range(len(sid)))
+def _linked(sid: list[int], copies: list[int], links: Iterator[tuple[int, list[int]]]) -> tuple[list[int], list[int]]:
+    """For each row of a tile, the rows that it links with, and the smallest set that it reaches.
+
+    The links of one row at a time are held; all of a tile grow with its square.
+    """
+    others, up = [0] * len(sid), list(range(len(sid)))
 
     def find(x: int) -> int:
         while up[x] != x:
@@ -435,13 +436,16 @@ def _roots(sid: list[int], links: list[tuple[int, int]]) -> list[int]:
             x = up[x]
         return x
 
-    for i, j in links:
-        a, b = find(i), find(j)
-        if sid[a] <= sid[b]:
-            up[b] = a
-        else:
-            up[a] = b
-    return [sid[find(i)] for i in range(len(sid))]
+    for i, later in links:
+        for j in later:
+            others[i] += copies[j]
+            others[j] += copies[i]
+            a, b = find(i), find(j)
+            if sid[a] <= sid[b]:
+                up[b] = a
+            else:
+                up[a] = b
+    return others, [sid[find(i)] for i in range(len(sid))]
 
 
 def _folded(rows: list[tuple], widths: np.ndarray, width: int) -> tuple[int, np.ndarray]:
@@ -494,7 +498,8 @@ def indexed(docs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame, np.
         .groupBy("sid")
         .agg(F.min("text_hash").alias("text_hash"), F.min("bits").alias("bits"), F.count("*").alias("copies"))
     )
-    return sets, stored(shared_tokens(prefixes(docs, counts)), "tokens"), counts
+    tokens = shared_tokens(prefixes(docs, counts))
+    return sets, stored(tokens.repartition(few(docs.sparkSession)), "tokens"), counts
 
 
 def tile_links(docs: DataFrame, rows: DataFrame, pairs: bool = False) -> DataFrame:
@@ -506,8 +511,11 @@ def tile_links(docs: DataFrame, rows: DataFrame, pairs: bool = False) -> DataFra
     sets, tokens, counts = indexed(docs, rows)
     first = F.slice(F.array_sort(F.collect_list(F.struct("place", "token"))), 1, AHEAD)
     heads = tokens.groupBy("sid").agg(first.alias("first"))
-    met = stored(candidates(tokens, sets.select("sid", "bits").join(heads, "sid")), "candidates")
-    return stored(decided(docs, sets, met, counts, pairs), "links")
+    files = few(docs.sparkSession)
+    met = candidates(tokens, sets.select("sid", "bits").join(heads, "sid"))
+    met = stored(met.repartition(files), "candidates")
+    links = decided(docs, sets, met, counts, pairs)
+    return stored(links if pairs else links.repartition(files), "links")
 
 
 def set_links(docs: DataFrame, rows: DataFrame) -> DataFrame:
@@ -520,9 +528,8 @@ def link_components(docs: DataFrame) -> DataFrame:
     """`doc_id`, `n_shingles`, `component_id` of each row."""
     rows = stored(described(docs), "sets")
     roots = set_links(docs, rows)
-    return _with_component(rows.filter("kind = 0"), roots).select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id"
-    )
+    found = _with_component(rows.filter("kind = 0"), roots)
+    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id").coalesce(few(docs.sparkSession))
 
 
 def class_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -571,15 +578,15 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     rows = stored(described(docs), "sets")
     roots = set_links(docs, rows)
     rooted = _with_component(rows.filter("kind = 0 AND sid IS NOT NULL"), roots)
-    key = F.struct("doc_id", "text_hash")
-    counted = stored(
-        rooted.groupBy("root", key.alias("_key")).agg(F.count("*").alias("rows")), "component-rows"
-    )
+    key, files = F.struct("doc_id", "text_hash"), few(docs.sparkSession)
+    counted = rooted.groupBy("root", key.alias("_key")).agg(F.count("*").alias("rows"))
+    counted = stored(counted.coalesce(files), "component-rows")
     kept = counted.groupBy("root").agg(F.min("_key").alias("_kept"))
     kept_key = F.col("_kept") == F.col("_key")
     placed = counted.join(kept, "root")
-    leave = stored(placed.filter(~kept_key).select("_key"), "left-out")
-    repeated = stored(placed.filter(kept_key & (F.col("rows") > 1)).select("_key"), "repeated")
+    leave = stored(placed.filter(~kept_key).select("_key").coalesce(files), "left-out")
+    repeated = placed.filter(kept_key & (F.col("rows") > 1)).select("_key")
+    repeated = stored(repeated.coalesce(files), "repeated")
     own = F.struct(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"))
     out = docs.join(_hinted(leave), own == F.col("_key"), "left_anti")
     if repeated.isEmpty():

@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from llm.samples import prose, same, with_clashes
 from pyspark.sql import functions as F
-from rowtide.llm import chat, decontam, fingerprints, jaccard, langid
+from rowtide.llm import chat, components as components_module, decontam, fingerprints, jaccard, langid
 from rowtide.llm.components import components
 from rowtide.llm.queries import QUERIES
 from rowtide.llm.shingles import SPACED, text_shingles
@@ -287,6 +287,78 @@ def test_one_of_each_sends_members_not_pairs(spark, monkeypatch):
     assert not {"stars", "star-links", "tile-pairs"} & set(sizes)
 
 
+def test_jaccard_writes_few_files(spark, monkeypatch):
+    """Small tables get few files, however many partitions a shuffle has."""
+    files, stored = {}, jaccard.stored
+
+    def counted(df, name):
+        out = stored(df, name)
+        files[name] = max(files.get(name, 0), len(out.inputFiles()))
+        return out
+
+    for module in (jaccard, components_module):
+        monkeypatch.setattr(module, "stored", counted)
+    rows = list(enumerate(t for i in range(40) for t in copies(i, 6, 60, 3)))
+    held = {
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        got = jaccard.link_components(with_clashes(spark, rows))
+        files["result"] = got.rdd.getNumPartitions()
+        same(got, ("doc_id", "n_shingles", "component_id"), brute.components(rows))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    most = max(8, spark.sparkContext.defaultParallelism)
+    assert {"tokens", "candidates", "links"} <= set(files)
+    assert all(n <= most for name, n in files.items() if name != "sets")
+
+
+def test_jaccard_tile_holds_no_pairs(spark, monkeypatch):
+    """Deciding a tile of near copies takes memory for its members, not for its pairs."""
+    import tracemalloc
+
+    class Tiles:
+        def mapInArrow(self, decide, schema):
+            return decide
+
+    pick = np.random.default_rng(7)
+    base = np.unique(pick.integers(0, 1 << 63, 100, np.uint64))
+    token = int(base.min())
+    sets = [np.unique(np.append(base, pick.integers(token + 1, 1 << 63, 4, np.uint64))) for _ in range(600)]
+    docs = with_clashes(spark, [(1, "a b c d e f")])
+    known, _, _ = jaccard.indexed(docs, jaccard.described(docs))
+    monkeypatch.setattr(jaccard, "_dealt", lambda rows: Tiles())
+    met = spark.createDataFrame([], jaccard._TILED)
+    decide = jaccard.decided(docs, known, met, np.zeros(jaccard.CELLS, np.int64), False)
+    n = len(sets)
+    columns = [
+        pa.array([token] * n),
+        pa.array([""] * n),
+        pa.array([len(s) for s in sets], pa.int32()),
+        pa.array(range(n), pa.int64()),
+        pa.array([0] * n, pa.int32()),
+        pa.array([[]] * n, pa.list_(pa.int64())),
+        pa.array([0] * n, pa.int32()),
+        pa.array([s.tobytes() for s in sets], pa.binary()),
+        pa.array([1] * n, pa.int64()),
+    ]
+    names = ["token", "tile", "n", "sid", "place", "ahead", "side", "shingles", "copies"]
+    batch = pa.RecordBatch.from_arrays(columns, names)
+    tracemalloc.start()
+    try:
+        (out,) = decide(iter([batch]))
+        _, most = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert out.to_pydict() == {"sid": list(range(n)), "others": [n - 1] * n, "root": [0] * n}
+    assert most < 40 * n * (n - 1) // 2  # a list of pairs takes 70 bytes and more for each
+
+
 def test_bitmaps_bound_from_below():
     pick = np.random.default_rng(3)
     for n in (3, 40, 200, 700):
